@@ -1,0 +1,6 @@
+"""All registered queries."""
+
+from campusweave.catalog import frontier  # noqa: F401
+from campusweave.catalog.registry import ORACLES, QUERIES
+
+__all__ = ["ORACLES", "QUERIES"]

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import wraps
 
+from pyspark import SparkContext
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -11,6 +13,20 @@ from pyspark.sql import functions as F
 WS = r"[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 
 
+def built_once(build: Callable[..., Column]) -> Callable[..., Column]:
+    """Keep a long expression for the life of its Spark application: building one takes seconds."""
+    kept: dict[tuple, Column] = {}
+
+    @wraps(build)
+    def expression(*args: str) -> Column:
+        key = (SparkContext.getOrCreate().applicationId, *args)
+        if key not in kept:
+            kept[key] = build(*args)
+        return kept[key]
+
+    return expression
+
+
 def blank_to_null(c: Column) -> Column:
     return F.nullif(c, F.lit(""))
 

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from campusweave.functions import degrees as D
 from campusweave.functions import money
 from campusweave.functions.text import (
-    WS, blank_to_null, clean, contains_any, first_match, lacks_money, name_and_specialization,
+    blank_to_null, built_once, clean, contains_any, first_match, lacks_money, name_and_specialization,
     let, let_sql, strip, without_trailing_parens,
 )
 from campusweave.operators import html as H
@@ -73,9 +73,10 @@ def _general_if_same(name: Column, degree: Column) -> Column:
 # -- embedded state -------------------------------------------------------------------------
 
 
-def state_rows(html: Column) -> Column:
+@built_once
+def state_rows(html: str) -> Column:
     """Rows of the page's embedded course list: one per stream, or one per course without any."""
-    items = H.app_state(html, STATE_PATH, "struct<courses:array<string>>")["courses"]
+    items = H.app_state(F.col(html), STATE_PATH, "struct<courses:array<string>>")["courses"]
     courses = F.transform(items, lambda item: F.from_json(item, COURSE_ITEM))
 
     def names(c: Column) -> Column:
@@ -144,6 +145,7 @@ def _rupees(c: Column) -> Column:
     return F.trim(F.regexp_replace(c, "^₹", ""))
 
 
+@built_once
 def card_rows() -> Column:
     """Rows of course cards in the page tree: one per stream, or one per card without any."""
     nodes = F.col("nodes")
@@ -339,8 +341,10 @@ def _headed_row(raw: Column, cells: Column, category: Column) -> Column:
     ))
 
 
-def table_rows(tables: Column) -> Column:
+@built_once
+def table_rows() -> Column:
     """Rows of a page's tables (see ``html.table_structs``)."""
+    tables = H.table_structs()
 
     def describe(t: Column) -> Column:
         header = F.transform(F.coalesce(F.get(t["rows"], 0), F.array().cast("array<string>")), lambda c: F.lower(clean(c)))
@@ -406,7 +410,8 @@ def expanded_rows(rows: DataFrame, rules: Sequence[tuple] = R.EXPANDED_ROWS) ->
 # -- text windows ---------------------------------------------------------------------------
 
 
-def context_rows(html: Column) -> Column:
+@built_once
+def context_rows(html: str) -> Column:
     """Rows from course names in the page source and what stands near them."""
 
     def read(m: Column) -> Column:
@@ -430,7 +435,7 @@ def context_rows(html: Column) -> Column:
             course_type=F.lit("Full Time"), course_level=D.level_of_degree(m["degree"]),
         )
 
-    windows = match_windows(html, P.CONTEXT_COURSE, V.CONTEXT_BEFORE, V.CONTEXT_AFTER)
+    windows = match_windows(F.col(html), P.CONTEXT_COURSE, V.CONTEXT_BEFORE, V.CONTEXT_AFTER)
     return F.coalesce(F.transform(F.filter(F.transform(windows, read), lambda m: m["degree"] != ""), row), _none_of())
 
 
@@ -441,21 +446,28 @@ def _valid(r: Column) -> Column:
     return D.is_course(r["degree_name"], r["course_name"])
 
 
+@built_once
+def usable_state() -> Column:
+    """Whether the embedded state gives a row.
+
+    A row counts where no earlier one has its key: an unusable first one hides the rest.
+    """
+    return F.exists(
+        F.transform("_state", lambda r, i: F.struct(r.alias("r"), i.alias("i"))),
+        lambda s: _valid(s["r"]) & (F.array_position(F.col("_state_keys"), s["r"]["key"]) == s["i"] + 1),
+    )
+
+
 def course_candidates(pages: DataFrame, keys: Sequence[str], html: str = "html") -> DataFrame:
     """All rows of each page's winning source, repeats included, with source and position."""
     page = H.with_headings(H.with_tree(pages.select(*keys, html), html)).select(*keys, html, "nodes", "texts", "_headings")
-    page = page.withColumns({"_state": state_rows(F.col(html)), "_cards": card_rows()})
-    # a state row counts where no earlier row has its key: an unusable first one hides the rest
+    page = page.withColumns({"_state": state_rows(html), "_cards": card_rows()})
     page = page.withColumn("_state_keys", F.col("_state.key"))
-    usable = F.exists(
-        F.transform("_state", lambda r, i: F.struct(r.alias("r"), i.alias("i"))),
-        lambda s: _valid(s["r"]) & (F.array_position(F.col("_state_keys"), s["r"]["key"]) == s["i"] + 1),
-    )
-    page = page.withColumn("_structured", (F.size("_cards") > 0) | usable)
-    page = page.withColumn("_tables", F.when(F.col("_structured"), _none_of()).otherwise(table_rows(H.table_structs())))
+    page = page.withColumn("_structured", (F.size("_cards") > 0) | usable_state())
+    page = page.withColumn("_tables", F.when(F.col("_structured"), _none_of()).otherwise(table_rows()))
     page = page.withColumn("_tabled", F.exists("_tables", _valid))
     page = page.withColumn(
-        "_context", F.when(F.col("_structured") | F.col("_tabled"), _none_of()).otherwise(context_rows(F.col(html)))
+        "_context", F.when(F.col("_structured") | F.col("_tabled"), _none_of()).otherwise(context_rows(html))
     )
 
     def numbered(source: int, column: str) -> Column:
