@@ -262,32 +262,32 @@ def dataset_counts(spark, d):
     return A.audit_counts({t: table(spark, d, t) for t in COUNTED})
 
 
-EVENT_TYPES = ["view", "click", "signup", "purchase", "error", "refund"]
+PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
 COMPLETE_SQL = (
-    "WITH e AS (SELECT user_id AS college_id, event_type AS page_type FROM events WHERE value < 5), a AS (SELECT college_id, "
-    + " + ".join(f"CAST(bool_or(page_type = '{t}') AS INT)" for t in EVENT_TYPES)
+    "WITH e AS (SELECT o_custkey AS college_id, o_orderpriority AS page_type FROM orders), a AS (SELECT college_id, "
+    + " + ".join(f"CAST(bool_or(page_type = '{t}') AS INT)" for t in PRIORITIES)
     + " AS present, concat_ws(', ', "
-    + ", ".join(f"CASE WHEN NOT bool_or(page_type = '{t}') THEN '{t}' END" for t in EVENT_TYPES)
+    + ", ".join(f"CASE WHEN NOT bool_or(page_type = '{t}') THEN '{t}' END" for t in PRIORITIES)
     + ") AS missing FROM e GROUP BY 1) "
 )
 
 
 def _completeness(spark, d):
-    events = table(spark, d, "events").filter("value < 5").select(F.col("user_id").alias("college_id"), F.col("event_type").alias("page_type"))
-    return A.audit_completeness(events, expected=EVENT_TYPES)
+    found = table(spark, d, "orders").select(F.col("o_custkey").alias("college_id"), F.col("o_orderpriority").alias("page_type"))
+    return A.audit_completeness(found, expected=PRIORITIES)
 
 
-@query("completeness", COMPLETE_SQL + "SELECT college_id, present, missing, present = 6 AS complete FROM a")
+@query("completeness", COMPLETE_SQL + "SELECT college_id, present, missing, present = 5 AS complete FROM a")
 def completeness(spark, d):
     return _completeness(spark, d)
 
 
-@query("completeness_totals", COMPLETE_SQL + "SELECT count(*) AS entities, count(*) FILTER (present = 6) AS complete, count(*) FILTER (present < 6) AS partial FROM a")
+@query("completeness_totals", COMPLETE_SQL + "SELECT count(*) AS entities, count(*) FILTER (present = 5) AS complete, count(*) FILTER (present < 5) AS partial FROM a")
 def completeness_totals(spark, d):
     return A.completeness_totals(_completeness(spark, d))
 
 
-@query("incomplete_samples", COMPLETE_SQL + "SELECT college_id, missing FROM a WHERE present < 6 ORDER BY college_id LIMIT 10")
+@query("incomplete_samples", COMPLETE_SQL + "SELECT college_id, missing FROM a WHERE present < 5 ORDER BY college_id LIMIT 10")
 def incomplete_samples(spark, d):
     return A.incomplete_samples(_completeness(spark, d)).select("college_id", "missing")
 

@@ -65,10 +65,13 @@ def compare(spark, con, name, sf):
 def main():
     parser = argparse.ArgumentParser()
     parser.add_argument("--sf", default="/root/testdata/sf0.01")
+    parser.add_argument("--of", help="only queries of this catalog module")
     parser.add_argument("names", nargs="*")
     args = parser.parse_args()
     spark, con = local_session(), connect(args.sf)
     names = [n for n in catalog.QUERIES if not args.names or any(a in n for a in args.names)]
+    if args.of:
+        names = [n for n in names if catalog.QUERIES[n].__module__.endswith(args.of)]
     bad = 0
     for name in names:
         start = time.time()
