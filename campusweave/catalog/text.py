@@ -372,7 +372,7 @@ PLACE_TEXT = "'The campus is located in ' || c_mktsegment || ', Kerala'"
 @query(
     "locations",
     """SELECT c_custkey, CASE WHEN c_custkey % 3 = 0 THEN lower(c_mktsegment) WHEN c_custkey % 2 = 0 THEN 'Sector ' || CAST(c_nationkey AS STRING) WHEN c_custkey % 7 = 0 THEN 'Delhi' ELSE c_mktsegment END AS city,
- CASE WHEN c_custkey % 3 = 0 THEN 'Goa' WHEN c_custkey % 2 = 0 THEN c_mktsegment || ',' WHEN c_custkey % 7 = 0 THEN NULL ELSE 'Kerala' END AS state FROM customer""".replace("c_mktsegment || ','", "c_mktsegment"),
+ CASE WHEN c_custkey % 3 = 0 THEN 'Goa' WHEN c_custkey % 2 = 0 THEN c_mktsegment WHEN c_custkey % 7 = 0 THEN NULL ELSE 'Kerala' END AS state FROM customer""",
 )
 def locations(spark, d):
     city, state = E.resolve_location(F.expr(SPAN), F.expr(ADDRESS), F.expr(PLACE_TEXT))

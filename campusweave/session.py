@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
@@ -41,9 +41,3 @@ def checkpoint_dir(spark: SparkSession) -> str:
         raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder every executor can reach")
     return tempfile.mkdtemp(prefix="campusweave-")
 
-
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint, so a lost executor never means redoing what led here."""
-    spark = df.sparkSession
-    spark.sparkContext.setCheckpointDir(checkpoint_dir(spark))
-    return df.checkpoint(eager=True)
