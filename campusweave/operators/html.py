@@ -75,10 +75,14 @@ def _tree_batch(kept: list[pa.Array], names: list[str], trees: list, errors: lis
     )
 
 
-def with_tree(pages: DataFrame, html: str = "html") -> DataFrame:
-    """Add the page tree. A page that cannot be read gets an empty tree and its error."""
-    names = pages.columns
-    position = names.index(html)
+def with_tree(pages: DataFrame, html: str = "html", keep_html: bool = False) -> DataFrame:
+    """Page columns and the page tree. A page that cannot be read gets an empty tree and its error.
+
+    The markup itself is not sent back from Python unless it is read again later on.
+    """
+    position = pages.columns.index(html)
+    kept_fields = [i for i, name in enumerate(pages.columns) if keep_html or name != html]
+    names = [pages.columns[i] for i in kept_fields]
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -92,12 +96,13 @@ def with_tree(pages: DataFrame, html: str = "html") -> DataFrame:
                 errors.append(error)
                 size += len(tree.elements) if tree else 0
                 if size >= FLUSH_ELEMENTS or row == batch.num_rows - 1:
-                    kept = [batch.column(i).slice(start, row + 1 - start) for i in range(len(names))]
+                    kept = [batch.column(i).slice(start, row + 1 - start) for i in kept_fields]
                     yield _tree_batch(kept, names, trees, errors)
                     start, size, trees, errors = row + 1, 0, [], []
 
     tree_schema = T.StructType.fromDDL(TREE_TYPE)
-    return pages.mapInArrow(parse, T.StructType([*pages.schema.fields, *tree_schema.fields]))
+    fields = [pages.schema.fields[i] for i in kept_fields]
+    return pages.mapInArrow(parse, T.StructType([*fields, *tree_schema.fields]))
 
 
 def html_nodes(pages: DataFrame, html: str = "html") -> DataFrame:
@@ -230,12 +235,12 @@ def with_main_text(trees: DataFrame, name: str = "main_text") -> DataFrame:
 def visible_text(pages: DataFrame, html: str = "html", name: str = "visible_text") -> DataFrame:
     """All text of the page without markup, scripts and styles, white space collapsed."""
     trees = with_tree(pages, html)
-    return trees.withColumn(name, clean(page_text())).drop("nodes", "texts", "text_parents", "parse_error", html)
+    return trees.withColumn(name, clean(page_text())).drop("nodes", "texts", "text_parents", "parse_error")
 
 
 def main_text(pages: DataFrame, html: str = "html", name: str = "main_text") -> DataFrame:
     trees = with_main_text(with_tree(pages, html), name)
-    return trees.drop("nodes", "texts", "text_parents", "parse_error", html)
+    return trees.drop("nodes", "texts", "text_parents", "parse_error")
 
 
 # -- tables, headings, cards, sections ----------------------------------------------------

@@ -80,12 +80,9 @@ def carry(
     place = F.col(order) * sign
     tagged = df.withColumn("_v", value).withColumn("_chunk", F.floor(place / F.lit(width)))
     inner = W.partitionBy(*keys, "_chunk").orderBy(place).rowsBetween(W.unboundedPreceding, -1)
-    closing = (
-        tagged.filter(F.col("_v").isNotNull())
-        .groupBy(*keys, "_chunk")
-        .agg(F.max(F.struct(place.alias("p"), F.col("_v").alias("v")))["v"].alias("_close"))
+    chunks = tagged.groupBy(*keys, "_chunk").agg(
+        F.max_by("_v", F.when(F.col("_v").isNotNull(), place)).alias("_close")
     )
-    chunks = tagged.select(*keys, "_chunk").distinct().join(closing, [*keys, "_chunk"], "left")
     before = W.partitionBy(*keys).orderBy("_chunk").rowsBetween(W.unboundedPreceding, -1)
     carried = chunks.withColumn("_carried", F.last("_close", ignorenulls=True).over(before)).drop("_close")
     return (

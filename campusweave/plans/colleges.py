@@ -55,9 +55,10 @@ def build_colleges(
     pages: DataFrame, listing: DataFrame | None = None, keys: Sequence[str] = ("college_id", "slug"), site: Site = DEFAULT_SITE
 ) -> DataFrame:
     """College dataset of info pages; a listing rank goes before the rank on the page."""
-    facts = H.with_tree(pages.select(*keys, "html")).withColumns(
+    # the record is read from the markup before the tree is, so that the markup need not come back
+    found = pages.select(*keys, "html", H.json_ld_of_type(F.col("html"), SCHEMA_TYPE).alias("_ld"))
+    facts = H.with_tree(found).withColumns(
         {
-            "_ld": H.json_ld_of_type(F.col("html"), SCHEMA_TYPE),
             "_text": H.page_text(),
             "_title": H.first_text("title"),
             "_meta": H.first(H.nodes_where(lambda n: (n["tag"] == "meta") & (F.try_element_at(n["attrs"], F.lit("name")) == "description"))),

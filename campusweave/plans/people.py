@@ -113,8 +113,8 @@ def build_reviews(pages: DataFrame, keys: Sequence[str] = ("college_id", "slug")
         ]),
         lambda r: r["review_text"].isNotNull(),
     )
-    page = _trees(pages, keys).select(*keys, "html", cards.alias("_cards"))
-    page = page.withColumn("_ld", F.when(F.size("_cards") == 0, H.json_ld_of_type(F.col("html"), "CollegeOrUniversity")))
+    found = pages.select(*keys, "html", H.json_ld_of_type(F.col("html"), "CollegeOrUniversity").alias("_ld"))
+    page = H.with_tree(found).select(*keys, "_ld", cards.alias("_cards"))
     return (
         page.select(*keys, F.posexplode(F.when(F.size("_cards") > 0, F.col("_cards")).otherwise(notes)).alias("pos", "r"))
         .select(*keys, "pos", "r.*")

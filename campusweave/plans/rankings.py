@@ -7,18 +7,21 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from campusweave.functions.text import WS, blank_to_null, clean
 from campusweave.operators import html as H
 from campusweave.operators.relational import first_wins, without_known
 from campusweave.rules import patterns as P
 from campusweave.rules import vocab as V
-from campusweave.schemas import RANKINGS
 from campusweave.site import DEFAULT_SITE, Site
 
 STATE_PATH = "props.initialProps.pageProps.data.basic_info"
 RANK_ITEM = "agency string, agency_name string, ranking_agency string, rank string, year string, stream string"
 KEY = ["college_id", "ranking_body", "ranking_year"]
+ENTRY = "struct<pos:int,ranking_body:string,rank:string,ranking_year:int>"
+ENTRIES = f"array<{ENTRY}>"
+MARK, STATE, TEXT = range(3)
 
 
 def canonical_agency(agency: Column, site: Site = DEFAULT_SITE) -> Column:
@@ -57,25 +60,45 @@ def _agency_of(r: Column) -> Column:
     return F.coalesce(blank_to_null(r["agency"]), blank_to_null(r["agency_name"]), blank_to_null(r["ranking_agency"]))
 
 
-def has_state_rankings(html: Column) -> Column:
-    """Whether a page's embedded state gives at least one ranking row."""
-    usable = F.exists(_state_items(html), lambda r: _agency_of(r).isNotNull() & valid_rank(r["rank"]).isNotNull())
-    return F.coalesce(usable, F.lit(False))
+def state_rankings(html: Column, site: Site = DEFAULT_SITE) -> Column:
+    """Usable ranking entries of a page's embedded state: array of (pos, ranking_body, rank, ranking_year)."""
+
+    def read(r: Column, i: Column) -> Column:
+        return F.struct(
+            i.alias("pos"), canonical_agency(_agency_of(r), site).alias("agency"), _agency_of(r).isNotNull().alias("named"),
+            valid_rank(r["rank"]).alias("rank"), valid_year(r["year"]).alias("year"), clean(r["stream"]).alias("stream"),
+        )
+
+    def shown(r: Column) -> Column:
+        body, rank = ranking_label(r["agency"], r["rank"], r["stream"], site)
+        return F.struct(r["pos"].alias("pos"), body.alias("ranking_body"), rank.alias("rank"), r["year"].alias("ranking_year"))
+
+    usable = F.filter(F.transform(_state_items(html), read), lambda r: r["named"] & r["rank"].isNotNull())
+    return F.coalesce(F.transform(usable, shown), F.array().cast(ENTRIES))
+
+
+def text_rankings(text: Column, site: Site = DEFAULT_SITE) -> Column:
+    """First ranking per body in a text, in the same form."""
+    found = F.array(*[
+        F.struct(F.lit(i).alias("pos"), F.lit(body).alias("ranking_body"), ranking_in_text(text, aliases).alias("hit"))
+        for i, (body, aliases) in enumerate(bodies(site))
+    ])
+
+    def shown(f: Column) -> Column:
+        prefix = F.when(f["ranking_body"] == site.brand, F.lit(site.rank_label + " #")).otherwise(F.lit("#"))
+        return F.struct(
+            f["pos"].alias("pos"), f["ranking_body"].alias("ranking_body"), F.concat(prefix, f["hit"]["rank"]).alias("rank"),
+            f["hit"]["year"].alias("ranking_year"),
+        )
+
+    return F.transform(F.filter(found, lambda f: f["hit"].isNotNull()), shown)
 
 
 def rankings_from_state(pages: DataFrame, keys: Sequence[str] = ("college_id", "slug"), site: Site = DEFAULT_SITE) -> DataFrame:
     """Ranking rows of the embedded state; info pages go before placement pages."""
     rows = pages.select(
-        *keys,
-        F.when(F.col("page_type") == "info", 0).otherwise(1).alias("source"),
-        F.posexplode(_state_items(F.col("html"))).alias("pos", "r"),
-    )
-    agency = _agency_of(F.col("r"))
-    rows = rows.withColumns({"_rank": valid_rank(F.col("r.rank")), "_agency": canonical_agency(agency, site)}).filter(
-        agency.isNotNull() & F.col("_rank").isNotNull()
-    )
-    body, shown = ranking_label(F.col("_agency"), F.col("_rank"), clean(F.col("r.stream")), site)
-    rows = rows.select(*keys, "source", "pos", body.alias("ranking_body"), shown.alias("rank"), valid_year(F.col("r.year")).alias("ranking_year"))
+        *keys, F.when(F.col("page_type") == "info", 0).otherwise(1).alias("source"), F.explode(state_rankings(F.col("html"), site)).alias("r")
+    ).select(*keys, "source", "r.*")
     return first_wins(rows, [*keys, "ranking_body", "rank", "ranking_year"], ["source", "pos"])
 
 
@@ -104,37 +127,49 @@ def bodies(site: Site = DEFAULT_SITE) -> list[tuple[str, list[str]]]:
 
 def rankings_from_text(texts: DataFrame, keys: Sequence[str] = ("college_id", "slug"), site: Site = DEFAULT_SITE, text: str = "main_text") -> DataFrame:
     """First ranking per body in page text; placement pages go before info pages."""
-    known = bodies(site)
-    found = F.array(*[
-        F.struct(F.lit(i).alias("pos"), F.lit(body).alias("ranking_body"), ranking_in_text(F.col(text), aliases).alias("hit"))
-        for i, (body, aliases) in enumerate(known)
-    ])
     rows = texts.select(
-        *keys,
-        F.when(F.col("page_type") == "placements", 0).otherwise(1).alias("source"),
-        F.explode(F.filter(found, lambda f: f["hit"].isNotNull())).alias("f"),
-    ).select(*keys, "source", "f.pos", "f.ranking_body", "f.hit.rank", F.col("f.hit.year").alias("ranking_year"))
-    rows = first_wins(rows, [*keys, "ranking_body"], ["source"])
-    prefix = F.when(F.col("ranking_body") == site.brand, F.lit(site.rank_label + " #")).otherwise(F.lit("#"))
-    return rows.withColumn("rank", F.concat(prefix, "rank"))
+        *keys, F.when(F.col("page_type") == "placements", 0).otherwise(1).alias("source"), F.explode(text_rankings(F.col(text), site)).alias("r")
+    ).select(*keys, "source", "r.*")
+    return first_wins(rows, [*keys, "ranking_body"], ["source"])
 
 
 def build_rankings(pages: DataFrame, keys: Sequence[str] = ("college_id", "slug"), site: Site = DEFAULT_SITE) -> DataFrame:
-    """Ranking rows of colleges that have a placement page.
+    """Ranking rows of colleges that have a placement page: embedded ones, else those in text.
 
-    Text is read only on pages without embedded rankings of their own, and kept only for
-    colleges without any.
+    One pass over the pages. Markup is parsed only for pages without usable rankings of their
+    own; every page gives a few short entries, and a college's choice between the two kinds
+    is made on its distinct entries.
     """
-    pages = pages.filter(F.col("page_type").isin("info", "placements"))
-    placed = pages.filter(F.col("page_type") == "placements").select(*keys).distinct()
-    state = rankings_from_state(pages, keys, site).join(placed, list(keys), "left_semi")
-    bare = pages.filter(~has_state_rankings(F.col("html"))).select(*keys, "page_type", "html")
-    texts = H.with_main_text(H.with_tree(bare)).select(*keys, "page_type", "main_text")
-    text = rankings_from_text(texts, keys, site).join(placed, list(keys), "left_semi")
-    text = text.join(state.select(*keys).distinct(), list(keys), "left_anti")
-    order = ["source", "pos"]
-    columns = [*keys, *order, *[c for c in RANKINGS.fieldNames() if c not in keys]]
-    return state.select(*columns).union(text.select(*columns))
+    read = pages.filter(F.col("page_type").isin("info", "placements")).select(
+        *keys, "page_type", "html", state_rankings(F.col("html"), site).alias("_state")
+    )
+    read = read.withColumn("html", F.when(F.size("_state") == 0, F.col("html")))
+    trees = H.with_main_text(H.with_tree(read))
+
+    def entries(kind: int, source: Column, found: Column) -> Column:
+        return F.transform(found, lambda r: F.struct(F.lit(kind).alias("kind"), source.alias("source"), r.alias("r")))
+
+    placed = F.col("page_type") == "placements"
+    mark = F.when(placed, F.array(F.lit(None).cast(ENTRY))).otherwise(F.array().cast(ENTRIES))
+    text = F.when(F.size("_state") == 0, text_rankings(F.col("main_text"), site)).otherwise(F.array().cast(ENTRIES))
+    rows = trees.select(
+        *keys,
+        F.explode(F.concat(
+            entries(MARK, F.lit(0), mark),
+            entries(STATE, placed.cast("int"), F.col("_state")),
+            entries(TEXT, (~placed).cast("int"), text),
+        )).alias("e"),
+    ).select(*keys, "e.kind", "e.source", "e.r.*")
+    exact = lambda c: F.when(F.col("kind") == STATE, F.col(c))
+    rows = first_wins(rows, [*keys, "kind", "ranking_body", exact("rank"), exact("ranking_year")], ["source", "pos"])
+    college = W.partitionBy(*keys)
+    best = rows.withColumns({
+        "_placed": F.min("kind").over(college) == MARK,
+        "_state": F.max(F.col("kind") == STATE).over(college),
+    })
+    return best.filter(
+        F.col("_placed") & (F.col("kind") != MARK) & ((F.col("kind") == STATE) | ~F.col("_state"))
+    ).select(*keys, "source", "pos", "ranking_body", "rank", "ranking_year")
 
 
 def dedup_rankings(existing: DataFrame, new: DataFrame, order: Sequence[str] = ("source", "pos")) -> DataFrame:
