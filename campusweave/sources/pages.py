@@ -18,12 +18,7 @@ PAGES = T.StructType(
 def read_pages(spark: SparkSession, path: str) -> DataFrame:
     """Saved pages under ``<path>/<page_type>/<id>_<slug>.html``; other files are left out."""
     name = F.col("_metadata.file_path")
-    files = (
-        spark.read.option("wholetext", True)
-        .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "*.html")
-        .text(path)
-    )
+    files = spark.read.text(path, wholetext=True, recursiveFileLookup=True, pathGlobFilter="*.html")
     return files.select(
         first_match(name, SAVED_PAGE_NAME, 2).alias("college_id"),
         first_match(name, SAVED_PAGE_NAME, 3).alias("slug"),
