@@ -542,9 +542,6 @@ def html_cards(spark, d):
 @query("section_content", "SELECT p_partkey, p_name AS admission_process, p_brand AS important_dates FROM part")
 def section_content(spark, d):
     heading = H.tagged_class(["h2", "h3", "h4", "div"], "(?i)heading|title|section")
-    sections = H.with_sections(H.with_tree(table_pages(spark, d)), heading, ["p", "ul", "ol", "table"])
-    return sections.select(
-        "p_partkey",
-        H.section_value(["admission process", "selection criteria"], [], 1000).alias("admission_process"),
-        H.section_value(["important  dates"], ["admission process", "selection criteria"], 1000).alias("important_dates"),
-    )
+    fields = [("admission_process", ["admission process", "selection criteria"], 1000), ("important_dates", ["important  dates"], 1000)]
+    trees = H.with_tree(table_pages(spark, d))
+    return H.with_sections(trees, heading, ["p", "ul", "ol", "table"], fields).select("p_partkey", "admission_process", "important_dates")

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 from campusweave.functions.text import WS, blank_to_null, clean, let_sql
 
@@ -48,9 +49,15 @@ def fees(amount: Column, formatted: Column | None = None) -> Column:
         F.coalesce(amount, F.lit("")).alias("amount"),
         parse_number(amount, commas=True).alias("number"),
         text.alias("text"),
-        F.lower(F.regexp_extract(text, _UNIT_AMOUNT, 2)).alias("unit"),
-        parse_number(F.regexp_extract(text, _UNIT_AMOUNT, 1), commas=True).alias("units"),
     )
+    worded = f"""CASE
+        WHEN u.units IS NULL THEN u.text
+        WHEN u.unit IN ('l', 'lakh', 'lakhs') THEN concat({_significant('u.units')}, ' Lakhs')
+        WHEN u.unit IN ('cr', 'crore', 'crores') THEN concat({_significant('u.units')}, ' Crores')
+        WHEN u.unit = 'k' THEN concat({_significant('u.units')}, ' Thousand')
+        ELSE u.text END"""
+    unit_parts = f"""named_struct('text', p.text, 'unit', lower(regexp_extract(p.text, r'{_UNIT_AMOUNT}', 2)),
+        'units', try_cast(replace(regexp_extract(p.text, r'{_UNIT_AMOUNT}', 1), ',', '') AS DOUBLE))"""
     squeezed = f"trim(regexp_replace(p.ready, r'{WS}+', ' '))"
     body = f"""CASE
         WHEN p.ready IS NOT NULL THEN {squeezed}
@@ -58,11 +65,7 @@ def fees(amount: Column, formatted: Column | None = None) -> Column:
         WHEN p.number >= 100000 THEN concat({_significant('(p.number / 100000)')}, ' Lakhs')
         WHEN p.number = floor(p.number) THEN format_number(p.number, 0)
         WHEN p.number IS NOT NULL THEN {_drop_zeros('format_number(p.number, 2)')}
-        WHEN p.units IS NULL THEN p.text
-        WHEN p.unit IN ('l', 'lakh', 'lakhs') THEN concat({_significant('p.units')}, ' Lakhs')
-        WHEN p.unit IN ('cr', 'crore', 'crores') THEN concat({_significant('p.units')}, ' Crores')
-        WHEN p.unit = 'k' THEN concat({_significant('p.units')}, ' Thousand')
-        ELSE p.text END"""
+        ELSE transform(array({unit_parts}), u -> {worded})[0] END"""
     return let_sql(parts, "p", body)
 
 
@@ -81,8 +84,15 @@ def package(value: Column) -> Column:
     return let_sql(parts, "p", body)
 
 
-def indian_digits(value: Column) -> Column:
-    """1234567 to '12,34,567'; '' for zero and for what is not a number."""
-    whole = parse_number(value.cast("string")).cast("bigint")
+def indian_digits(value: Column, numeric: bool = False) -> Column:
+    """1234567 to '12,34,567'; '' for zero and for what is not a number.
+
+    ``numeric`` says that the column holds numbers and not text.
+    """
+    whole = (value if numeric else parse_number(value.cast("string"))).cast("bigint")
     grouped = F.regexp_replace(whole.cast("string"), r"(\d)(?=(\d\d)+\d$)", "$1,")
     return F.when(whole != 0, grouped).otherwise(F.lit(""))
+
+
+def is_numeric(df: DataFrame, column: str) -> bool:
+    return isinstance(df.schema[column].dataType, NumericType)

@@ -41,6 +41,15 @@ def let_sql(value: Column, name: str, body: str) -> Column:
     return F.get(F.call_function("transform", F.array(value), F.expr(f"{name} -> {body}")), F.lit(0))
 
 
+def items(array: Column, start: Column, end: Column) -> Column:
+    """Elements start..end-1 of an array, by position.
+
+    ``slice`` walks the whole array every time; many short ranges of a long array need this.
+    """
+    places = F.when(end > start, F.sequence(start, end - 1)).when(end <= start, F.array().cast("array<int>"))
+    return F.transform(places, lambda i: F.get(array, i))
+
+
 def quoted(text: str) -> str:
     """SQL literal of a plain text without backslashes."""
     return "'" + text.replace("'", "''") + "'"

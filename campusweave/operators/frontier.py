@@ -7,9 +7,10 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from campusweave.functions.text import blank_to_null, clean, first_match, first_of, let, strip
+from campusweave.functions.money import indian_digits, is_numeric, parse_number
+from campusweave.functions.text import blank_to_null, clean, first_match, first_of, items, let, strip
 from campusweave.operators.html import (
-    _joined, first, has_class, inside, nodes_where, spaced_text_of, tagged_class,
+    first, inside, nodes_where, spaced_text_of, tagged_class,
 )
 from campusweave.operators.relational import first_wins, top_n
 from campusweave.rules import patterns as P
@@ -144,7 +145,7 @@ def listing_cards(trees: DataFrame, keys: Sequence[str], base: str = DEFAULT_SIT
 
     def shape(card: Column) -> Column:
         link = first(F.filter(inside(card), _is_link))
-        strings = F.slice(F.col("texts"), card["t0"] + 1, card["t1"] - card["t0"])
+        strings = items(F.col("texts"), card["t0"], card["t1"])
         return F.struct(
             let(F.try_element_at(link["attrs"], F.lit("href")), lambda href: clean_url(href, base)).alias("url"),
             spaced_text_of(card).alias("card_text"),
@@ -211,7 +212,9 @@ def associate_ranks(trees: DataFrame, keys: Sequence[str], base: str = DEFAULT_S
         return F.coalesce(*tries)
 
     def _first_link(scope: Column, last: Column) -> Column:
-        return first(F.filter(F.col("_links"), lambda a: (a["pre"] > scope) & (a["pre"] <= last)))["url"]
+        # links are in document order: the first one inside follows those up to the scope's start
+        place = F.size(F.filter(F.col("_places"), lambda pre: pre <= scope))
+        return F.when(scope.isNotNull() & (F.get(F.col("_places"), place) <= last), F.get(F.col("_links"), place)["url"])
 
     found = F.transform(
         F.col("_tokens"),
@@ -219,6 +222,7 @@ def associate_ranks(trees: DataFrame, keys: Sequence[str], base: str = DEFAULT_S
     )
     return (
         trees.withColumns({"_links": links, "_tokens": tokens})
+        .withColumn("_places", F.col("_links.pre"))
         .select(*keys, F.explode(found).alias("f"))
         .select(*keys, "f.*")
         .filter(F.col("url").isNotNull())
@@ -298,17 +302,15 @@ def import_listing(
     df: DataFrame, url: str, average: str, highest: str, rank: str, site: Site = DEFAULT_SITE
 ) -> DataFrame:
     """External listing table to listing columns; rows without an address are dropped."""
-    from campusweave.functions.money import indian_digits, parse_number
-
     address = F.trim(F.col(url).cast("string"))
-    place = parse_number(F.col(rank).cast("string")).cast("int")
+    place = (F.col(rank) if is_numeric(df, rank) else parse_number(F.col(rank).cast("string"))).cast("int")
     return df.filter((F.coalesce(address, F.lit("")) != "") & (F.lower(address) != "nan")).select(
         F.when(address.rlike("^https?://"), address)
         .when(address.startswith("/"), F.concat(F.lit(site.base_url), address))
         .otherwise(F.concat(F.lit(site.base_url + "/"), address))
         .alias("url"),
-        F.coalesce(indian_digits(F.col(average)), F.lit("")).alias("listing_avg_package"),
-        F.coalesce(indian_digits(F.col(highest)), F.lit("")).alias("listing_highest_package"),
+        F.coalesce(indian_digits(F.col(average), is_numeric(df, average)), F.lit("")).alias("listing_avg_package"),
+        F.coalesce(indian_digits(F.col(highest), is_numeric(df, highest)), F.lit("")).alias("listing_highest_package"),
         F.lit("").alias("listing_placement_percentage"),
         F.when(place > 0, F.concat(F.lit("#"), place.cast("string"))).otherwise(F.lit("")).alias("listing_rank"),
     ).select(*LISTING_COLUMNS)

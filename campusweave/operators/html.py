@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 
 from campusweave.functions import page_tree
 from campusweave.functions.page_tree import PageTree
-from campusweave.functions.text import WS, clean, contains_any, first_match, let, squeeze
+from campusweave.functions.text import WS, clean, contains_any, first_match, items, let, squeeze
 from campusweave.rules.patterns import APP_STATE, JSON_LD
 from campusweave.rules.vocab import NOISE_CLASS_PARTS, NOISE_TAGS
 
@@ -111,10 +111,10 @@ def html_nodes(pages: DataFrame, html: str = "html") -> DataFrame:
     strings = F.arrays_zip(F.col("texts").alias("text"), F.col("text_parents").alias("parent"))
 
     def own_text(n: Column) -> Column:
-        held = F.slice(strings, n["t0"] + 1, n["t1"] - n["t0"])
+        held = items(F.col("_strings"), n["t0"], n["t1"])
         return F.array_join(F.filter(held, lambda s: s["parent"] == n["pre"])["text"], "")
 
-    tree = with_tree(pages, html).select(
+    tree = with_tree(pages, html).withColumn("_strings", strings).select(
         *keep, F.explode(F.transform("nodes", lambda n: n.withField("own_text", own_text(n)))).alias("n")
     )
     return tree.select(*keep, "n.*")
@@ -134,7 +134,7 @@ def nodes_where(test: Callable[[Column], Column], within: Column | None = None)
 
 def inside(n: Column) -> Column:
     """Descendants of an element, in document order."""
-    return F.slice(F.col("nodes"), n["pre"] + 2, n["last"] - n["pre"])
+    return items(F.col("nodes"), n["pre"] + 1, n["last"] + 1)
 
 
 def first(found: Column) -> Column:
@@ -158,7 +158,7 @@ def tagged_class(tags: Sequence[str], pattern: str) -> Callable[[Column], Column
 
 
 def _joined(texts: Column, t0: Column, t1: Column, glue: str) -> Column:
-    return F.array_join(F.slice(texts, t0 + 1, t1 - t0), glue)
+    return F.array_join(items(texts, t0, t1), glue)
 
 
 def text_of(n: Column) -> Column:
@@ -202,14 +202,9 @@ def kept_nodes(noise: Column) -> Column:
 
 def kept_texts(noise: Column, n: Column) -> Column:
     """Strings of an element that no dropped element holds."""
-    return F.filter(
-        F.slice(
-            F.transform(F.col("texts"), lambda text, i: F.struct(i.alias("i"), text.alias("text"))),
-            n["t0"] + 1,
-            n["t1"] - n["t0"],
-        ),
-        lambda s: ~F.exists(noise, lambda z: (s["i"] >= z["t0"]) & (s["i"] < z["t1"])),
-    )["text"]
+    places = F.when(n["t1"] > n["t0"], F.sequence(n["t0"], n["t1"] - 1)).otherwise(F.array().cast("array<int>"))
+    outside = F.filter(places, lambda i: ~F.exists(noise, lambda z: (i >= z["t0"]) & (i < z["t1"])))
+    return F.transform(outside, lambda i: F.get(F.col("texts"), i))
 
 
 def with_main_text(trees: DataFrame, name: str = "main_text") -> DataFrame:
@@ -257,8 +252,8 @@ def table_structs(within: Column | None = None) -> Column:
         return F.transform(F.filter(inside(tr), tagged("td", "th")), text_of)
 
     def table(t: Column) -> Column:
-        before = F.try_element_at(F.filter(F.col("_headings"), lambda h: h["pre"] < t["pre"]), F.lit(-1))
-        title = let(before, lambda h: F.lower(F.regexp_replace(text_of(h), f"^{WS}+|{WS}+$", "")))
+        before = F.array_max(F.filter(F.col("_headings"), lambda pre: pre < t["pre"]))
+        title = let(F.get(F.col("nodes"), before), lambda h: F.lower(F.regexp_replace(text_of(h), f"^{WS}+|{WS}+$", "")))
         return F.struct(
             t["pre"].alias("pre"),
             F.coalesce(title, F.lit("")).alias("heading"),
@@ -269,7 +264,8 @@ def table_structs(within: Column | None = None) -> Column:
 
 
 def with_headings(trees: DataFrame) -> DataFrame:
-    return trees.withColumn("_headings", nodes_where(tagged("h1", "h2", "h3", "h4")))
+    """Add the places of headings. Numbers are compared much faster than elements."""
+    return trees.withColumn("_headings", F.transform(nodes_where(tagged("h1", "h2", "h3", "h4")), lambda n: n["pre"]))
 
 
 def html_tables(trees: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -292,43 +288,47 @@ def html_cards(
     """One row per card; each field is the clean text of its first matching descendant."""
 
     def shape(c: Column) -> Column:
-        return F.struct(
+        return let(inside(c), lambda within: F.struct(
             c["pre"].alias("card_pre"),
-            *[text_at(first(F.filter(inside(c), test))).alias(name) for name, test in fields.items()],
-        )
+            *[text_at(first(F.filter(within, test))).alias(name) for name, test in fields.items()],
+        ))
 
     return trees.select(*keys, F.posexplode(F.transform(nodes_where(card), shape)).alias("card_no", "c")).select(
         *keys, "card_no", "c.*"
     )
 
 
-def section_structs(heading: Callable[[Column], Column], content_tags: Sequence[str]) -> Column:
-    """Heading-like elements with the text of the next content element in the document."""
-
-    def section(s: Column) -> Column:
-        following = first(F.filter(F.col("_content"), lambda n: n["pre"] > s["pre"]))
-        return F.struct(F.lower(text_of(s)).alias("title"), F.coalesce(text_at(following), F.lit("")).alias("body"))
-
-    return F.transform(nodes_where(heading), section)
-
-
 def with_sections(
-    trees: DataFrame, heading: Callable[[Column], Column], content_tags: Sequence[str], name: str = "sections"
+    trees: DataFrame,
+    heading: Callable[[Column], Column],
+    content_tags: Sequence[str],
+    fields: Sequence[tuple[str, Sequence[str], int]],
 ) -> DataFrame:
-    return (
-        trees.withColumn("_content", nodes_where(tagged(*content_tags)))
-        .withColumn(name, section_structs(heading, content_tags))
-        .drop("_content")
-    )
-
-
-def section_value(phrases: Sequence[str], earlier: Sequence[str], limit: int, sections: str = "sections") -> Column:
-    """Body of the last section that names one of the phrases and none of the earlier ones."""
-
-    def names(s: Column) -> Column:
-        return contains_any(s["title"], phrases) & ~contains_any(s["title"], earlier)
+    """Add one column per field: the text under the last section heading that names it.
 
-    return F.substring(F.try_element_at(F.filter(F.col(sections), names), F.lit(-1))["body"], 1, limit)
+    ``fields`` are (column, phrases, longest text kept) in order of precedence: a heading
+    belongs to the first field whose phrases it holds. Its text is that of the next content
+    element in the document, '' if there is none. Headings are matched first and only the
+    last one of a field is followed, so long pages cost no more than one walk per field.
+    """
+    titles = F.transform(
+        nodes_where(heading), lambda n: F.struct(n["pre"].alias("pre"), F.lower(text_of(n)).alias("title"))
+    )
+    content = F.transform(nodes_where(tagged(*content_tags)), lambda n: n["pre"])
+    found = trees.withColumns({"_titles": titles, "_content": content})
+    columns, earlier = {}, []
+    for name, phrases, limit in fields:
+        columns[name] = _section_text(list(phrases), list(earlier), limit)
+        earlier += phrases
+    return found.withColumns(columns).drop("_titles", "_content")
+
+
+def _section_text(phrases: list[str], earlier: list[str], limit: int) -> Column:
+    last = F.try_element_at(
+        F.filter("_titles", lambda s: contains_any(s["title"], phrases) & ~contains_any(s["title"], earlier)), F.lit(-1)
+    )
+    following = let(last, lambda s: F.get(F.col("nodes"), F.array_min(F.filter("_content", lambda pre: pre > s["pre"]))))
+    return F.when(last.isNotNull(), F.substring(F.coalesce(text_at(following), F.lit("")), 1, limit))
 
 
 # -- embedded data, read from the raw markup -----------------------------------------------

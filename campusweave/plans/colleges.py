@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from campusweave.functions.text import blank_to_null, clean, first_match, keep_longest, strip
+from campusweave.functions.text import blank_to_null, clean, first_match, items, keep_longest, strip
 from campusweave.operators import html as H
 from campusweave.operators.extract import college_type, contact_info, ownership, resolve_location
 from campusweave.operators.relational import first_wins
@@ -43,7 +43,7 @@ def header_place() -> Column:
     header = H.nodes_where(H.tagged_class(["span"], P.HEADER_LOCATION_CLASS))
 
     def shown(n: Column) -> Column:
-        strings = F.transform(F.slice(F.col("texts"), n["t0"] + 1, n["t1"] - n["t0"]), strip)
+        strings = F.transform(items(F.col("texts"), n["t0"], n["t1"]), strip)
         return F.array_join(F.filter(strings, lambda s: s != ""), " ")
 
     fits = lambda s: s.rlike(P.CITY_STATE) & (F.length(s) < P.CITY_STATE_MAX) & ~F.get(F.split(s, ","), F.lit(0)).contains("India")

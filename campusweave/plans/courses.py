@@ -151,7 +151,9 @@ def card_rows() -> Column:
     nodes = F.col("nodes")
 
     def card(c: Column) -> Column:
-        within = H.inside(c)
+        return let(H.inside(c), described)
+
+    def described(within: Column) -> Column:
         name = let(_first_text(within, "course-title"), without_trailing_parens)
         kind = strip(F.translate(_first_text(within, "course-duration-text"), "()", ""))
 

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from campusweave.functions.text import blank_to_null, clean, first_match, keep_longest, vocabulary_hits
+from campusweave.functions.text import blank_to_null, clean, first_match, keep_longest, let, vocabulary_hits
 from campusweave.operators import html as H
 from campusweave.operators.extract import lines_with
 from campusweave.rules import patterns as P
@@ -32,7 +32,10 @@ def build_faculty(pages: DataFrame, keys: Sequence[str] = ("college_id", "slug")
     """People of faculty cards; without any, of lines that name a title."""
 
     def person(c: Column) -> Column:
-        values = {n: H.text_at(H.first(F.filter(H.inside(c), H.tagged_class(tags, cls)))) for n, (tags, cls) in P.FACULTY_FIELDS.items()}
+        return let(H.inside(c), described)
+
+    def described(within: Column) -> Column:
+        values = {n: H.text_at(H.first(F.filter(within, H.tagged_class(tags, cls)))) for n, (tags, cls) in P.FACULTY_FIELDS.items()}
         return F.struct(
             values["faculty_name"].alias("faculty_name"),
             *[F.coalesce(values[n], F.lit(d)).alias(n) for n, d in FACULTY_DEFAULTS.items()],
@@ -94,7 +97,10 @@ def build_reviews(pages: DataFrame, keys: Sequence[str] = ("college_id", "slug")
     """Review cards with text; without any, the notes of the page's own record. Nothing is made up."""
 
     def review(c: Column) -> Column:
-        found = {n: H.first(F.filter(H.inside(c), H.has_class(cls))) for n, cls in P.REVIEW_FIELDS.items()}
+        return let(H.inside(c), described)
+
+    def described(within: Column) -> Column:
+        found = {n: H.first(F.filter(within, H.has_class(cls))) for n, cls in P.REVIEW_FIELDS.items()}
         number = first_match(H.text_at(found["rating"]), P.FIRST_NUMBER)
         return F.struct(
             F.coalesce(H.text_at(found["reviewer"]), F.lit(REVIEWER_DEFAULT)).alias("reviewer_name"),
@@ -124,12 +130,10 @@ def build_reviews(pages: DataFrame, keys: Sequence[str] = ("college_id", "slug")
 def build_admissions(pages: DataFrame, keys: Sequence[str] = ("college_id", "slug")) -> DataFrame:
     """Admission fields from headed sections (the last one wins), else from the text."""
     heading = H.tagged_class(["h2", "h3", "h4", "div"], P.SECTION_CLASS)
-    page = H.with_sections(_trees(pages, keys), heading, ["p", "ul", "ol", "table"]).select(*keys, "sections", H.page_text().alias("_text"))
-    fields, earlier = {}, []
-    for name, phrases, limit in V.ADMISSION_SECTIONS:
-        fields[name] = H.section_value(phrases, list(earlier), limit)
-        earlier += phrases
-    text = F.col("_text")
+    names = [name for name, *_ in V.ADMISSION_SECTIONS]
+    page = H.with_sections(_trees(pages, keys), heading, ["p", "ul", "ol", "table"], V.ADMISSION_SECTIONS)
+    page = page.select(*keys, *names, H.page_text().alias("_text"))
+    fields, text = {name: F.col(name) for name in names}, F.col("_text")
     process = F.when(text.rlike(P.ADMISSION_PROCESS), clean(F.regexp_extract(text, P.ADMISSION_PROCESS, 1)))
     fields["admission_process"] = F.coalesce(fields["admission_process"], process)
     fields["exams_accepted"] = F.coalesce(fields["exams_accepted"], vocabulary_hits(text, V.ADMISSION_EXAMS))
