@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from campusweave.catalog.registry import pages, query, table
+from campusweave.catalog.registry import pages, query, spread_table, table
 from campusweave.operators import audit as A
 from campusweave.operators import frontier as B
 from campusweave.operators import html as H
@@ -367,7 +367,7 @@ GROUPED = """CASE WHEN length({s}) <= 3 THEN {s} ELSE ltrim(reverse(regexp_repla
  CASE WHEN r > 0 THEN '#' || CAST(r AS STRING) ELSE '' END AS listing_rank FROM o""",
 )
 def import_listing(spark, d):
-    external = table(spark, d, "orders").selectExpr(
+    external = spread_table(spark, d, "orders", "o_orderkey").selectExpr(
         """CASE WHEN o_orderkey % 11 = 0 THEN 'nan' WHEN o_orderkey % 3 = 0 THEN ' http://other.example/' || CAST(o_orderkey AS STRING)
            WHEN o_orderkey % 3 = 1 THEN '/' || CAST(o_orderkey AS STRING) ELSE CAST(o_orderkey AS STRING) END AS url""",
         "o_totalprice AS avg_salary", "o_totalprice * 100 AS highest_salary", "o_custkey % 50 - 5 AS top_ranking_rank",
