@@ -13,11 +13,14 @@ from campusweave.catalog.registry import query, table
 from campusweave.operators import frontier as B
 from campusweave.operators import html as H
 from campusweave.operators import relational as R
+from campusweave.operators.audit import audit_counts, audit_stored
 from campusweave.plans import colleges, courses, people, placements, rankings
 from campusweave.plans.run import finish, load_datasets, new_pages
-from campusweave.schemas import DATASETS, UNSPECIFIED
+from campusweave.schemas import DATASETS
 from campusweave.session import checkpoint_dir
-from campusweave.sources.datasets import write_per_entity
+from campusweave.sources.datasets import read_dataset, write_bundle, write_dataset, write_per_entity
+from campusweave.sources.listing import read_listing, write_listing
+from campusweave.sources.pages import store_pages, stored_pages
 from campusweave.streaming.ingest import stream_pages
 
 # -- relational pieces ------------------------------------------------------------------------
@@ -124,7 +127,7 @@ def entity_slices(spark, d):
 )
 def per_entity_export(spark, d):
     """Export by entity, then read back."""
-    root = f"{checkpoint_dir(spark)}/export-{uuid.uuid4().hex}"
+    root = _folder(spark, "export")
     write_per_entity(_sliced(spark, d), root, "first", buckets=8, entities="customer")
     return R.entity_counts({t: spark.read.parquet(f"{root}/{t}") for t in SLICED}, "college_id")
 
@@ -144,6 +147,67 @@ def ranking_dedup(spark, d):
     return rankings.dedup_rankings(rows.filter("ranking_body = 'view'"), rows, ["event_id"])
 
 
+# -- files out and in -------------------------------------------------------------------------
+
+
+def _folder(spark, name: str) -> str:
+    return f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+@query(
+    "listing_file",
+    """SELECT 'https://campus.example/' || c_mktsegment || '/' || CAST(c_nationkey AS STRING) AS url, '' AS listing_avg_package, CAST(max(c_custkey) AS STRING) || ' LPA' AS listing_highest_package,
+ '' AS listing_placement_percentage, '#' || CAST(max(c_custkey) AS STRING) AS listing_rank FROM customer GROUP BY c_mktsegment, c_nationkey""",
+)
+def listing_file(spark, d):
+    """A listing with repeated addresses, written as CSV and read back: the last row of each stays."""
+    rows = table(spark, d, "customer").selectExpr(
+        "c_custkey AS ordinal", "'https://campus.example/' || c_mktsegment || '/' || CAST(c_nationkey AS STRING) AS url",
+        "' ' || CAST(c_custkey AS STRING) || ' LPA ' AS listing_highest_package", "'#' || CAST(c_custkey AS STRING) AS listing_rank",
+    )
+    path = _folder(spark, "listing")
+    write_listing(rows, path)
+    return read_listing(spark, path).drop("ordinal")
+
+
+@query("dataset_file", "SELECT CAST(o_orderkey AS STRING) AS college_id, CAST(o_custkey AS STRING) AS hostel_fees, CASE WHEN o_orderkey % 2 = 0 THEN o_orderstatus END AS facilities FROM orders")
+def dataset_file(spark, d):
+    """A dataset written as JSON and read back."""
+    rows = table(spark, d, "orders").selectExpr("CAST(o_orderkey AS STRING) AS college_id", "CAST(o_custkey AS STRING) AS hostel_fees", "CASE WHEN o_orderkey % 2 = 0 THEN o_orderstatus END AS facilities")
+    path = _folder(spark, "dataset")
+    write_dataset(rows, path, "json")
+    return read_dataset(spark, path, DATASETS["hostel"], "json")
+
+
+@query(
+    "bundle",
+    "SELECT 'hostel' AS dataset, count(*) AS n_rows, CAST(NULL AS STRING) AS error FROM orders UNION ALL SELECT 'faculty', count(*), NULL FROM supplier UNION ALL SELECT 'reviews', 0, NULL UNION ALL SELECT 'reviews_status', 1, NULL UNION ALL SELECT 'courses', NULL, 'PATH_NOT_FOUND'",
+)
+def bundle(spark, d):
+    """Three datasets written together, one of them empty, and counted where they were put."""
+    path = _folder(spark, "bundle")
+    rows = {
+        "hostel": table(spark, d, "orders").selectExpr("CAST(o_orderkey AS STRING) AS college_id"),
+        "faculty": table(spark, d, "supplier").selectExpr("CAST(s_suppkey AS STRING) AS college_id", "s_name AS faculty_name"),
+        "reviews": table(spark, d, "customer").filter("c_custkey < 0").selectExpr("CAST(c_custkey AS STRING) AS college_id"),
+    }
+    write_bundle(rows, path)
+
+    def reader(name):
+        return lambda: spark.read.parquet(f"{path}/{name}")
+
+    return audit_stored(spark, {name: reader(name) for name in (*rows, "reviews_status", "courses")})
+
+
+@query("page_store", "SELECT 'info' AS page_type, count(*) AS n_pages FROM customer UNION ALL SELECT 'placements', count(*) FROM customer")
+def page_store(spark, d):
+    """Pages put into a folder per type and read back from one folder at a time."""
+    path = _folder(spark, "pages")
+    store_pages(profile_pages(spark, d, "info").union(profile_pages(spark, d, "placements")), path)
+    kept = [stored_pages(spark, path).filter(F.col("page_type") == kind) for kind in ("info", "placements")]
+    return kept[0].union(kept[1]).groupBy("page_type").agg(F.count("html").alias("n_pages"))
+
+
 # -- listing pages ----------------------------------------------------------------------------
 
 _FIRST = "'https://campus.example/college/' || CAST(s_suppkey AS STRING) || '-a'"
@@ -419,13 +483,8 @@ _COUNTS = {
 @query("stream_ingest", " UNION ALL ".join(f"SELECT '{n}' AS dataset, count(*) AS n_rows FROM ({s}) AS t" for n, s in _COUNTS.items()))
 def stream_ingest(spark, d):
     """Pages of every type arrive as files and are parsed batch by batch."""
-    root = f"{checkpoint_dir(spark)}/stream-{uuid.uuid4().hex}"
+    root = _folder(spark, "stream")
     # a college's pages arrive together, so that its rankings are settled in one batch
     all_pages(spark, d).repartition(8, "college_id").write.parquet(f"{root}/in")
     stream_pages(spark, f"{root}/in", f"{root}/out", f"{root}/progress", files_per_batch=4)
-    from campusweave.operators.audit import audit_counts
-
     return audit_counts(load_datasets(spark, f"{root}/out"))
-
-
-assert UNSPECIFIED == "Not Specified"

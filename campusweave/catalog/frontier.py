@@ -11,7 +11,6 @@ from campusweave.operators import html as H
 from campusweave.operators import relational as R
 from campusweave.operators.ordinals import split_parts
 from campusweave.rules.vocab import PAGE_SUFFIXES
-from campusweave.schemas import PAGE_TYPES
 from campusweave.sources.datasets import merge_parts
 
 # addresses as a crawl would leave them, one per customer; the same text in both dialects
@@ -206,6 +205,21 @@ def frontier_growth(spark, d):
     return B.grow_frontier(known, found).select("batch", "url")
 
 
+@query(
+    "frontier_capped",
+    LINKS_SQL
+    + """, u AS (SELECT 0 AS batch, page_id AS o, 0 AS pos, url FROM (SELECT page_id, regexp_replace(url, '[?#].*$', '') AS url FROM pages)
+ UNION ALL SELECT 1, page_id, pos, 'https://campus.example' || href FROM l),
+ k AS (SELECT * FROM u QUALIFY row_number() OVER (PARTITION BY url ORDER BY batch, o, pos) = 1)
+ SELECT batch, url FROM k ORDER BY batch, o, pos LIMIT 300""",
+)
+def frontier_capped(spark, d):
+    """As above, up to a target size."""
+    known = B.clean_urls(table(spark, d, "pages").select("url", F.struct(F.col("page_id").alias("page"), F.lit(0).alias("pos")).alias("ordinal")))
+    found = page_links(spark, d).select(F.concat(F.lit("https://campus.example"), "href").alias("url"), F.struct(F.col("page_id").alias("page"), "pos").alias("ordinal"))
+    return B.grow_frontier(known, found, cap=300).select("batch", "url")
+
+
 DAY = "CAST(day(ts) AS BIGINT)"
 
 
@@ -394,5 +408,3 @@ def join_listing(spark, d):
 def counts_by_type(spark, d):
     return R.counts(table(spark, d, "events"), ["event_type"], {"high": F.col("value") > 10})
 
-
-assert set(PAGE_TYPES) == set(PAGE_SUFFIXES)

@@ -24,7 +24,8 @@ BARE = r"""regexp_replace(regexp_replace(regexp_replace(regexp_replace(html, '(?
 
 
 def decoded(sql: str) -> str:
-    return f"replace(replace(replace(replace({sql}, '&copy;', '©'), '&middot;', '·'), '&quot;', '\"'), '&amp;', '&')"
+    # a title cut short may end in an entity without its semicolon
+    return f"regexp_replace(replace(replace(replace({sql}, '&copy;', '©'), '&middot;', '·'), '&quot;', '\"'), '&amp;?', '&', 'g')"
 
 
 def squeezed(sql: str) -> str:

@@ -95,18 +95,32 @@ def parse_batch(
     """Parse the pages not seen in earlier batches and add their rows under ``root``.
 
     Every table is written to a folder of this batch, whole or not at all: a batch that is
-    repeated after a failure replaces its own folder and changes nothing else.
+    repeated after a failure replaces its own folders and changes nothing else. Pages count
+    as seen once their batch is through.
     """
     spark = pages.sparkSession
-    fresh = new_pages(pages, stored(spark, root, "_seen", SEEN, batch))
+    fresh, keys = _fresh(pages, root, batch)
     known = stored(spark, root, "rankings", DATASETS["rankings"], batch)
-    outputs: Mapping[str, DataFrame] = {
-        **build_datasets(fresh, listing, known, site),
-        "_seen": fresh.select(*PAGE_KEY).distinct(),
-    }
+    outputs: Mapping[str, DataFrame] = {**build_datasets(fresh, listing, known, site), "_seen": keys}
     for name, df in outputs.items():
         df.write.mode("overwrite").parquet(f"{root}/{name}/batch={batch}")
 
 
+def _fresh(pages: DataFrame, root: str, batch: str) -> tuple[DataFrame, DataFrame]:
+    """Pages not seen in other batches, and their keys.
+
+    Seen keys are compared with keys alone, once, and the outcome is stored: every job of the
+    batch then joins its pages with the batch's new keys and not with all there ever were.
+    """
+    spark = pages.sparkSession
+    seen = stored(spark, root, "_seen", SEEN, batch)
+    if seen.isEmpty():
+        return pages, pages.select(*PAGE_KEY).distinct()
+    folder = f"{root}/_fresh/batch={batch}"
+    new_pages(pages.select(*PAGE_KEY), seen).distinct().write.mode("overwrite").parquet(folder)
+    keys = spark.read.schema(SEEN).parquet(folder)
+    return pages.join(keys, PAGE_KEY, "left_semi"), keys
+
+
 def load_datasets(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     return {name: stored(spark, root, name, schema) for name, schema in DATASETS.items()}

@@ -28,6 +28,19 @@ def read_pages(spark: SparkSession, path: str) -> DataFrame:
     ).filter(F.col("college_id").isNotNull())
 
 
+def store_pages(pages: DataFrame, path: str, rows_per_file: int = 20_000) -> None:
+    """Pages as a table in a folder per page type: many small files are opened once only.
+
+    Each task writes what it read, so no page is shuffled; a job on one type then opens the
+    folder of that type.
+    """
+    pages.select(*PAGES.fieldNames()).write.mode("overwrite").option("maxRecordsPerFile", rows_per_file).partitionBy("page_type").parquet(path)
+
+
+def stored_pages(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(PAGES).parquet(path).select(*PAGES.fieldNames())
+
+
 def spread(scan: DataFrame, key: str) -> DataFrame:
     """A file scan in at least as many pieces as there are cores.
 

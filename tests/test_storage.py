@@ -158,3 +158,10 @@ def test_widths_and_slices(spark):
     df = spark.createDataFrame([("1", "x" * 20, 0)], "college_id string, name string, zero int")
     assert rows(R.column_widths(df), "column_name", "width") == [("college_id", 13), ("name", 23), ("zero", 12)]
     assert df.select(F.lit(1)).count() == 1
+
+
+def test_page_store_opens_one_folder(spark, tmp_path):
+    P.store_pages(spark.createDataFrame(PAGES, P.PAGES), str(tmp_path / "s"))
+    one = P.stored_pages(spark, str(tmp_path / "s")).filter(F.col("page_type") == "info")
+    assert "PartitionFilters: [isnotnull(page_type" in one._jdf.queryExecution().executedPlan().toString()
+    assert rows(one, "college_id", "page_type", "html") == [("1", "info", "<title>A College</title>")]
