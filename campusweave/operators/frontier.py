@@ -19,6 +19,9 @@ from campusweave.schemas import LISTING_COLUMNS
 from campusweave.site import DEFAULT_SITE, Site
 
 
+CARD, LOOSE = 0, 1
+
+
 # -- addresses ------------------------------------------------------------------------------
 
 
@@ -138,28 +141,29 @@ def skip_list(fetches: DataFrame, ident: str = "id", saved: str = "saved") -> Da
 # -- listing pages ----------------------------------------------------------------------------
 
 
-def listing_cards(trees: DataFrame, keys: Sequence[str], base: str = DEFAULT_SITE.base_url) -> DataFrame:
-    """One row per card that leads to a profile: position, address, text and strings."""
+def _with_cards(trees: DataFrame, base: str) -> DataFrame:
+    """Add ``_found_cards``: cards whose first link leads to a profile."""
     rows = nodes_where(tagged_class(["tr"], P.LISTING_ROW_CLASS))
     blocks = nodes_where(tagged_class(["div", "li", "article"], P.LISTING_CARD_CLASS))
 
-    def shape(card: Column) -> Column:
+    def shape(card: Column, i: Column) -> Column:
         link = first(F.filter(inside(card), _is_link))
         strings = items(F.col("texts"), card["t0"], card["t1"])
         return F.struct(
+            i.alias("card_no"),
             let(F.try_element_at(link["attrs"], F.lit("href")), lambda href: clean_url(href, base)).alias("url"),
             spaced_text_of(card).alias("card_text"),
             F.filter(F.transform(strings, strip), lambda s: s != "").alias("strings"),
         )
 
     cards = F.when(F.size("_rows") > 0, F.col("_rows")).otherwise(blocks)
-    return (
-        trees.withColumn("_rows", rows)
-        .withColumn("_cards", cards)
-        .select(*keys, F.posexplode(F.transform("_cards", shape)).alias("card_no", "c"))
-        .select(*keys, "card_no", "c.*")
-        .filter(is_profile_url(F.col("url")))
-    )
+    found = F.filter(F.transform("_cards", shape), lambda c: is_profile_url(c["url"]))
+    return trees.withColumn("_rows", rows).withColumn("_cards", cards).withColumn("_found_cards", found).drop("_rows", "_cards")
+
+
+def listing_cards(trees: DataFrame, keys: Sequence[str], base: str = DEFAULT_SITE.base_url) -> DataFrame:
+    """One row per card that leads to a profile: position, address, text and strings."""
+    return _with_cards(trees, base).select(*keys, F.explode("_found_cards").alias("c")).select(*keys, "c.*")
 
 
 def _is_link(n: Column) -> Column:
@@ -184,8 +188,8 @@ def listing_rank(text: Column, strings: Column) -> Column:
     return F.coalesce(F.concat(F.lit("#"), F.coalesce(in_words, leading, own)), F.lit(""))
 
 
-def associate_ranks(trees: DataFrame, keys: Sequence[str], base: str = DEFAULT_SITE.base_url) -> DataFrame:
-    """'#N' strings with the first profile link of the nearest of five enclosing elements."""
+def _with_loose_ranks(trees: DataFrame, base: str) -> DataFrame:
+    """Add ``_loose_ranks``: '#N' strings with the first profile link of the nearest of five enclosing elements."""
     links = F.filter(
         F.transform(
             nodes_where(_is_link),
@@ -223,12 +227,16 @@ def associate_ranks(trees: DataFrame, keys: Sequence[str], base: str = DEFAULT_S
     return (
         trees.withColumns({"_links": links, "_tokens": tokens})
         .withColumn("_places", F.col("_links.pre"))
-        .select(*keys, F.explode(found).alias("f"))
-        .select(*keys, "f.*")
-        .filter(F.col("url").isNotNull())
+        .withColumn("_loose_ranks", F.filter(found, lambda f: f["url"].isNotNull()))
+        .drop("_links", "_tokens", "_places")
     )
 
 
+def associate_ranks(trees: DataFrame, keys: Sequence[str], base: str = DEFAULT_SITE.base_url) -> DataFrame:
+    """One row per '#N' string and the profile it stands next to."""
+    return _with_loose_ranks(trees, base).select(*keys, F.explode("_loose_ranks").alias("f")).select(*keys, "f.*")
+
+
 def first_seen(df: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
     return first_wins(df, [key], order)
 
@@ -239,24 +247,23 @@ def listing_from_pages(trees: DataFrame, page_no: str = "page_no", base: str = D
     An address counts where it is first seen, in a card or next to a loose rank; its card
     gives the metrics, and the first loose rank fills an empty one.
     """
-    cards = listing_cards(trees, [page_no], base)
-    cards = cards.select(
-        "url",
-        F.struct(
-            F.col(page_no).cast("bigint").alias("page"), F.lit(0).alias("kind"), F.col("card_no").alias("pos"),
-            *[m.alias(n) for n, m in listing_metrics(F.col("card_text")).items()],
-            blank_to_null(listing_rank(F.col("card_text"), F.col("strings"))).alias("listing_rank"),
-        ).alias("event"),
+    both = _with_loose_ranks(_with_cards(trees, base), base)
+    cards = F.transform(
+        "_found_cards",
+        lambda c: F.struct(F.lit(CARD).alias("kind"), c["card_no"].alias("pos"), c["url"].alias("url"), c["card_text"].alias("text"), c["strings"].alias("strings"), F.lit(None).cast("string").alias("rank")),
     )
-    loose = associate_ranks(trees, [page_no], base).select(
-        "url",
-        F.struct(
-            F.col(page_no).cast("bigint").alias("page"), F.lit(1).alias("kind"), F.col("text_no").alias("pos"),
-            *[F.lit("").alias(n) for n in P.LISTING_METRICS], F.col("rank").alias("listing_rank"),
-        ).alias("event"),
+    loose = F.transform(
+        "_loose_ranks",
+        lambda r: F.struct(F.lit(LOOSE).alias("kind"), r["text_no"].alias("pos"), r["url"].alias("url"), F.lit("").alias("text"), F.array().cast("array<string>").alias("strings"), r["rank"].alias("rank")),
+    )
+    rows = both.select(F.col(page_no).cast("bigint").alias("page"), F.explode(F.concat(cards, loose)).alias("x")).select("page", "x.*")
+    event = F.struct(
+        "page", "kind", "pos",
+        *[m.alias(n) for n, m in listing_metrics(F.col("text")).items()],
+        F.coalesce("rank", blank_to_null(listing_rank(F.col("text"), F.col("strings")))).alias("listing_rank"),
     )
-    seen = cards.union(loose).groupBy("url").agg(
-        F.min("event").alias("e"), F.min(F.when(F.col("event.kind") == 1, F.col("event"))).alias("r")
+    seen = rows.select("url", event.alias("event")).groupBy("url").agg(
+        F.min("event").alias("e"), F.min(F.when(F.col("event.kind") == LOOSE, F.col("event"))).alias("r")
     )
     return seen.select(
         F.struct("e.page", "e.kind", "e.pos").alias("ordinal"),

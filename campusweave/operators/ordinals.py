@@ -15,6 +15,11 @@ from pyspark.sql import Window as W
 CHUNK = 65_536
 
 
+def _chunk_of(order: Column, width: int) -> Column:
+    """Number of the chunk an integer falls into; exact for all of them, negative ones too."""
+    return F.call_function("div", order - F.pmod(order, F.lit(width)), F.lit(width))
+
+
 def with_running_total(
     df: DataFrame, order: str, value: Column, name: str = "before", total: str | None = None, width: int = CHUNK
 ) -> DataFrame:
@@ -22,11 +27,11 @@ def with_running_total(
 
     ``total`` also adds the sum over the whole table.
     """
-    tagged = df.withColumn("_value", value.cast("bigint")).withColumn("_chunk", F.floor(F.col(order) / F.lit(width)))
+    tagged = df.withColumn("_value", value.cast("bigint")).withColumn("_chunk", _chunk_of(F.col(order).cast("bigint"), width))
     chunks = (
         tagged.groupBy("_chunk")
         .agg(F.sum("_value").alias("_sum"))
-        .withColumn("_block", F.floor(F.col("_chunk") / F.lit(width)))
+        .withColumn("_block", _chunk_of(F.col("_chunk"), width))
     )
     blocks = chunks.groupBy("_block").agg(F.sum("_sum").alias("_block_sum"))
     # one row per width * width integers: few, whatever the size of the table
@@ -59,10 +64,10 @@ def with_position(df: DataFrame, order: str, name: str = "position", total: str
 
 def split_parts(df: DataFrame, parts: int, order: str, width: int = CHUNK) -> DataFrame:
     """Cut a table into contiguous parts of ceil(total / parts) rows; adds ``part``, from 1."""
-    chunk = F.ceil(F.col("_n") / F.lit(parts))
+    chunk = F.call_function("div", F.col("_n") + (parts - 1), F.lit(parts))
     return (
         with_position(df, order, "_position", "_n", width)
-        .withColumn("part", (F.floor(F.col("_position") / chunk) + 1).cast("int"))
+        .withColumn("part", (F.call_function("div", F.col("_position"), chunk) + 1).cast("int"))
         .drop("_position", "_n")
     )
 
@@ -77,8 +82,8 @@ def carry(
     yet, the closing value of the chunks before it is taken from a table of one row per chunk.
     """
     sign = 1 if forward else -1
-    place = F.col(order) * sign
-    tagged = df.withColumn("_v", value).withColumn("_chunk", F.floor(place / F.lit(width)))
+    place = F.col(order).cast("bigint") * sign
+    tagged = df.withColumn("_v", value).withColumn("_chunk", _chunk_of(place, width))
     inner = W.partitionBy(*keys, "_chunk").orderBy(place).rowsBetween(W.unboundedPreceding, -1)
     chunks = tagged.groupBy(*keys, "_chunk").agg(
         F.max_by("_v", F.when(F.col("_v").isNotNull(), place)).alias("_close")
