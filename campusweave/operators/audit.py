@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from campusweave.functions.text import first_match
-from campusweave.operators.ordinals import with_running_total
+from campusweave.operators.ordinals import with_running_totals
 from campusweave.operators.relational import first_wins, top_n
 from campusweave.rules import vocab as V
 from campusweave.rules.patterns import LOG_LINE
@@ -86,8 +86,7 @@ def incomplete_samples(audit: DataFrame, n: int = 10, ident: str = "college_id")
 def batch_progress(fetches: DataFrame, batch: str = "batch", saved: str = "saved") -> DataFrame:
     """Per batch: saved and skipped before it, in it and after it."""
     per = fetches.groupBy(batch).agg(F.count_if(F.col(saved)).alias("new_saved"), F.count_if(~F.col(saved)).alias("new_skipped"))
-    per = with_running_total(per, batch, F.col("new_saved"), "saved_before")
-    per = with_running_total(per, batch, F.col("new_skipped"), "skipped_before")
+    per = with_running_totals(per, batch, {"saved_before": F.col("new_saved"), "skipped_before": F.col("new_skipped")})
     return per.withColumns(
         {
             "saved_after": F.col("saved_before") + F.col("new_saved"),

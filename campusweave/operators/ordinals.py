@@ -8,6 +8,8 @@ same way. A plain window without a partition would put the whole table into one
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
@@ -20,37 +22,37 @@ def _chunk_of(order: Column, width: int) -> Column:
     return F.call_function("div", order - F.pmod(order, F.lit(width)), F.lit(width))
 
 
-def with_running_total(
-    df: DataFrame, order: str, value: Column, name: str = "before", total: str | None = None, width: int = CHUNK
+def with_running_totals(
+    df: DataFrame, order: str, values: Mapping[str, Column], total: str | None = None, width: int = CHUNK
 ) -> DataFrame:
-    """Add the sum of ``value`` over all rows that come earlier in ``order``.
+    """Add, for every named value, its sum over all rows that come earlier in ``order``.
 
-    ``total`` also adds the sum over the whole table.
+    ``total`` also adds the sum of the first value over the whole table.
     """
-    tagged = df.withColumn("_value", value.cast("bigint")).withColumn("_chunk", _chunk_of(F.col(order).cast("bigint"), width))
-    chunks = (
-        tagged.groupBy("_chunk")
-        .agg(F.sum("_value").alias("_sum"))
-        .withColumn("_block", _chunk_of(F.col("_chunk"), width))
-    )
-    blocks = chunks.groupBy("_block").agg(F.sum("_sum").alias("_block_sum"))
+    names = list(values)
+    tagged = df.withColumns({f"_v_{n}": v.cast("bigint") for n, v in values.items()})
+    tagged = tagged.withColumn("_chunk", _chunk_of(F.col(order).cast("bigint"), width))
+    chunks = tagged.groupBy("_chunk").agg(*[F.sum(f"_v_{n}").alias(f"_s_{n}") for n in names])
+    chunks = chunks.withColumn("_block", _chunk_of(F.col("_chunk"), width))
     # one row per width * width integers: few, whatever the size of the table
     everything = W.partitionBy(F.lit(0))
+    blocks = chunks.groupBy("_block").agg(*[F.sum(f"_s_{n}").alias(f"_b_{n}") for n in names])
     blocks = blocks.select(
         "_block",
-        _earlier(F.col("_block_sum"), everything.orderBy("_block")).alias("_block_before"),
-        F.sum("_block_sum").over(everything).alias("_total"),
+        *[_earlier(F.col(f"_b_{n}"), everything.orderBy("_block")).alias(f"_block_{n}") for n in names],
+        F.sum(f"_b_{names[0]}").over(everything).alias("_total"),
     )
+    in_block = W.partitionBy("_block").orderBy("_chunk")
     offsets = chunks.join(blocks, "_block").select(
-        "_chunk",
-        (F.col("_block_before") + _earlier(F.col("_sum"), W.partitionBy("_block").orderBy("_chunk"))).alias("_chunk_before"),
-        "_total",
+        "_chunk", "_total", *[(F.col(f"_block_{n}") + _earlier(F.col(f"_s_{n}"), in_block)).alias(f"_o_{n}") for n in names]
+    )
+    within = W.partitionBy("_chunk").orderBy(order)
+    tagged = tagged.withColumns({f"_w_{n}": _earlier(F.col(f"_v_{n}"), within) for n in names})
+    return tagged.join(offsets, "_chunk").select(
+        *df.columns,
+        *[(F.col(f"_o_{n}") + F.col(f"_w_{n}")).alias(n) for n in names],
+        *([F.col("_total").alias(total)] if total else []),
     )
-    within = _earlier(F.col("_value"), W.partitionBy("_chunk").orderBy(order))
-    out = tagged.withColumn("_within", within).join(offsets, "_chunk").withColumn(name, F.col("_chunk_before") + F.col("_within"))
-    if total:
-        out = out.withColumn(total, F.col("_total"))
-    return out.select(*df.columns, name, *([total] if total else []))
 
 
 def _earlier(value: Column, window) -> Column:
@@ -59,7 +61,7 @@ def _earlier(value: Column, window) -> Column:
 
 def with_position(df: DataFrame, order: str, name: str = "position", total: str | None = None, width: int = CHUNK) -> DataFrame:
     """Add each row's position, counted from 0, in the order of a unique integer column."""
-    return with_running_total(df, order, F.lit(1), name, total, width)
+    return with_running_totals(df, order, {name: F.lit(1)}, total, width)
 
 
 def split_parts(df: DataFrame, parts: int, order: str, width: int = CHUNK) -> DataFrame:

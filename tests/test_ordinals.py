@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from campusweave.operators.ordinals import carry, split_parts, with_position, with_running_total
+from campusweave.operators.ordinals import carry, split_parts, with_position, with_running_totals
 
 
 @pytest.mark.parametrize("width", [1, 2, 3, 7, 1000])
@@ -16,8 +16,16 @@ def test_positions_and_totals(spark, width):
     df = spark.createDataFrame(rng.sample(data, len(data)), "k long, v int")
     got = {r["k"]: r["position"] for r in with_position(df, "k", width=width).collect()}
     assert got == {k: i for i, k in enumerate(keys)}
-    totals = {r["k"]: (r["before"], r["total"]) for r in with_running_total(df, "k", F.col("v"), total="total", width=width).collect()}
-    assert totals == {k: (sum(v for j, v in data if j < k), sum(v for _, v in data)) for k in keys}
+    sums = with_running_totals(df, "k", {"a": F.col("v"), "b": F.col("v") * 2}, total="total", width=width)
+    totals = {r["k"]: (r["a"], r["b"], r["total"]) for r in sums.collect()}
+    before = {k: sum(v for j, v in data if j < k) for k in keys}
+    assert totals == {k: (before[k], 2 * before[k], sum(v for _, v in data)) for k in keys}
+
+
+def test_positions_of_huge_ordinals(spark):
+    keys = [2**62 + i for i in (0, 1, 5, 70_000)]
+    df = spark.createDataFrame([(k,) for k in keys], "k long")
+    assert {r["k"]: r["position"] for r in with_position(df, "k").collect()} == {k: i for i, k in enumerate(keys)}
 
 
 @pytest.mark.parametrize("n, parts", [(10, 3), (10, 4), (9, 3), (2, 5), (1, 1)])
