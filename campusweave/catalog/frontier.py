@@ -318,7 +318,7 @@ def batch_progress(spark, d):
 
 # one log line per event, worded like the run log; the same text in both dialects
 LOG_LINE = """'[2024-01-' || CASE WHEN day(ts) < 10 THEN '0' ELSE '' END || CAST(day(ts) AS STRING) || ' 10:00:00] '
- || CASE event_type WHEN 'click' THEN 'WARNING' WHEN 'error' THEN 'ERROR' ELSE 'INFO' END || ' [downloader.py:' || CAST(user_id AS STRING) || '] '
+ || CASE event_type WHEN 'click' THEN 'WARNING' WHEN 'error' THEN 'ERROR' ELSE 'INFO' END || ' [fetch.py:' || CAST(user_id AS STRING) || '] '
  || CASE event_type WHEN 'click' THEN 'HTTP 404 NOT FOUND for base page x' WHEN 'signup' THEN 'HTTP 404: subpage ''hostel'' does not exist'
     WHEN 'error' THEN 'Blocked/error HTTP 403 for x' WHEN 'view' THEN 'Successfully saved x' ELSE 'Sleeping for 1.0s' END"""
 

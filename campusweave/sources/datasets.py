@@ -68,7 +68,10 @@ def write_per_entity(
     spark = next(iter(datasets.values())).sparkSession
     done = read_dataset(spark, f"{path}/_entities", T.StructType([T.StructField(key, T.StringType()), T.StructField("run", T.StringType())]))
     done = done.filter(F.col("run") != run_id)
-    new = datasets[entities].select(F.col(key).cast("string").alias(key)).filter(F.col(key) != "").distinct().join(done.select(key), key, "left_anti")
+    found = datasets[entities].select(F.col(key).cast("string").alias(key)).filter(F.col(key) != "").distinct()
+    # settled once and stored: every dataset joins with this run's entities
+    found.join(done.select(key), key, "left_anti").write.mode("overwrite").parquet(f"{path}/_new/run={run_id}")
+    new = spark.read.schema(f"`{key}` string").parquet(f"{path}/_new/run={run_id}")
     for name, df in datasets.items():
         rows = df.withColumn(key, F.col(key).cast("string")).join(new, key, "left_semi").withColumn("bucket", bucket_of(key, buckets))
         spread = F.pmod(F.xxhash64(*df.columns), F.lit(SPREAD))
@@ -80,7 +83,7 @@ def write_per_entity(
             .parquet(f"{path}/{name}/run={run_id}")
         )
     new.write.mode("overwrite").parquet(f"{path}/_entities/run={run_id}")
-    return spark.read.schema(new.schema).parquet(f"{path}/_entities/run={run_id}")
+    return new
 
 
 def read_entity(spark: SparkSession, path: str, name: str, entity: str, key: str = "college_id", buckets: int = BUCKETS) -> DataFrame:

@@ -26,13 +26,16 @@ def stream_pages(
     A batch that was cut short runs again under the same number and replaces its folders.
     Returns the number of batches.
     """
+    batches = 0
     pages = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(source)
 
     def parse(batch: DataFrame, number: int) -> None:
+        nonlocal batches
         parse_batch(batch, root, str(number), listing, site)
+        batches += 1
 
     query = pages.writeStream.foreachBatch(parse).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()
-    return sum(1 for p in query.recentProgress if p["numInputRows"] > 0)
+    return batches
 
 
