@@ -73,8 +73,8 @@ def capped_lines(df: DataFrame, column: str, words: Sequence[str], shorter_than:
 def block_between(c: Column, start: str, ends: Sequence[str]) -> Column:
     """Text between a start phrase and the first of the end phrases, NULL if there is none."""
     return F.when(
-        c.rlike(f"(?is){start}.*?(?:{'|'.join(ends)})"),
-        F.regexp_extract(c, f"(?is){start}(.*?)(?:{'|'.join(ends)})", 1),
+        c.rlike(f"(?isU){start}.*?(?:{'|'.join(ends)})"),
+        F.regexp_extract(c, f"(?isU){start}(.*?)(?:{'|'.join(ends)})", 1),
     )
 
 

@@ -79,7 +79,7 @@ def build_colleges(
         blank_to_null(keep_longest(clean(first_match(text, P.ACCREDITATION)), AGENCY_TEXT_CHARS)).alias("accreditation"),
         blank_to_null(keep_longest(clean(first_match(text, P.AFFILIATION)), AGENCY_TEXT_CHARS)).alias("affiliation"),
         clean(F.try_element_at(F.col("_meta.attrs"), F.lit("content"))).alias("overview_description"),
-        F.concat(F.lit("Rank #"), first_match(text, "(?i)" + re.escape(site.brand) + P.BRAND_RANK)).alias("ranking"),
+        F.concat(F.lit("Rank #"), first_match(text, "(?iU)" + re.escape(site.brand) + P.BRAND_RANK)).alias("ranking"),
         "_span",
         "_text",
     )

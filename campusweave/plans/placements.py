@@ -41,7 +41,7 @@ def block_values(html: Column) -> dict[str, Column]:
         if name == "top_recruiters":
             value = F.replace(F.replace(value, F.lit("\\u0026amp;"), F.lit("&")), F.lit("&amp;"), F.lit("&"))
         if name == "highest_package":
-            value = F.regexp_replace(F.regexp_replace(value, r"(?i)\s+per\s+annum$", ""), "crore|Crore", "Cr")
+            value = F.regexp_replace(F.regexp_replace(value, r"(?iU)\s+per\s+annum$", ""), "crore|Crore", "Cr")
         values[name] = value
     return values
 
@@ -90,7 +90,7 @@ def table_values() -> dict[str, Column]:
 
 def labelled_values(text: Column) -> dict[str, Column]:
     """Values that follow a label in running text."""
-    return {name: F.trim(first_match(text, "(?i)" + label + P.LABELLED_PACKAGE)) for name, label in P.PACKAGE_LABELS.items()}
+    return {name: F.trim(first_match(text, "(?iU)" + label + P.LABELLED_PACKAGE)) for name, label in P.PACKAGE_LABELS.items()}
 
 
 def build_placements(pages: DataFrame, keys: Sequence[str] = ("college_id", "slug")) -> DataFrame:

@@ -172,7 +172,7 @@ def build_rankings(pages: DataFrame, keys: Sequence[str] = ("college_id", "slug"
     ).select(*keys, "source", "pos", "ranking_body", "rank", "ranking_year")
 
 
-def dedup_rankings(existing: DataFrame, new: DataFrame, order: Sequence[str] = ("source", "pos")) -> DataFrame:
+def dedup_rankings(existing: DataFrame, new: DataFrame, order: Sequence[str] = ("slug", "source", "pos")) -> DataFrame:
     """New rows whose (college, body, year) is not there yet; the first of each. NULL years match."""
     fresh = without_known(new, existing, KEY, nulls_match=True)
-    return first_wins(fresh, KEY, list(order))
+    return first_wins(fresh, KEY, [c for c in order if c in new.columns])

@@ -122,6 +122,14 @@ def test_location_from_text_and_india_cut(page):
     assert place(page("<span>India, Goa</span><span>Goa, India</span>")) == ("Goa", None)
 
 
+def test_no_break_spaces_count_as_space(page):
+    got = colleges.build_colleges(page("<p>Estd.&nbsp;Year&nbsp;1990;</p><span>Pune,&nbsp;Goa</span><p>Approved&nbsp;by&nbsp;:&nbsp;UGC;</p>")).first()
+    assert (got["established_year"], got["city"], got["state"], got["accreditation"]) == (1990, "Pune", "Goa", "UGC")
+    html = "<p>Highest package&nbsp;of INR 5 LPA</p>"
+    assert paid(page(html, "placements"))[0] == "5 LPA"
+    assert rows(people.build_hostel(page("<p>Hostel Fee&nbsp;is&nbsp;INR&nbsp;5,000&nbsp;per</p>", "hostel")), "hostel_fees")[0][0].startswith("5,000")
+
+
 def test_college_fields_and_sentinels(page):
     df = finish("colleges", colleges.build_colleges(page("<title>Foo Courses 2025</title><p>A republic of letters</p>")))
     got = df.first().asDict()
