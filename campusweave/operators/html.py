@@ -37,30 +37,31 @@ FLUSH_ELEMENTS = 100_000
 
 def _tree_batch(kept: list[pa.Array], names: list[str], trees: list, errors: list) -> pa.RecordBatch:
     offsets, text_offsets = [0], [0]
-    columns: list[list] = [[] for _ in range(9)]
+    columns: dict[str, list] = {name: [] for name in ("pre", "last", "parent", "depth", "tag", "cls", "t0", "t1")}
     attr_offsets, attr_keys, attr_values = [0], [], []
     texts, parents = [], []
     for tree in trees:
-        if tree is not None:
-            for pre, (parent, last, depth, tag, attrs, t0, t1) in enumerate(tree.elements):
-                for column, value in zip(columns, (pre, last, parent, depth, tag, attrs.get("class"), None, t0, t1)):
-                    column.append(value)
-                attr_keys.extend(attrs.keys())
+        if tree is not None and tree.elements:
+            parent, last, depth, tags, attributes, t0, t1 = zip(*tree.elements)
+            found = (range(len(tags)), last, parent, depth, tags, [a.get("class") for a in attributes], t0, t1)
+            for column, values in zip(columns.values(), found):
+                column.extend(values)
+            for attrs in attributes:
+                attr_keys.extend(attrs)
                 attr_values.extend(attrs.values())
                 attr_offsets.append(len(attr_keys))
+        if tree is not None:
             texts.extend(tree.texts)
             parents.extend(tree.text_parents)
-        offsets.append(len(columns[0]))
+        offsets.append(len(columns["pre"]))
         text_offsets.append(len(texts))
     int32, string = pa.int32(), pa.string()
     attrs_array = pa.MapArray.from_arrays(
         pa.array(attr_offsets, int32), pa.array(attr_keys, string), pa.array(attr_values, string)
     )
+    arrays = {name: pa.array(values, string if name in ("tag", "cls") else int32) for name, values in columns.items()}
     fields = ["pre", "last", "parent", "depth", "tag", "cls", "attrs", "t0", "t1"]
-    arrays = [
-        attrs_array if name == "attrs" else pa.array(column, string if name in ("tag", "cls") else int32)
-        for name, column in zip(fields, columns)
-    ]
+    arrays = [attrs_array if name == "attrs" else arrays[name] for name in fields]
     nodes = pa.ListArray.from_arrays(pa.array(offsets, int32), pa.StructArray.from_arrays(arrays, fields))
     text_index = pa.array(text_offsets, int32)
     return pa.RecordBatch.from_arrays(
