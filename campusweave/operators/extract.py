@@ -144,6 +144,3 @@ def contact_info(address: Column, tel: Column, email: Column) -> Column:
         return F.when(blank_to_null(c).isNotNull(), F.concat(F.lit(label), c))
 
     return blank_to_null(F.concat_ws(" | ", part("Address: ", address), part("Tel: ", tel), part("Email: ", email)))
-
-
-__all__ = [n for n in dir() if not n.startswith("_")]

@@ -386,6 +386,3 @@ def page_metadata(trees: DataFrame, keys: Sequence[str]) -> DataFrame:
 def title_name(title: Column) -> Column:
     """What stands before 'Admission' and 'Courses' in a title."""
     return F.trim(F.get(F.split(F.get(F.split(title, "Admission"), F.lit(0)), "Courses"), F.lit(0)))
-
-
-__all__ = [name for name in dir() if not name.startswith("_")]

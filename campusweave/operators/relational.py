@@ -27,7 +27,10 @@ def first_wins(df: DataFrame, keys: Sequence[str | Column], order: Sequence[str
 
 
 def top_n(df: DataFrame, order: Sequence[str | Column], n: int, per: Sequence[str | Column] | None = None) -> DataFrame:
-    """First n rows in order, of the table or of every key."""
+    """First n rows in order, of the table or of every key.
+
+    For the whole table, n is a report or batch size: its rows are merged in one task.
+    """
     if per is None:
         return df.orderBy(*_columns(order)).limit(n)
     window = W.partitionBy(*_columns(per)).orderBy(*_columns(order))
