@@ -39,7 +39,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
     named = spark.conf.get(CHECKPOINT_CONF, None)
     if named:
         return named
-    if not spark.sparkContext.master.startswith("local"):
+    if spark.conf.get("spark.master", "").split("[")[0] != "local":
         raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder every executor can reach")
     return tempfile.mkdtemp(prefix="campusweave-")
 
