@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from campusweave.llm import near_dedup
+from campusweave.llm import near_dedup, secrets, toxicity
 from campusweave.llm.common import table
 
 QUERIES = {}
@@ -19,3 +20,16 @@ def query(fn):
 @query
 def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    held = toxicity.held_out(3, 1)
+    grammar = toxicity.learn(docs.where(~held), labels.where(~held))
+    return toxicity.scored(docs, grammar).select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+@query
+def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.digest(secrets.scan(table(spark, sf_dir, "documents")))
