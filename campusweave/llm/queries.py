@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from campusweave.llm import near_dedup, secrets, toxicity
+from campusweave.llm import near_dedup, secrets, sharding, substring_dedup, toxicity
 from campusweave.llm.common import table
 
 QUERIES = {}
@@ -33,3 +33,14 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(secrets.scan(table(spark, sf_dir, "documents")))
+
+
+@query
+def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = sharding.shards(table(spark, sf_dir, "documents"), 40)
+    return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "linked")
+
+
+@query
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.repeated(table(spark, sf_dir, "documents"))
