@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from campusweave.llm import near_dedup, secrets, sharding, substring_dedup, toxicity
+from campusweave.llm import ann, near_dedup, secrets, sentencepiece, sharding, substring_dedup, toxicity
 from campusweave.llm.common import table
 
 QUERIES = {}
@@ -44,3 +44,13 @@ def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.repeated(table(spark, sf_dir, "documents"))
+
+
+@query
+def op10_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(table(spark, sf_dir, "embeddings"), "vec_id % 20 = 0")
+
+
+@query
+def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentencepiece.encoded(table(spark, sf_dir, "documents"))
