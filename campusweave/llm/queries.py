@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from campusweave.llm import ann, near_dedup, secrets, sentencepiece, sharding, substring_dedup, toxicity
+from campusweave.llm import ann, brown_lm, near_dedup, secrets, sentencepiece, sharding, substring_dedup, toxicity
 from campusweave.llm.common import table
 
 QUERIES = {}
@@ -54,3 +54,11 @@ def op10_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece.encoded(table(spark, sf_dir, "documents"))
+
+
+@query
+def op2_brown_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held = toxicity.held_out(7, 2)
+    model, counts = brown_lm.learn(docs.where(~held))
+    return brown_lm.scored(docs, model, counts).withColumn("held_out", held)
