@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from campusweave.llm import ann, brown_lm, near_dedup, secrets, sentencepiece, sharding, substring_dedup, toxicity
+from campusweave.llm import ann, brown_lm, decontam, near_dedup, quality, secrets, sentencepiece, sharding, substring_dedup, toxicity
 from campusweave.llm.common import table
 
 QUERIES = {}
@@ -62,3 +62,14 @@ def op2_brown_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     held = toxicity.held_out(7, 2)
     model, counts = brown_lm.learn(docs.where(~held))
     return brown_lm.scored(docs, model, counts).withColumn("held_out", held)
+
+
+@query
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality.sampled(docs, quality.learn(docs, table(spark, sf_dir, "labels")))
+
+
+@query
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
