@@ -15,10 +15,10 @@ from campusweave.operators import html as H
 from campusweave.operators import relational as R
 from campusweave.operators.audit import audit_counts, audit_stored
 from campusweave.plans import colleges, courses, people, placements, rankings
-from campusweave.plans.run import finish, load_datasets, new_pages
+from campusweave.plans.run import finish, load_datasets, new_pages, parse_batch
 from campusweave.schemas import DATASETS
 from campusweave.session import checkpoint_dir
-from campusweave.sources.datasets import read_dataset, write_bundle, write_dataset, write_per_entity
+from campusweave.sources.datasets import read_dataset, rejected_records, write_bundle, write_dataset, write_per_entity
 from campusweave.sources.listing import read_listing, write_listing
 from campusweave.sources.pages import store_pages, stored_pages
 from campusweave.streaming.ingest import stream_pages
@@ -28,7 +28,8 @@ from campusweave.streaming.ingest import stream_pages
 
 @query("dedup_first_wins", "SELECT source, lang, doc_id FROM documents QUALIFY row_number() OVER (PARTITION BY text ORDER BY doc_id) = 1")
 def dedup_first_wins(spark, d):
-    return R.first_wins(table(spark, d, "documents"), ["text"], ["doc_id"]).select("source", "lang", "doc_id")
+    short = table(spark, d, "documents").select("source", "lang", "doc_id", F.sha2("text", 256).alias("text"))
+    return R.first_wins(short, ["text"], ["doc_id"]).select("source", "lang", "doc_id")
 
 
 @query("top_per_key", "SELECT user_id, event_id FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY value DESC, event_id) <= 3")
@@ -156,13 +157,14 @@ def _folder(spark, name: str) -> str:
 
 @query(
     "listing_file",
-    """SELECT 'https://campus.example/' || c_mktsegment || '/' || CAST(c_nationkey AS STRING) AS url, '' AS listing_avg_package, CAST(max(c_custkey) AS STRING) || ' LPA' AS listing_highest_package,
+    """SELECT 'https://campus.example/' || c_mktsegment || '/' || CAST(c_nationkey AS STRING) AS url, 'say ""' || CAST(max(c_custkey) AS STRING) || '", "x' || chr(10) || 'y", z' AS listing_avg_package, CAST(max(c_custkey) AS STRING) || ' LPA' AS listing_highest_package,
  '' AS listing_placement_percentage, '#' || CAST(max(c_custkey) AS STRING) AS listing_rank FROM customer GROUP BY c_mktsegment, c_nationkey""",
 )
 def listing_file(spark, d):
     """A listing with repeated addresses, written as CSV and read back: the last row of each stays."""
     rows = table(spark, d, "customer").selectExpr(
         "c_custkey AS ordinal", "'https://campus.example/' || c_mktsegment || '/' || CAST(c_nationkey AS STRING) AS url",
+        """'say ""' || CAST(c_custkey AS STRING) || '", "x\n' || 'y", z' AS listing_avg_package""",
         "' ' || CAST(c_custkey AS STRING) || ' LPA ' AS listing_highest_package", "'#' || CAST(c_custkey AS STRING) AS listing_rank",
     )
     path = _folder(spark, "listing")
@@ -484,7 +486,32 @@ _COUNTS = {
 def stream_ingest(spark, d):
     """Pages of every type arrive as files and are parsed batch by batch."""
     root = _folder(spark, "stream")
-    # a college's pages arrive together, so that its rankings are settled in one batch
-    all_pages(spark, d).repartition(8, "college_id").write.parquet(f"{root}/in")
-    stream_pages(spark, f"{root}/in", f"{root}/out", f"{root}/progress", files_per_batch=4)
+    all_pages(spark, d).write.parquet(f"{root}/in")
+    stream_pages(spark, f"{root}/in", f"{root}/out", f"{root}/progress", files_per_batch=20)
     return audit_counts(load_datasets(spark, f"{root}/out"))
+
+
+def _split_arrival(spark, d, kinds):
+    """Rankings of pages of one type that arrive in a later batch than those of the other."""
+    root = _folder(spark, "split")
+    for i, kind in enumerate(kinds):
+        parse_batch(profile_pages(spark, d, kind), f"{root}/out", str(i))
+    return load_datasets(spark, f"{root}/out")["rankings"]
+
+
+@query("stream_ingest_split", _STATE_RANKS + " UNION ALL " + _TEXT_RANKS + " WHERE c_custkey % 3 <> 1")
+def stream_ingest_split(spark, d):
+    return _split_arrival(spark, d, ["placements", "info"])
+
+
+@query("stream_ingest_split_back", _STATE_RANKS + " UNION ALL " + _TEXT_RANKS + " WHERE c_custkey % 3 <> 1")
+def stream_ingest_split_back(spark, d):
+    return _split_arrival(spark, d, ["info", "placements"])
+
+
+@query("dataset_rejects", "SELECT '{}' AS fields, '{\"college_id\": ' || CAST(o_orderkey AS STRING) AS record FROM orders WHERE o_orderkey % 5 = 0")
+def dataset_rejects(spark, d):
+    """Lines of a JSON dataset, every fifth cut off: what cannot be read is kept as it stands."""
+    path = _folder(spark, "broken")
+    table(spark, d, "orders").selectExpr("'{\"college_id\": ' || CAST(o_orderkey AS STRING) || CASE WHEN o_orderkey % 5 = 0 THEN '' ELSE '}' END AS value").write.text(path)
+    return rejected_records(spark, path, DATASETS["hostel"]).select("fields", "record")

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from campusweave.catalog.registry import spread_table
+from campusweave.catalog.registry import dealt_table
 
 DEGREE = "CASE p_type WHEN 'STANDARD' THEN 'B.Tech' WHEN 'PROMO' THEN 'MBA' WHEN 'SMALL' THEN 'M.Sc' WHEN 'MEDIUM' THEN 'BBA' WHEN 'ECONOMY' THEN 'Ph.D' ELSE 'B.Des' END"
 _SIZE = "CAST(p_size AS STRING)"
@@ -70,7 +70,7 @@ SOURCES = {
 def profile_pages(spark: SparkSession, sf_dir: str, kind: str, markup: str | None = None) -> DataFrame:
     """Pages of one type, one per row of the table behind it."""
     name, key, html = SOURCES[kind]
-    return spread_table(spark, sf_dir, name, key).select(
+    return dealt_table(spark, sf_dir, name, key).select(
         F.col(key).cast("string").alias("college_id"),
         F.concat(F.lit("c-"), F.col(key).cast("string")).alias("slug"),
         F.lit(kind).alias("page_type"),
@@ -96,4 +96,4 @@ LISTING_PAGE = """'<style>a{}</style><div class="wrap"><div class="college-card"
 
 
 def listing_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread_table(spark, sf_dir, "supplier", "s_suppkey").select(F.col("s_suppkey").alias("page_no"), F.expr(LISTING_PAGE).alias("html"))
+    return dealt_table(spark, sf_dir, "supplier", "s_suppkey").select(F.col("s_suppkey").alias("page_no"), F.expr(LISTING_PAGE).alias("html"))

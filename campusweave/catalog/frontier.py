@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from campusweave.catalog.registry import pages, query, spread_table, table
+from campusweave.catalog.registry import pages, query, dealt_table, table
 from campusweave.operators import audit as A
 from campusweave.operators import frontier as B
 from campusweave.operators import html as H
@@ -227,11 +227,14 @@ DAY = "CAST(day(ts) AS BIGINT)"
     "novelty_stagnation",
     f"""WITH f AS (SELECT {DAY} AS page_no, user_id AS url FROM events),
  g AS (SELECT p AS page_no, count(*) AS gained FROM (SELECT url, min(page_no) AS p FROM f GROUP BY 1) GROUP BY 1),
- a AS (SELECT page_no, coalesce(gained, 0) AS gained FROM (SELECT DISTINCT page_no FROM f) LEFT JOIN g USING (page_no))
+ a AS (SELECT page_no, coalesce(gained, 0) AS gained FROM (SELECT DISTINCT page_no FROM f UNION SELECT CAST(c_nationkey + 35 AS BIGINT) FROM customer UNION SELECT CAST(31 + r_regionkey AS BIGINT) FROM region) LEFT JOIN g USING (page_no))
  SELECT page_no, gained, coalesce(sum(gained) OVER w = 0 AND count(*) OVER w = 3, false) AS stop FROM a WINDOW w AS (ORDER BY page_no ROWS BETWEEN 2 PRECEDING AND CURRENT ROW)""",
 )
 def novelty_stagnation(spark, d):
-    return B.listing_novelty(table(spark, d, "events").select(F.expr(DAY).alias("page_no"), F.col("user_id").alias("url")))
+    """Days as listing pages; pages after them list nothing."""
+    found = table(spark, d, "events").select(F.expr(DAY).alias("page_no"), F.col("user_id").alias("url"))
+    more = table(spark, d, "customer").selectExpr("CAST(c_nationkey + 35 AS BIGINT) AS page_no").union(table(spark, d, "region").selectExpr("CAST(31 + r_regionkey AS BIGINT)"))
+    return B.listing_novelty(found, found.select("page_no").union(more))
 
 
 @query("audit_dirty_urls", FRONTIER_SQL + f"SELECT count(*) AS total, count(*) FILTER (regexp_matches(url, '{AUDIT_SUBPAGES}')) AS dirty FROM frontier")
@@ -381,7 +384,7 @@ GROUPED = """CASE WHEN length({s}) <= 3 THEN {s} ELSE ltrim(reverse(regexp_repla
  CASE WHEN r > 0 THEN '#' || CAST(r AS STRING) ELSE '' END AS listing_rank FROM o""",
 )
 def import_listing(spark, d):
-    external = spread_table(spark, d, "orders", "o_orderkey").selectExpr(
+    external = dealt_table(spark, d, "orders", "o_orderkey").selectExpr(
         """CASE WHEN o_orderkey % 11 = 0 THEN 'nan' WHEN o_orderkey % 3 = 0 THEN ' http://other.example/' || CAST(o_orderkey AS STRING)
            WHEN o_orderkey % 3 = 1 THEN '/' || CAST(o_orderkey AS STRING) ELSE CAST(o_orderkey AS STRING) END AS url""",
         "o_totalprice AS avg_salary", "o_totalprice * 100 AS highest_salary", "o_custkey % 50 - 5 AS top_ranking_rank",

@@ -6,8 +6,6 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from campusweave.sources.pages import spread
-
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
@@ -28,9 +26,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The page table, in enough pieces to parse on all cores."""
-    return spread(table(spark, sf_dir, "pages"), "page_id")
+    return table(spark, sf_dir, "pages")
 
 
-def spread_table(spark: SparkSession, sf_dir: str, name: str, key: str) -> DataFrame:
-    return spread(table(spark, sf_dir, name), key)
+def dealt_table(spark: SparkSession, sf_dir: str, name: str, key: str) -> DataFrame:
+    """A table of short rows dealt out by key, as the pages made of them are far larger than the rows."""
+    return table(spark, sf_dir, name).repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), key)

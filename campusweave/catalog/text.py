@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from campusweave.catalog.registry import pages, query, spread_table, table
+from campusweave.catalog.registry import pages, query, dealt_table, table
 from campusweave.functions import degrees as D
 from campusweave.functions import money as M
 from campusweave.functions import text as X
@@ -16,7 +16,6 @@ from campusweave.plans import courses as C
 from campusweave.plans import rankings as K
 from campusweave.rules import degrees as DR
 from campusweave.rules import vocab as V
-from campusweave.sources.pages import spread
 
 # what the page table holds besides text, taken off by pattern
 BARE = r"""regexp_replace(regexp_replace(regexp_replace(regexp_replace(html, '(?is)<script[^>]*>.*?</script>', '', 'g'),
@@ -77,9 +76,11 @@ def node_paths(spark, d):
     return trees.select(F.explode(placed).alias("n")).groupBy("n.tag").agg(F.count(F.lit(1)).alias("n_nodes"), F.count_if("n.ok").alias("n_placed"))
 
 
-@query("rejected_pages", "SELECT page_id, 'x' AS parse_error FROM pages WHERE false")
+@query("rejected_pages", "SELECT page_id, 'AssertionError: unknown status keyword ''foo'' in marked section' AS parse_error FROM pages WHERE page_id % 7 = 0")
 def rejected_pages(spark, d):
-    return H.rejected_pages(H.with_tree(pages(spark, d))).select("page_id", "parse_error")
+    """Every seventh page gets a marked section that the parser does not know."""
+    broken = F.when(F.col("page_id") % 7 == 0, F.concat("html", F.lit("<![foo[x]]>"))).otherwise(F.col("html"))
+    return H.rejected_pages(H.with_tree(pages(spark, d).select("page_id", broken.alias("html")))).select("page_id", "parse_error")
 
 
 TURNS = """SELECT conv_id, turn, {f}(CASE WHEN role = '{role}' THEN text END IGNORE NULLS) OVER (PARTITION BY conv_id ORDER BY turn {dir} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS near FROM conversations"""
@@ -110,7 +111,7 @@ LABEL_RULES = {"token": [r'token = "([^"]+)"', r'token: "([^"]+)"'], "mail": [r"
     + " FROM documents",
 )
 def label_values(spark, d):
-    return E.label_values(spread_table(spark, d, "documents", "doc_id"), "text", LABEL_RULES).select("doc_id", *LABEL_RULES)
+    return E.label_values(table(spark, d, "documents"), "text", LABEL_RULES).select("doc_id", *LABEL_RULES)
 
 
 TERMS = ["License", "token", "the", "und", "les", "para", "secret"]
@@ -118,7 +119,7 @@ TERMS = ["License", "token", "the", "und", "les", "para", "secret"]
 
 @query("vocabulary_hits", "SELECT doc_id, nullif(concat_ws(', ', " + ", ".join(f"CASE WHEN contains(lower(text), '{t.lower()}') THEN '{t}' END" for t in TERMS) + "), '') AS hits FROM documents")
 def vocabulary_hits(spark, d):
-    return E.match_vocabulary(spread_table(spark, d, "documents", "doc_id"), "text", TERMS).select("doc_id", "hits")
+    return E.match_vocabulary(table(spark, d, "documents"), "text", TERMS).select("doc_id", "hits")
 
 
 @query(
@@ -132,7 +133,7 @@ def vocabulary_hits(spark, d):
 )
 def context_window(spark, d):
     fields = {"first_word": "([A-Za-z]+)", "last_word": "([A-Za-z]+)"}
-    docs = spread(table(spark, d, "documents").select("doc_id", "text"), "doc_id")
+    docs = table(spark, d, "documents").select("doc_id", "text")
     return E.context_matches(docs, "text", "license", 40, 60, fields, last=["last_word"])
 
 
@@ -144,7 +145,7 @@ def context_window(spark, d):
  SELECT doc_id, line_no, line FROM r WHERE line_no < 15""",
 )
 def capped_lines(spark, d):
-    return E.capped_lines(spread(table(spark, d, "documents").select("doc_id", "text"), "doc_id"), "text", ["the", "und"])
+    return E.capped_lines(table(spark, d, "documents").select("doc_id", "text"), "text", ["the", "und"])
 
 
 @query("block_between", "SELECT doc_id, CASE WHEN regexp_matches(text, '(?is)license.*?(?:code|\\.)') THEN regexp_extract(text, '(?is)license(.*?)(?:code|\\.)', 1) END AS block FROM documents")
@@ -154,7 +155,7 @@ def block_between(spark, d):
 
 @query("clean_text", f"SELECT doc_id, {squeezed('text')} AS text FROM documents")
 def clean_text(spark, d):
-    return spread_table(spark, d, "documents", "doc_id").select("doc_id", X.clean(F.col("text")).alias("text"))
+    return table(spark, d, "documents").select("doc_id", X.clean(F.col("text")).alias("text"))
 
 
 @query("truncated", "SELECT doc_id, left(text, 250) AS text, left(source, 2) AS source FROM documents")
@@ -169,7 +170,7 @@ def truncated(spark, d):
  AND NOT regexp_matches(t, '[<>]|\\\\"') THEN t END AS top_recruiters FROM t""",
 )
 def recruiters(spark, d):
-    return spread_table(spark, d, "documents", "doc_id").select("doc_id", E.sanitize_recruiters(F.col("text")).alias("top_recruiters"))
+    return table(spark, d, "documents").select("doc_id", E.sanitize_recruiters(F.col("text")).alias("top_recruiters"))
 
 
 @query("fill_defaults", "SELECT d.doc_id, coalesce(CAST(quality AS STRING), 'Not Specified') AS quality, coalesce(CAST(toxic AS STRING), 'Not Rated') AS toxic FROM documents d LEFT JOIN labels l USING (doc_id)")
@@ -285,7 +286,7 @@ READY = "CASE WHEN o_orderkey % 7 = 0 THEN ' about  ' || CAST(o_custkey AS STRIN
  WHEN v IS NOT NULL THEN rtrim(rtrim(format('{{:,.2f}}', v), '0'), '.') WHEN ends_with(amount, ' L') THEN format('{{:g}}', CAST(o_custkey AS DOUBLE)) || ' Lakhs' ELSE amount END AS total_fees FROM n""",
 )
 def fee_format(spark, d):
-    return spread_table(spark, d, "orders", "o_orderkey").select("o_orderkey", M.fees(F.expr(AMOUNT), F.expr(READY)).alias("total_fees"))
+    return dealt_table(spark, d, "orders", "o_orderkey").select("o_orderkey", M.fees(F.expr(AMOUNT), F.expr(READY)).alias("total_fees"))
 
 
 PAY = "CASE l_linenumber % 3 WHEN 0 THEN CAST(CAST(floor(l_extendedprice) AS BIGINT) * 1000 AS STRING) WHEN 1 THEN CAST(l_extendedprice AS STRING) ELSE CAST(l_suppkey * 100000 AS STRING) END"
@@ -299,7 +300,7 @@ PAY = "CASE l_linenumber % 3 WHEN 0 THEN CAST(CAST(floor(l_extendedprice) AS BIG
  WHEN v >= 100000 THEN format('{{:.2f}}', v / 100000) || ' LPA' ELSE CAST(v AS STRING) END AS pay FROM v""",
 )
 def package_format(spark, d):
-    return spread_table(spark, d, "lineitem", "l_orderkey").select("l_orderkey", "l_linenumber", M.package(F.expr(PAY)).alias("pay"))
+    return dealt_table(spark, d, "lineitem", "l_orderkey").select("l_orderkey", "l_linenumber", M.package(F.expr(PAY)).alias("pay"))
 
 
 @query(
@@ -309,7 +310,7 @@ def package_format(spark, d):
  ELSE ltrim(reverse(regexp_replace(reverse(left(s, length(s) - 3)), '([0-9][0-9])', '\\1,', 'g')), ',') || ',' || right(s, 3) END AS shown FROM s""",
 )
 def indian_grouping(spark, d):
-    return spread_table(spark, d, "orders", "o_orderkey").select("o_orderkey", M.indian_digits(F.col("o_totalprice") * (F.col("o_custkey") % 4)).alias("shown"))
+    return dealt_table(spark, d, "orders", "o_orderkey").select("o_orderkey", M.indian_digits(F.col("o_totalprice") * (F.col("o_custkey") % 4)).alias("shown"))
 
 
 @query("currency", "SELECT o_orderkey, CAST(o_custkey AS STRING) || ' per year' AS fee FROM orders")
@@ -519,7 +520,7 @@ _TABLES = """'<h1>Top</h1><h2>' || p_type || ' <i>Prices</i></h2><div><table><tr
 
 
 def table_pages(spark, d):
-    return spread_table(spark, d, "part", "p_partkey").select("p_partkey", F.expr(_TABLES).alias("html"))
+    return dealt_table(spark, d, "part", "p_partkey").select("p_partkey", F.expr(_TABLES).alias("html"))
 
 
 @query(

@@ -102,9 +102,9 @@ def attempted_ids(saved: DataFrame, skipped: DataFrame, ident: str = "id") -> Da
 def pending_urls(
     listing: DataFrame, attempted: DataFrame, limit: int = 0, ident: str = "id", order: str = "ordinal"
 ) -> DataFrame:
-    """Listing rows that have an id and no attempt yet, in listing order; the first ``limit`` if above 0."""
+    """Listing rows that have an id and no attempt yet, in listing order; the first ``limit``, a batch size, if above 0."""
     pending = listing.filter(F.col(ident).isNotNull()).join(attempted.select(ident), ident, "left_anti")
-    return top_n(pending, [order], limit) if limit > 0 else pending
+    return top_n(pending, [order], limit) if limit > 0 else pending.orderBy(order)
 
 
 def flag_block_pages(pages: DataFrame, html: str = "html", markers: Sequence[str] = V.BLOCK_MARKERS, least: int = V.BLOCK_MIN_CHARS) -> DataFrame:
@@ -280,14 +280,16 @@ def grow_frontier(existing: DataFrame, found: DataFrame, cap: int | None = None,
     return top_n(unique, ["batch", order], cap) if cap else unique
 
 
-def listing_novelty(found: DataFrame, page_no: str = "page_no", url: str = "url", streak: int = V.STAGNANT_PAGES) -> DataFrame:
+def listing_novelty(found: DataFrame, pages: DataFrame | None = None, page_no: str = "page_no", url: str = "url", streak: int = V.STAGNANT_PAGES) -> DataFrame:
     """New addresses per listing page, and whether that page ends a streak without any.
 
-    Pages are numbered without gaps, so a page's streak is the sum over the pages that each
+    ``pages`` has the number of every listing page, those that list nothing too; without it only pages
+    with addresses are known. Pages are numbered without gaps, so a page's streak is the sum over the pages that each
     earlier page is passed on to; no window over all pages is needed.
     """
     gained = found.groupBy(url).agg(F.min(page_no).alias(page_no)).groupBy(page_no).agg(F.count(F.lit(1)).alias("gained"))
-    pages = found.select(page_no).distinct().join(gained, page_no, "left").select(page_no, F.coalesce("gained", F.lit(0)).alias("gained"))
+    numbers = found.select(page_no) if pages is None else pages.select(page_no)
+    pages = numbers.distinct().join(gained, page_no, "left").select(page_no, F.coalesce("gained", F.lit(0)).alias("gained"))
     passed = pages.select(
         F.explode(F.array(*[F.struct((F.col(page_no) + i).alias("to"), F.lit(i).alias("step")) for i in range(streak)])).alias("p"),
         "gained",

@@ -121,6 +121,11 @@ def html_nodes(pages: DataFrame, html: str = "html") -> DataFrame:
     return tree.select(*keep, "n.*")
 
 
+def readable_tree(pages: DataFrame, html: str = "html", keep_html: bool = False) -> DataFrame:
+    """As with_tree, without the pages that could not be read: a job makes no row of them."""
+    return with_tree(pages, html, keep_html).filter(F.col("parse_error").isNull())
+
+
 def rejected_pages(trees: DataFrame) -> DataFrame:
     """Pages whose markup could not be read, with the reason."""
     return trees.filter(F.col("parse_error").isNotNull()).drop("nodes", "texts", "text_parents")

@@ -1,9 +1,9 @@
 """Global order without a global task.
 
 Positions and running totals over a whole table, where the order is given by a column of
-unique integers (a page number, a line number). The integers are cut into chunks of fixed
-width, so that no window ever sees more than ``width`` rows; the chunks are then summed the
-same way. A plain window without a partition would put the whole table into one task.
+unique integers (a page number, a line number, a hash). The integers are cut into chunks of
+about ``width`` rows by what is read off them first; windows stay inside a chunk, and the chunks'
+sums are added up by blocks. A plain window without a partition would put the whole table into one task.
 """
 
 from __future__ import annotations
@@ -17,9 +17,41 @@ from pyspark.sql import Window as W
 CHUNK = 65_536
 
 
-def _chunk_of(order: Column, width: int) -> Column:
-    """Number of the chunk an integer falls into; exact for all of them, negative ones too."""
-    return F.call_function("div", order - F.pmod(order, F.lit(width)), F.lit(width))
+BLOCKS = 256
+
+
+def _with_chunk(df: DataFrame, place: Column, width: int) -> DataFrame:
+    """Add ``_place`` and ``_chunk``, which rises with it; a chunk has about ``width`` rows however sparse the integers are.
+
+    Quantiles cut the integers into at most BLOCKS blocks, read off in one job, and a block is cut into equal
+    steps by its own range and count, read off in another. The chunk's number holds the block's in its upper half.
+    """
+    tagged = df.withColumn("_place", place)
+    n = tagged.agg(F.count("_place")).first()[0]
+    blocks = max(1, min(BLOCKS, -(-n // width)))
+    if blocks == 1:
+        return tagged.withColumn("_chunk", F.lit(0).cast("bigint"))
+    cuts = tagged.agg(F.percentile_approx("_place", [i / blocks for i in range(1, blocks)], 10 * blocks)).first()[0]
+    cuts = sorted({int(c) for c in cuts})
+
+    def block_of(low: int, high: int, leaf) -> Column:
+        if low == high:
+            return leaf(low)
+        mid = (low + high) // 2
+        return F.when(F.col("_place") <= F.lit(cuts[mid]), block_of(low, mid, leaf)).otherwise(block_of(mid + 1, high, leaf))
+
+    number = block_of(0, len(cuts), lambda b: F.lit(b).cast("bigint"))
+    ranges = {r["b"]: r for r in tagged.groupBy(number.alias("b")).agg(F.min("_place").alias("low"), F.max("_place").alias("high"), F.count(F.lit(1)).alias("n")).collect()}
+
+    def chunk(b: int) -> Column:
+        base = F.lit(b << 32)
+        if b not in ranges or ranges[b]["n"] <= width:
+            return base
+        r = ranges[b]
+        step = F.lit(min(2**63 - 1, max(1, (r["high"] - r["low"] + 1) * width // r["n"])))
+        return base + F.call_function("div", F.col("_place"), step) - F.call_function("div", F.lit(r["low"]), step)
+
+    return tagged.withColumn("_chunk", block_of(0, len(cuts), chunk))
 
 
 def with_running_totals(
@@ -31,10 +63,10 @@ def with_running_totals(
     """
     names = list(values)
     tagged = df.withColumns({f"_v_{n}": v.cast("bigint") for n, v in values.items()})
-    tagged = tagged.withColumn("_chunk", _chunk_of(F.col(order).cast("bigint"), width))
+    tagged = _with_chunk(tagged, F.col(order).cast("bigint"), width)
     chunks = tagged.groupBy("_chunk").agg(*[F.sum(f"_v_{n}").alias(f"_s_{n}") for n in names])
-    chunks = chunks.withColumn("_block", _chunk_of(F.col("_chunk"), width))
-    # one row per width * width integers: few, whatever the size of the table
+    chunks = chunks.withColumn("_block", F.shiftright("_chunk", 32))
+    # one row per block: few, whatever the size of the table
     everything = W.partitionBy(F.lit(0))
     blocks = chunks.groupBy("_block").agg(*[F.sum(f"_s_{n}").alias(f"_b_{n}") for n in names])
     blocks = blocks.select(
@@ -79,13 +111,13 @@ def carry(
 ) -> DataFrame:
     """Add the nearest earlier (or, with forward=False, later) non-NULL ``value`` of the same key.
 
-    ``order`` is an integer, unique within a key. A key of any size is cut into chunks of
-    ``width`` order steps: inside a chunk a window finds the value; where the chunk has none
+    ``order`` is an integer, unique within a key. A key of any size is cut into chunks along the order
+    of the whole table, so that it has no more of them than the table has: inside a chunk a window finds the value; where the chunk has none
     yet, the closing value of the chunks before it is taken from a table of one row per chunk.
     """
     sign = 1 if forward else -1
     place = F.col(order).cast("bigint") * sign
-    tagged = df.withColumn("_v", value).withColumn("_chunk", _chunk_of(place, width))
+    tagged = _with_chunk(df.withColumn("_v", value), place, width)
     inner = W.partitionBy(*keys, "_chunk").orderBy(place).rowsBetween(W.unboundedPreceding, -1)
     chunks = tagged.groupBy(*keys, "_chunk").agg(
         F.max_by("_v", F.when(F.col("_v").isNotNull(), place)).alias("_close")
@@ -98,3 +130,12 @@ def carry(
         .withColumn(name, F.coalesce("_near", "_carried"))
         .select(*df.columns, name)
     )
+
+
+def write_parts(df: DataFrame, parts: int, order: str, path: str, fmt: str = "parquet") -> None:
+    """The parts of ``split_parts`` written to a folder each (``part=1`` and so on), rows in order within a file.
+
+    Rows of a part are dealt out by chunks of the order, so that a part is not one task's work.
+    """
+    cut = split_parts(df, parts, order)
+    cut.repartitionByRange("part", order).sortWithinPartitions("part", order).write.mode("overwrite").partitionBy("part").format(fmt).save(path)

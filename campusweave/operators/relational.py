@@ -37,10 +37,6 @@ def top_n(df: DataFrame, order: Sequence[str | Column], n: int, per: Sequence[st
     return df.withColumn("_rank", F.row_number().over(window)).filter(F.col("_rank") <= n).drop("_rank")
 
 
-def null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
-    return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[k]) for k in keys])
-
-
 def without_known(df: DataFrame, known: DataFrame, keys: Sequence[str], nulls_match: bool = False) -> DataFrame:
     """Rows whose key is not known yet."""
     if not nulls_match:

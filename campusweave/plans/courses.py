@@ -329,7 +329,7 @@ def _headed_row(raw: Column, cells: Column, category: Column) -> Column:
     for _, tag, *_rest in R.HEADED_DEGREES:
         degree = degree.when(category.startswith(tag), F.lit(tag))
         cut = (category == f"{tag} Specializations") & raw.startswith(tag)
-        name = name.when(cut, strip(F.substring(raw, len(tag) + 1, 1_000_000)))
+        name = name.when(cut, strip(F.substr(raw, F.lit(len(tag) + 1))))
     third = clean(F.get(cells, 2))
     return let(F.struct(degree.alias("degree"), name.otherwise(raw).alias("name")), lambda n: _row(
         [], category,
@@ -462,7 +462,7 @@ def usable_state() -> Column:
 
 def course_candidates(pages: DataFrame, keys: Sequence[str], html: str = "html") -> DataFrame:
     """All rows of each page's winning source, repeats included, with source and position."""
-    page = H.with_headings(H.with_tree(pages.select(*keys, html), html, keep_html=True)).select(*keys, html, "nodes", "texts", "_headings")
+    page = H.with_headings(H.readable_tree(pages.select(*keys, html), html, keep_html=True)).select(*keys, html, "nodes", "texts", "_headings")
     page = page.withColumns({"_state": state_rows(html), "_cards": card_rows()})
     page = page.withColumn("_state_keys", F.col("_state.key"))
     page = page.withColumn("_structured", (F.size("_cards") > 0) | usable_state())

@@ -134,17 +134,20 @@ def rankings_from_text(texts: DataFrame, keys: Sequence[str] = ("college_id", "s
 
 
 def build_rankings(pages: DataFrame, keys: Sequence[str] = ("college_id", "slug"), site: Site = DEFAULT_SITE) -> DataFrame:
-    """Ranking rows of colleges that have a placement page: embedded ones, else those in text.
+    """Ranking rows of colleges that have a placement page: embedded ones, else those in text."""
+    return settled(ranking_entries(pages, keys, site), keys)
 
-    One pass over the pages. Markup is parsed only for pages without usable rankings of their
-    own; every page gives a few short entries, and a college's choice between the two kinds
-    is made on its distinct entries.
+
+def ranking_entries(pages: DataFrame, keys: Sequence[str] = ("college_id", "slug"), site: Site = DEFAULT_SITE) -> DataFrame:
+    """What each page says of rankings: a few short rows a page, whatever other pages a college has.
+
+    One pass over the pages. Markup is parsed only for pages without usable rankings of their own.
     """
     read = pages.filter(F.col("page_type").isin("info", "placements")).select(
         *keys, "page_type", "html", state_rankings(F.col("html"), site).alias("_state")
     )
     read = read.withColumn("html", F.when(F.size("_state") == 0, F.col("html")))
-    trees = H.with_main_text(H.with_tree(read))
+    trees = H.with_main_text(H.readable_tree(read))
 
     def entries(kind: int, source: Column, found: Column) -> Column:
         return F.transform(found, lambda r: F.struct(F.lit(kind).alias("kind"), source.alias("source"), r.alias("r")))
@@ -152,7 +155,7 @@ def build_rankings(pages: DataFrame, keys: Sequence[str] = ("college_id", "slug"
     placed = F.col("page_type") == "placements"
     mark = F.when(placed, F.array(F.lit(None).cast(ENTRY))).otherwise(F.array().cast(ENTRIES))
     text = F.when(F.size("_state") == 0, text_rankings(F.col("main_text"), site)).otherwise(F.array().cast(ENTRIES))
-    rows = trees.select(
+    return trees.select(
         *keys,
         F.explode(F.concat(
             entries(MARK, F.lit(0), mark),
@@ -160,6 +163,13 @@ def build_rankings(pages: DataFrame, keys: Sequence[str] = ("college_id", "slug"
             entries(TEXT, (~placed).cast("int"), text),
         )).alias("e"),
     ).select(*keys, "e.kind", "e.source", "e.r.*")
+
+
+def settled(rows: DataFrame, keys: Sequence[str] = ("college_id", "slug")) -> DataFrame:
+    """A college's choice between the two kinds, made on all its distinct entries.
+
+    The window holds one college's distinct entries, which are bounded by the ranking bodies and years.
+    """
     exact = lambda c: F.when(F.col("kind") == STATE, F.col(c))
     rows = first_wins(rows, [*keys, "kind", "ranking_body", exact("rank"), exact("ranking_year")], ["source", "pos"])
     college = W.partitionBy(*keys)

@@ -8,13 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from campusweave.operators import html as H
 from campusweave.operators.relational import without_known
 from campusweave.plans.colleges import build_colleges
 from campusweave.plans.courses import build_courses
 from campusweave.plans.people import build_admissions, build_faculty, build_hostel, build_reviews, build_scholarships
 from campusweave.plans.placements import build_placements, fill_from_listing
 from campusweave.plans.rankings import KEY as RANKING_KEY
-from campusweave.plans.rankings import build_rankings, dedup_rankings
+from campusweave.plans.rankings import build_rankings, dedup_rankings, ranking_entries, settled
 from campusweave.schemas import DATASETS, UNSPECIFIED
 from campusweave.site import DEFAULT_SITE, Site
 from campusweave.sources.datasets import read_dataset
@@ -44,6 +45,11 @@ PAGE_JOBS: dict[str, Callable[[DataFrame], DataFrame]] = {
 
 PAGE_KEY = ["college_id", "slug", "page_type"]
 SEEN = T.StructType([T.StructField(c, T.StringType()) for c in PAGE_KEY])
+ENTRIES = T.StructType([
+    T.StructField(c, T.IntegerType() if c in ("kind", "source", "pos", "ranking_year") else T.StringType())
+    for c in ("college_id", "slug", "kind", "source", "pos", "ranking_body", "rank", "ranking_year")
+])
+REJECTED = T.StructType([*SEEN.fields, T.StructField("parse_error", T.StringType())])
 
 
 def finish(name: str, df: DataFrame) -> DataFrame:
@@ -96,12 +102,15 @@ def parse_batch(
 
     Every table is written to a folder of this batch, whole or not at all: a batch that is
     repeated after a failure replaces its own folders and changes nothing else. Pages count
-    as seen once their batch is through.
+    as seen once their batch is through. Rankings are stored as each page's entries and settled when
+    they are read, since a college's pages may come in different batches. Pages that cannot be read
+    are listed in ``_rejected``.
     """
-    spark = pages.sparkSession
     fresh, keys = _fresh(pages, root, batch)
-    known = stored(spark, root, "rankings", DATASETS["rankings"], batch)
-    outputs: Mapping[str, DataFrame] = {**build_datasets(fresh, listing, known, site), "_seen": keys}
+    entries = ranking_entries(fresh, site=site).select(*[F.col(f.name).cast(f.dataType) for f in ENTRIES.fields])
+    built = {name: df for name, df in build_datasets(fresh, listing, site=site).items() if name != "rankings"}
+    rejected = H.rejected_pages(H.with_tree(fresh.select(*PAGE_KEY, "html"))).select(*REJECTED.fieldNames())
+    outputs: Mapping[str, DataFrame] = {**built, "_ranking_entries": entries, "_rejected": rejected, "_seen": keys}
     for name, df in outputs.items():
         df.write.mode("overwrite").parquet(f"{root}/{name}/batch={batch}")
 
@@ -123,4 +132,12 @@ def _fresh(pages: DataFrame, root: str, batch: str) -> tuple[DataFrame, DataFram
 
 
 def load_datasets(spark: SparkSession, root: str) -> dict[str, DataFrame]:
-    return {name: stored(spark, root, name, schema) for name, schema in DATASETS.items()}
+    tables = {name: stored(spark, root, name, schema) for name, schema in DATASETS.items() if name != "rankings"}
+    found = settled(stored(spark, root, "_ranking_entries", ENTRIES))
+    rankings = finish("rankings", dedup_rankings(found.select(*RANKING_KEY).limit(0), found))
+    return {name: rankings if name == "rankings" else tables[name] for name in DATASETS}
+
+
+def load_rejected(spark: SparkSession, root: str) -> DataFrame:
+    """Pages that no batch could read, with the reason."""
+    return stored(spark, root, "_rejected", REJECTED)

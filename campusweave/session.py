@@ -18,6 +18,7 @@ def local_session(app: str = "campusweave", cores: str = "8", **conf: str) -> Sp
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "12g")
         .config("spark.sql.shuffle.partitions", cores)
+        .config("spark.sql.files.minPartitionNum", cores)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         # call-site capture doubles the time it takes to build long expressions

@@ -12,26 +12,43 @@ from pyspark.sql import types as T
 
 from campusweave.operators.relational import empty_marker, first_wins
 
+#: Folders that entities share, unless the first export into a place says otherwise.
 BUCKETS = 256
-SPREAD = 8
+REJECT = "_rejected"
+LAYOUT = T.StructType([T.StructField("buckets", T.IntegerType())])
 
 
 def read_dataset(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet") -> DataFrame:
     """A stored dataset; an empty one if it is missing or cannot be read.
 
-    ``fmt`` is parquet, json (one record per line) or json-array (one list per file).
+    ``fmt`` is parquet, json (one record per line) or json-array (one list per file). JSON records
+    that do not fit are no rows here; ``rejected_records`` has them.
     """
-    reader = spark.read.schema(schema)
-    if fmt.startswith("json"):
-        reader = reader.option("mode", "DROPMALFORMED").option("multiLine", fmt == "json-array")
     try:
-        return reader.format("json" if fmt.startswith("json") else fmt).load(path).select(*schema.fieldNames())
+        if fmt.startswith("json"):
+            # a field is named beside the reject, as Spark counts no rows by the reject alone
+            fits = F.col(REJECT).isNull() & (F.size(F.array(F.col(schema.fieldNames()[0]).isNull())) > 0)
+            return _json(spark, path, schema, fmt).filter(fits).select(*schema.fieldNames())
+        return spark.read.schema(schema).format(fmt).load(path).select(*schema.fieldNames())
     except AnalysisException as problem:
         if problem.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             return spark.createDataFrame([], schema)
         raise
 
 
+def _json(spark: SparkSession, path: str, schema: T.StructType, fmt: str) -> DataFrame:
+    known = T.StructType([*schema.fields, T.StructField(REJECT, T.StringType())])
+    reader = spark.read.schema(known).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", REJECT)
+    return reader.option("multiLine", fmt == "json-array").json(path)
+
+
+def rejected_records(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "json") -> DataFrame:
+    """Records of a JSON dataset that could not be read: the file, the record as it stands, and the fields that could be read."""
+    # all fields are asked for, as a record is broken by any of them
+    read = _json(spark, path, schema, fmt).select(F.col("_metadata.file_path").alias("file"), F.col(REJECT).alias("record"), F.to_json(F.struct(*schema.fieldNames())).alias("fields"))
+    return read.filter(F.col("record").isNotNull())
+
+
 def write_dataset(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite") -> None:
     df.write.mode(mode).format(fmt).save(path)
 
@@ -56,16 +73,23 @@ def bucket_of(key: str | Column, buckets: int = BUCKETS) -> Column:
 
 
 def write_per_entity(
-    datasets: Mapping[str, DataFrame], path: str, run_id: str, key: str = "college_id", buckets: int = BUCKETS, entities: str = "colleges"
+    datasets: Mapping[str, DataFrame], path: str, run_id: str, key: str = "college_id", buckets: int = BUCKETS, entities: str = "colleges", files: int | None = None
 ) -> DataFrame:
     """Every entity's rows of all datasets, addressable by entity; entities already there are skipped.
 
     Entities share a fixed number of folders by hash: a folder each would not survive a
-    billion entities. Rows of one entity spread over several files of its folder, so a hot
-    entity is not one task's work. A run writes its own ``run`` folder and can be repeated.
-    Returns the entities this run exported.
+    billion entities. The number is stored beside the data and holds for all later runs. Rows of one
+    entity spread over up to ``files`` files of its folder, so a hot entity is not one task's work; without
+    a number as many as there are shuffle partitions, few of which a small folder uses. A run writes its
+    own ``run`` folder and can be repeated. Returns the entities this run exported.
     """
     spark = next(iter(datasets.values())).sparkSession
+    files = files or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    stored = read_dataset(spark, f"{path}/_layout", LAYOUT).first()
+    if stored:
+        buckets = stored["buckets"]
+    else:
+        spark.createDataFrame([(buckets,)], LAYOUT).coalesce(1).write.mode("overwrite").parquet(f"{path}/_layout")
     done = read_dataset(spark, f"{path}/_entities", T.StructType([T.StructField(key, T.StringType()), T.StructField("run", T.StringType())]))
     done = done.filter(F.col("run") != run_id)
     found = datasets[entities].select(F.col(key).cast("string").alias(key)).filter(F.col(key) != "").distinct()
@@ -74,7 +98,7 @@ def write_per_entity(
     new = spark.read.schema(f"`{key}` string").parquet(f"{path}/_new/run={run_id}")
     for name, df in datasets.items():
         rows = df.withColumn(key, F.col(key).cast("string")).join(new, key, "left_semi").withColumn("bucket", bucket_of(key, buckets))
-        spread = F.pmod(F.xxhash64(*df.columns), F.lit(SPREAD))
+        spread = F.pmod(F.xxhash64(*df.columns), F.lit(files))
         (
             rows.repartition("bucket", spread)
             .sortWithinPartitions("bucket", key)
@@ -86,8 +110,9 @@ def write_per_entity(
     return new
 
 
-def read_entity(spark: SparkSession, path: str, name: str, entity: str, key: str = "college_id", buckets: int = BUCKETS) -> DataFrame:
+def read_entity(spark: SparkSession, path: str, name: str, entity: str, key: str = "college_id") -> DataFrame:
     """One entity's rows of a dataset: one folder is opened."""
+    buckets = spark.read.schema(LAYOUT).parquet(f"{path}/_layout").first()["buckets"]
     wanted = spark.range(1).select(bucket_of(F.lit(entity), buckets).alias("b")).first()["b"]
     return spark.read.parquet(f"{path}/{name}").filter((F.col("bucket") == wanted) & (F.col(key) == entity)).drop("bucket", "run")
 

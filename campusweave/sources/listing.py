@@ -22,8 +22,12 @@ def tidy_listing(rows: DataFrame, order: list[str]) -> DataFrame:
 
 
 def read_listing(spark: SparkSession, path: str) -> DataFrame:
-    """Listing CSV with a header. ``ordinal`` keeps the order of the rows."""
-    raw = normalize_header(spark.read.option("header", True).csv(path))
+    """Listing CSV with a header. ``ordinal`` keeps the order of the rows.
+
+    Quotes are doubled inside quoted fields, which may hold commas and line breaks. A listing file is
+    read whole by one task: a break inside a field cannot be told from the end of a row otherwise.
+    """
+    raw = normalize_header(spark.read.option("header", True).option("escape", '"').option("multiLine", True).csv(path))
     place = [F.col("_metadata.file_path"), F.col("_metadata.file_block_start"), F.monotonically_increasing_id()]
     ordered = raw.select("*", F.struct(*[p.alias(f"p{i}") for i, p in enumerate(place)]).alias("ordinal"))
     return tidy_listing(ordered, ["ordinal"])
@@ -32,4 +36,4 @@ def read_listing(spark: SparkSession, path: str) -> DataFrame:
 def write_listing(listing: DataFrame, path: str, order: str = "ordinal") -> None:
     """Listing CSV with its fixed columns, blanks for what is missing, in discovery order."""
     cells = [F.coalesce(F.col(c), F.lit("")).alias(c) if c in listing.columns else F.lit("").alias(c) for c in LISTING_COLUMNS]
-    listing.orderBy(order).select(*cells).write.mode("overwrite").option("header", True).option("emptyValue", "").csv(path)
+    listing.orderBy(order).select(*cells).write.mode("overwrite").option("header", True).option("emptyValue", "").option("escape", '"').csv(path)

@@ -41,19 +41,6 @@ def stored_pages(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(PAGES).parquet(path).select(*PAGES.fieldNames())
 
 
-def spread(scan: DataFrame, key: str) -> DataFrame:
-    """A file scan in at least as many pieces as there are cores.
-
-    Parsing pages costs far more than reading them, and a small file is one piece. A table
-    that already comes in enough pieces is left alone, so that large inputs are not shuffled.
-    Only for plain scans: a plan with shuffles would be run to count its pieces.
-    """
-    wanted = scan.sparkSession.sparkContext.defaultParallelism
-    if scan.rdd.getNumPartitions() >= wanted:
-        return scan
-    return scan.repartition(wanted, key)
-
-
 def distinct_entities(pages: DataFrame) -> DataFrame:
     """Every (college_id, slug) of any page type, ordered as strings."""
     return sort_entities(pages.select("college_id", "slug").distinct())

@@ -77,3 +77,14 @@ def test_growth_keeps_what_is_known(spark):
     known = spark.createDataFrame([("u1", "#1", 0), ("u2", "", 1)], "url string, listing_rank string, ordinal long")
     found = spark.createDataFrame([("u3", "#3", 1), ("u1", "#9", 0), ("u4", "", 2)], "url string, listing_rank string, ordinal long")
     assert [(r["url"], r["listing_rank"]) for r in B.grow_frontier(known, found, 3).collect()] == [("u1", "#1"), ("u2", ""), ("u3", "#3")]
+
+
+def test_quoted_listing_fields(spark, tmp_path):
+    from campusweave.sources.listing import read_listing, write_listing
+
+    path = tmp_path / "listing.csv"
+    path.write_text('url,listing_avg_package\n/a,"say ""hi"", 5"\n/b,"two\nlines"\n')
+    found = {r["url"]: r["listing_avg_package"] for r in read_listing(spark, str(path)).collect()}
+    assert found == {"/a": 'say "hi", 5', "/b": "two\nlines"}
+    write_listing(read_listing(spark, str(path)), str(tmp_path / "back"))
+    assert {r["url"]: r["listing_avg_package"] for r in read_listing(spark, str(tmp_path / "back")).collect()} == found

@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from campusweave.operators.ordinals import carry, split_parts, with_position, with_running_totals
+from campusweave.operators.ordinals import _with_chunk, carry, split_parts, with_position, with_running_totals, write_parts
 
 
 @pytest.mark.parametrize("width", [1, 2, 3, 7, 1000])
@@ -48,3 +48,17 @@ def test_carry(spark, width, forward):
         return (max(side) if forward else min(side))[1] if side else None
 
     assert got == {(k, t): near(k, t) for k, t, _ in data}
+
+
+def test_chunks_of_sparse_and_lopsided_keys(spark):
+    """Hashes, and dense numbers with one far off, give chunks of about the width."""
+    for rows in (spark.range(20_000).select(F.xxhash64("id").alias("k")), spark.range(20_000).select(F.when(F.col("id") == 7, 2**62).otherwise(F.col("id")).alias("k"))):
+        sizes = [r["count"] for r in _with_chunk(rows, F.col("k"), 100).groupBy("_chunk").count().collect()]
+        assert max(sizes) <= 400 and len(sizes) <= 600
+
+
+def test_parts_are_written(spark, tmp_path):
+    path = str(tmp_path / "parts")
+    write_parts(spark.range(100).selectExpr("id * 1000003 % 1009 AS k", "id"), 4, "k", path)
+    parts = {r["part"]: (r["n"], r["low"], r["high"]) for r in spark.read.parquet(path).groupBy("part").agg(F.count("k").alias("n"), F.min("k").alias("low"), F.max("k").alias("high")).collect()}
+    assert [parts[i][0] for i in (1, 2, 3, 4)] == [25] * 4 and all(parts[i][2] < parts[i + 1][1] for i in (1, 2, 3))

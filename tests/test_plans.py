@@ -43,8 +43,9 @@ def test_fallback_keeps_null_keys(spark):
     assert sorted(r["v"] for r in R.fallback_chain(df, ["k"], "p").collect()) == ["b", "c"]
 
 
-def test_positions_gather_nothing_but_block_sums(spark):
-    lines = plan(with_position(spark.range(1000), "id")).splitlines()
+@pytest.mark.parametrize("keys", ["id", "xxhash64(id)"])
+def test_positions_gather_nothing_but_block_sums(spark, keys):
+    lines = plan(with_position(spark.range(1000).selectExpr(f"{keys} AS id"), "id", width=50)).splitlines()
     single = [i for i, line in enumerate(lines) if "Exchange SinglePartition" in line]
     assert len(single) == 1 and "HashAggregate(keys=[_block" in lines[single[0] + 1]
 
@@ -74,3 +75,9 @@ def test_novelty_without_a_global_window(spark):
     df = B.listing_novelty(found)
     assert "Window" not in plan(df)
     assert sorted(tuple(r) for r in df.collect()) == [(1, 1, False), (2, 0, False), (3, 0, False), (4, 0, True), (5, 1, False)]
+
+
+def test_novelty_counts_pages_that_list_nothing(spark):
+    found = spark.createDataFrame([(1, "a")], "page_no long, url string")
+    df = B.listing_novelty(found, spark.range(1, 5).withColumnRenamed("id", "page_no"))
+    assert sorted(tuple(r) for r in df.collect()) == [(1, 1, False), (2, 0, False), (3, 0, False), (4, 0, True)]

@@ -68,8 +68,8 @@ def test_per_entity_export_skips_and_repeats(spark, tmp_path):
     }
     for _ in range(2):  # the same run twice is the run once
         assert rows(D.write_per_entity(data, root, "r1", buckets=4), "college_id") == [("1",), ("2",)]
-    assert D.read_entity(spark, root, "reviews", "1", buckets=4).count() == 50
-    assert D.read_entity(spark, root, "reviews", "9", buckets=4).count() == 0
+    assert D.read_entity(spark, root, "reviews", "1").count() == 50
+    assert D.read_entity(spark, root, "reviews", "9").count() == 0
     more = {**data, "colleges": data["colleges"].union(spark.createDataFrame([("3", "D")], "college_id string, name string"))}
     assert rows(D.write_per_entity(more, root, "r2", buckets=4), "college_id") == [("3",)]
     assert spark.read.parquet(f"{root}/colleges").count() == 3
@@ -165,3 +165,45 @@ def test_page_store_opens_one_folder(spark, tmp_path):
     one = P.stored_pages(spark, str(tmp_path / "s")).filter(F.col("page_type") == "info")
     assert "PartitionFilters: [isnotnull(page_type" in one._jdf.queryExecution().executedPlan().toString()
     assert rows(one, "college_id", "page_type", "html") == [("1", "info", "<title>A College</title>")]
+
+
+def test_any_cut_gives_the_same_datasets(spark, tmp_path):
+    """A college's rankings settle when its second page comes, in whichever order."""
+    state = '{"props":{"initialProps":{"pageProps":{"data":{"basic_info":{"ranking":[{"agency":"NIRF","rank":"3","year":"2024"}]}}}}}}'
+    info = ("1", "a", "info", "u", f'<title>A</title><script id="__NEXT_DATA__">{state}</script>')
+    pages = [info, PAGES[2], PAGES[3], ("1", "a", "hostel", "u", "<p>x</p>")]
+    pages = [p for p in pages if p[2] in ("info", "placements", "reviews", "hostel")]
+    found = []
+    for number, cut in enumerate([[pages], [pages[:1], pages[1:]], [pages[1:], pages[:1]], [[p] for p in pages]]):
+        root = str(tmp_path / f"cut{number}")
+        for batch, rows_ in enumerate(cut):
+            run.parse_batch(spark.createDataFrame(rows_, P.PAGES), root, str(batch))
+        found.append(snapshot(spark, root))
+    assert all(f == found[0] for f in found)
+
+
+def test_a_page_that_the_parser_rejects(spark, tmp_path):
+    root = str(tmp_path / "out")
+    kinds = ("info", "placements", "hostel", "admissions", "courses", "faculty")
+    run.parse_batch(spark.createDataFrame([("1", "a", k, "u", "<p>a</p><![foo[x]]>") for k in kinds], P.PAGES), root, "0")
+    assert all(not found for found in snapshot(spark, root).values())
+    assert {r["page_type"] for r in run.load_rejected(spark, root).collect()} == set(kinds)
+
+
+def test_entities_are_found_whatever_the_bucket_count(spark, tmp_path):
+    root = str(tmp_path / "entities")
+    data = {"colleges": spark.createDataFrame([("1",), ("2",)], "college_id string")}
+    D.write_per_entity(data, root, "r1", buckets=8)
+    assert D.read_entity(spark, root, "colleges", "2").count() == 1
+    D.write_per_entity({"colleges": spark.createDataFrame([("3",)], "college_id string")}, root, "r2", buckets=5)
+    assert D.read_entity(spark, root, "colleges", "3").count() == 1
+
+
+def test_broken_records_are_kept_apart(spark, tmp_path):
+    path = str(tmp_path / "broken")
+    lines = ['{"college_id": "1", "hostel_fees": "5"}', '{"college_id": "2", ', '{"college_id": "3"}']
+    spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.text(path)
+    from campusweave.schemas import DATASETS
+
+    assert sorted(r["college_id"] for r in D.read_dataset(spark, path, DATASETS["hostel"], "json").collect()) == ["1", "3"]
+    assert [r["record"] for r in D.rejected_records(spark, path, DATASETS["hostel"]).collect()] == [lines[1]]
