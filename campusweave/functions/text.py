@@ -130,3 +130,28 @@ def lacks_money(c: Column) -> Column:
 def without_currency(c: Column) -> Column:
     """Drop a leading rupee sign and any 'INR '."""
     return F.trim(F.replace(F.regexp_replace(c, "^₹", ""), F.lit("INR "), F.lit("")))
+
+
+def running(values: Column, op: Callable[[Column, Column], Column], start: Column) -> Column:
+    """What ``op`` makes of all values of an array up to each one; ``start`` is neutral to it.
+
+    The array goes in blocks of about the root of its length: adding to an array copies it, so one
+    pass over all values would cost the square of their number.
+    """
+
+    def along(array: Column) -> Column:
+        return F.aggregate(array, F.array(start), lambda done, x: F.concat(done, F.array(op(F.element_at(done, -1), x))))
+
+    def blocks_of(v: Column, width: Column) -> Column:
+        starts = F.sequence(F.lit(1), F.greatest(F.lit(1), F.size(v)), width)
+        return F.transform(starts, lambda i: F.slice(v, i, width))
+
+    def whole(blocks: Column) -> Column:
+        inner = F.transform(blocks, lambda b: F.slice(along(b), F.lit(2), F.size(b)))
+        before = along(F.transform(blocks, lambda b: F.aggregate(b, start, lambda x, y: op(x, y))))
+        return F.flatten(F.zip_with(inner, F.slice(before, F.lit(1), F.size(blocks)), lambda b, base: F.transform(b, lambda x: op(base, x))))
+
+    def cut(v: Column) -> Column:
+        return let(F.greatest(F.lit(1), F.ceil(F.sqrt(F.size(v))).cast("int")), lambda width: blocks_of(v, width))
+
+    return let(let(values, cut), whole)

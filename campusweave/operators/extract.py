@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from campusweave.functions.text import (
-    WS, blank_to_null, clean, contains_any, first_match, first_of, let, strip, vocabulary_hits,
+    WS, blank_to_null, clean, contains_any, first_match, first_of, let, running, strip, vocabulary_hits,
 )
 from campusweave.rules import vocab as V
 
@@ -27,21 +27,17 @@ def match_windows(c: Column, pattern: str, before: int, after: int) -> Column:
 
     Offsets come from the text pieces between the matches, so the whole text is searched.
     """
-    matches = F.regexp_extract_all(c, F.lit(pattern), F.lit(0))
-    pieces = F.slice(F.arrays_zip(F.split(c, pattern, -1).alias("gap"), matches.alias("match")), F.lit(1), F.size(matches))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<match:string,start:int,end:int>>").alias("found"))
-
-    def step(acc: Column, piece: Column) -> Column:
-        begin = acc["at"] + F.length(piece["gap"])
-        end = begin + F.length(piece["match"])
-        hit = F.struct(piece["match"].alias("match"), begin.alias("start"), end.alias("end"))
-        return F.struct(end.alias("at"), F.concat(acc["found"], F.array(hit)).alias("found"))
-
     def window(hit: Column) -> Column:
         low = F.greatest(hit["start"] - before, F.lit(0))
         return F.struct(hit["match"].alias("match"), F.substring(c, low + 1, hit["end"] + after - low).alias("window"))
 
-    return F.transform(F.aggregate(pieces, start, step)["found"], window)
+    def windows(matches: Column) -> Column:
+        gaps = F.slice(F.split(c, pattern, -1), F.lit(1), F.size(matches))
+        ends = running(F.zip_with(gaps, matches, lambda g, m: F.length(g) + F.length(m)), lambda a, b: a + b, F.lit(0))
+        hits = F.zip_with(matches, ends, lambda m, end: F.struct(m.alias("match"), (end - F.length(m)).alias("start"), end.alias("end")))
+        return F.transform(hits, window)
+
+    return let(F.regexp_extract_all(c, F.lit(pattern), F.lit(0)), windows)
 
 
 def context_matches(df: DataFrame, column: str, pattern: str, before: int, after: int, fields: Mapping[str, str], last: Sequence[str] = ()) -> DataFrame:

@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 
 from campusweave.functions import page_tree
 from campusweave.functions.page_tree import PageTree
-from campusweave.functions.text import WS, clean, contains_any, first_match, items, let, squeeze
+from campusweave.functions.text import WS, clean, contains_any, first_match, items, let, running, squeeze
 from campusweave.rules.patterns import APP_STATE, JSON_LD
 from campusweave.rules.vocab import NOISE_CLASS_PARTS, NOISE_TAGS
 
@@ -196,20 +196,24 @@ def is_noise(n: Column) -> Column:
     return n["tag"].isin(*NOISE_TAGS) | F.coalesce(contains_any(n["cls"], NOISE_CLASS_PARTS), F.lit(False))
 
 
-def noise_roots() -> Column:
-    """Elements that are dropped with all they hold."""
-    return nodes_where(is_noise)
+def with_noise(trees: DataFrame) -> DataFrame:
+    """Add ``_reach``: per element, the last place that noise which has begun by then extends to.
+
+    An element is inside dropped ones if they reach it; a string is if its parent is. One pass over the page.
+    """
+    ends = F.transform("nodes", lambda n: F.when(is_noise(n), n["last"]).otherwise(F.lit(-1)))
+    return trees.withColumn("_reach", running(ends, F.greatest, F.lit(-1)))
 
 
-def kept_nodes(noise: Column) -> Column:
-    """Elements outside every dropped element."""
-    return nodes_where(lambda n: ~F.exists(noise, lambda z: (n["pre"] >= z["pre"]) & (n["pre"] <= z["last"])))
+def outside_noise(place: Column) -> Column:
+    """Whether the element at a place is outside every dropped element."""
+    return (place < 0) | (F.get(F.col("_reach"), place) < place)
 
 
-def kept_texts(noise: Column, n: Column) -> Column:
+def kept_texts(n: Column) -> Column:
     """Strings of an element that no dropped element holds."""
     places = F.when(n["t1"] > n["t0"], F.sequence(n["t0"], n["t1"] - 1)).otherwise(F.array().cast("array<int>"))
-    outside = F.filter(places, lambda i: ~F.exists(noise, lambda z: (i >= z["t0"]) & (i < z["t1"])))
+    outside = F.filter(places, lambda i: outside_noise(F.get(F.col("text_parents"), i)))
     return F.transform(outside, lambda i: F.get(F.col("texts"), i))
 
 
@@ -217,19 +221,13 @@ def with_main_text(trees: DataFrame, name: str = "main_text") -> DataFrame:
     """Text of <main>, else <article>, else the page, without its noise."""
     page = F.struct(F.lit(0).alias("t0"), F.size("texts").alias("t1"))
     scope = F.struct(F.col("_body.t0").alias("t0"), F.col("_body.t1").alias("t1"))
-    kept = kept_nodes(F.col("_noise"))
+    bodies = [first(F.filter(nodes_where(tagged(tag)), lambda n: outside_noise(n["pre"]))) for tag in ("main", "article")]
     return (
-        trees.withColumn("_noise", noise_roots())
-        .withColumn(
-            "_body",
-            F.coalesce(
-                first(nodes_where(tagged("main"), kept)),
-                first(nodes_where(tagged("article"), kept)),
-            ),
-        )
+        with_noise(trees)
+        .withColumn("_body", F.coalesce(*bodies))
         .withColumn("_scope", F.when(F.col("_body").isNotNull(), scope).otherwise(page))
-        .withColumn(name, clean(F.array_join(kept_texts(F.col("_noise"), F.col("_scope")), " ")))
-        .drop("_noise", "_body", "_scope")
+        .withColumn(name, clean(F.array_join(kept_texts(F.col("_scope")), " ")))
+        .drop("_reach", "_body", "_scope")
     )
 
 

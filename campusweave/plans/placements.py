@@ -58,13 +58,12 @@ def summary_values(html: Column) -> dict[str, Column]:
 
 def with_table_pairs(trees: DataFrame) -> DataFrame:
     """Add first and last cell text of every table row outside the page's noise."""
-    noise = F.col("_noise")
 
     def outside(n: Column) -> Column:
-        return ~F.exists(noise, lambda z: (n["pre"] >= z["pre"]) & (n["pre"] <= z["last"]))
+        return H.outside_noise(n["pre"])
 
     def text(cell: Column) -> Column:
-        return clean(F.array_join(H.kept_texts(noise, cell), " "))
+        return clean(F.array_join(H.kept_texts(cell), " "))
 
     def cells(tr: Column) -> Column:
         return F.filter(H.inside(tr), lambda n: n["tag"].isin("td", "th") & outside(n))
@@ -76,7 +75,7 @@ def with_table_pairs(trees: DataFrame) -> DataFrame:
         rows,
         lambda found: F.struct(text(F.get(found, 0)).alias("label"), text(F.try_element_at(found, F.lit(-1))).alias("value")),
     )
-    return trees.withColumn("_noise", H.noise_roots()).withColumn("_pairs", pairs).drop("_noise")
+    return H.with_noise(trees).withColumn("_pairs", pairs).drop("_reach")
 
 
 def table_values() -> dict[str, Column]:

@@ -96,3 +96,25 @@ def test_details(spark, degree, name, expected):
 
 def test_names(spark):
     assert apply(spark, ["MBA (Fin) ", "(Fin)", "MBA", None], X.without_trailing_parens) == ["MBA", "(Fin)", "MBA", ""]
+
+
+def test_running_values(spark):
+    import itertools
+    import random
+
+    from campusweave.functions.text import running
+
+    rng = random.Random(1)
+    rows_ = [[rng.randrange(-5, 50) for _ in range(n)] for n in (0, 1, 2, 3, 4, 5, 17, 100, 101)]
+    df = spark.createDataFrame([(i, a) for i, a in enumerate(rows_)], "i int, a array<int>")
+    got = df.orderBy("i").select(running(F.col("a"), lambda x, y: x + y, F.lit(0)).alias("s"), running(F.col("a"), lambda x, y: F.greatest(x, y), F.lit(-9)).alias("m")).collect()
+    assert [r["s"] for r in got] == [list(itertools.accumulate(a)) for a in rows_]
+    assert [r["m"] for r in got] == [list(itertools.accumulate(a, max)) for a in rows_]
+
+
+def test_main_text_with_nested_noise(spark):
+    from campusweave.operators import html as H
+
+    pages = ["<nav>a<p>b</p></nav><main>c<div>d<nav>e<nav>f</nav>g</nav>h</div></main><p>i</p>", "x<nav>y</nav>z", "", "<nav><main>q</main></nav><article>r</article>"]
+    df = spark.createDataFrame(list(enumerate(pages)), "i int, html string")
+    assert [r["main_text"] for r in H.main_text(df).orderBy("i").collect()] == ["c d h", "x z", "", "r"]
