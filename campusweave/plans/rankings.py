@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from campusweave.functions.text import WS, blank_to_null, clean
+from campusweave.functions.text import WS, blank_to_null, clean, let
 from campusweave.operators import html as H
 from campusweave.operators.relational import first_wins, without_known
 from campusweave.rules import patterns as P
@@ -104,19 +104,22 @@ def rankings_from_state(pages: DataFrame, keys: Sequence[str] = ("college_id", "
 
 def ranking_in_text(text: Column, aliases: Sequence[str]) -> Column:
     """(rank, year) of the first alias that is ranked at most 5,000 in the text, else NULL."""
+
+    def read(pattern: str) -> Column:
+        # the text is searched once; the groups are read from the short match
+        groups = lambda m: F.struct(F.regexp_extract(m, pattern, 1).alias("rank"), F.regexp_extract(m, pattern, 2).alias("year"))
+        return let(F.regexp_extract(text, pattern, 0), lambda m: F.when(m != "", groups(m)))
+
+    def usable(hit: Column) -> Column:
+        year = hit["year"].try_cast("int")
+        found = F.struct(hit["rank"].alias("rank"), F.when(year.between(*V.RANK_YEARS), year).alias("year"))
+        return F.when(hit["rank"].try_cast("int") <= V.TEXT_RANK_MAX, found)
+
     tries = []
     for alias in aliases:
         patterns = [p.replace("<alias>", re.escape(alias)) for p in P.RANK_PATTERNS]
-        rank, year = None, None
-        for p in patterns:
-            hit = text.rlike(p)
-            number, when = F.regexp_extract(text, p, 1), F.regexp_extract(text, p, 2)
-            rank = F.when(hit, number) if rank is None else rank.when(hit, number)
-            year = F.when(hit, when) if year is None else year.when(hit, when)
-        small = rank.try_cast("int") <= V.TEXT_RANK_MAX
-        number = year.try_cast("int")
         named = F.lower(text).contains(alias.lower())
-        tries.append(F.when(named & small, F.struct(rank.alias("rank"), F.when(number.between(*V.RANK_YEARS), number).alias("year"))))
+        tries.append(F.when(named, let(F.coalesce(*map(read, patterns)), usable)))
     return F.coalesce(*tries)
 
 
