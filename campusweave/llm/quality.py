@@ -78,9 +78,9 @@ def log_ratio(target: np.ndarray, raw: np.ndarray) -> np.ndarray:
     """Natural log of the target's probability over the raw one's, by bucket; without target texts nothing tells."""
     if not target.sum() or not raw.sum():
         return np.zeros(len(raw))
-    # the target's counts are smoothed by an even distribution, with a hundredth of the mass
     q = (raw + SMOOTHING) / (raw.sum() + SMOOTHING * BUCKETS)
-    p = 0.99 * target / target.sum() + 0.01 / BUCKETS
+    # the target's counts are smoothed towards the raw distribution, with as much mass as there are buckets
+    p = (target + SMOOTHING * BUCKETS * q) / (target.sum() + SMOOTHING * BUCKETS)
     return np.log(p) - np.log(q)
 
 

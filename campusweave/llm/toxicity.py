@@ -24,7 +24,7 @@ from campusweave.llm.common import by_step, texts
 
 #: Labelled rows that the grammar's weights are learnt from, at most; the choice is by a hash of doc_id.
 TRAIN_ROWS = 20_000
-#: Entries of the learnt trie, at most, the strongest first; documents that an entry must be found in.
+#: Entries of the learnt trie, at most, the strongest first; toxic texts that an entry must be found in (fewer if there are under 80).
 ENTRIES, LEAST_DOCS = 4_000, 8
 PREFIXES = range(4, 8)
 LEAST_WEIGHT = 2.0
@@ -110,8 +110,8 @@ def marks(text: str) -> set[str]:
     return words | {w[:n] + "*" for w in words for n in PREFIXES if len(w) >= n}
 
 
-def _counted(rows: DataFrame, only: frozenset[str] | None) -> dict[str, tuple[int, int]]:
-    """Toxic and clean texts that hold each entry; with no `only`, of toxic texts and entries in LEAST_DOCS of them."""
+def _counted(rows: DataFrame, least: int, only: frozenset[str] | None = None) -> dict[str, tuple[int, int]]:
+    """Toxic and clean texts that hold each entry; with no `only`, of toxic texts and entries in `least` of them."""
 
     def count(batch):
         found = {0: Counter(), 1: Counter()}
@@ -124,7 +124,7 @@ def _counted(rows: DataFrame, only: frozenset[str] | None) -> dict[str, tuple[in
 
     summed = by_step(rows, count, "entry string, toxic long, clean long").groupBy("entry").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
     # bounded by the sample: the entries found in most of its toxic texts
-    return {r["entry"]: (r["toxic"], r["clean"]) for r in summed.where(f"toxic >= {LEAST_DOCS}").orderBy(F.desc("toxic"), "entry").limit(50_000).collect()}
+    return {r["entry"]: (r["toxic"], r["clean"]) for r in summed.where(F.col("toxic") >= least).orderBy(F.desc("toxic"), "entry").limit(50_000).collect()}
 
 
 def learn(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Grammar:
@@ -138,10 +138,11 @@ def learn(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Grammar
     held = texts(docs).join(F.broadcast(sample), "doc_id").dropDuplicates(["text"])  # at most `rows` short rows
     part = F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(3))
     first, second = held.where(part != 0), held.where(part == 0)
-    found = _counted(first, None)
-    found = _counted(first, frozenset(found)) if found else {}
-    grammar = Grammar(dict.fromkeys(SEED_INSULTS, 3.0))
     n = {r["toxic"]: r["count"] for r in first.groupBy("toxic").count().collect()}
+    least = min(LEAST_DOCS, max(3, n.get(1, 0) // 10))
+    found = _counted(first, least)
+    found = _counted(first, least, frozenset(found)) if found else {}
+    grammar = Grammar(dict.fromkeys(SEED_INSULTS, 3.0))
     entries = {}
     for name, (toxic, clean) in found.items():
         odds = math.log((toxic + 0.5) / (n.get(1, 0) + 1)) - math.log((clean + 0.5) / (n.get(0, 0) + 1))
