@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
@@ -13,7 +14,7 @@ from pyspark.sql import functions as F
 from campusweave.session import checkpoint_dir
 
 #: Bytes of text that one step of a Python task holds as arrays; a longer text is a step of its own.
-STEP_BYTES = 2_000_000
+STEP_BYTES = 1_000_000
 
 
 def cut(df: DataFrame, name: str) -> DataFrame:
@@ -28,15 +29,34 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def texts(docs: DataFrame, *more: str) -> DataFrame:
+#: 64-bit words of a filter of keys: 8 MB, however many keys there are.
+FILTER = 1 << 20
+
+
+def bitmap(keys: DataFrame) -> np.ndarray:
+    """A Bloom filter, with one hash, of a column `key` of hashes. With very many keys it lets more through and stays right."""
+    bit = F.pow(F.lit(2.0), F.pmod(F.shiftrightunsigned("key", 40), F.lit(62))).cast("long")
+    rows = keys.groupBy(F.pmod("key", F.lit(FILTER)).alias("at")).agg(F.bit_or(bit).alias("bits")).toArrow()  # FILTER rows at most
+    out = np.zeros(FILTER, np.int64)
+    out[rows.column("at").to_numpy()] = rows.column("bits").to_numpy()
+    return out
+
+
+def passes(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Whether signed 64-bit keys are in a bitmap, or seem to be."""
+    return (bits[keys % FILTER] >> ((keys.view(np.uint64) >> np.uint64(40)) % np.uint64(62)).astype(np.int64)) & 1 == 1
+
+
+def texts(docs: DataFrame, *more) -> DataFrame:
     """doc_id and the text's UTF-8 bytes, null as empty; columns of other names are left behind."""
     return docs.select(F.col("doc_id").cast("long"), *more, F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("text"))
 
 
 def steps(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[pa.RecordBatch]:
-    """The batches cut into slices of about STEP_BYTES of a binary column."""
+    """The batches cut into slices of about STEP_BYTES of a column of bytes or of lists of numbers."""
     for batch in batches:
-        sizes = pc.binary_length(batch.column(column)).to_pylist()
+        values = batch.column(column)
+        sizes = (pc.multiply(pc.list_value_length(values), 8) if pa.types.is_list(values.type) else pc.binary_length(values)).to_pylist()
         start = total = 0
         for i, n in enumerate(sizes):
             if total and total + (n or 0) > STEP_BYTES:
@@ -47,17 +67,13 @@ def steps(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[p
             yield batch.slice(start)
 
 
-def by_step(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str) -> DataFrame:
-    """`fn` over slices of bounded bytes of `text`, in Arrow."""
+def by_step(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str, column: str = "text") -> DataFrame:
+    """`fn` over slices of bounded bytes of a column, in Arrow."""
 
     def run(batches):
-        for piece in steps(batches):
+        for piece in steps(batches, column):
             out = fn(piece)
             if out is not None and out.num_rows:
                 yield out
 
     return df.mapInArrow(run, schema)
-
-
-def empty(df: DataFrame) -> bool:
-    return df.isEmpty()

@@ -20,8 +20,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from campusweave.llm import words
-from campusweave.llm.common import by_step, cut, texts
-from campusweave.llm.graph import linked
+from campusweave.llm.common import bitmap, by_step, cut, passes, texts
+from campusweave.llm.graph import Sets, linked
 
 BANDS, ROWS = 32, 4
 #: similarity as a percentage, so that the test is one of whole numbers
@@ -78,29 +78,15 @@ def signatures(docs: DataFrame) -> DataFrame:
     return by_step(texts(docs), sign, "doc_id long, n_shingles long, set_a long, set_b long, keys array<long>")
 
 
-def alike(docs: DataFrame, pairs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """Of pairs (a, b) of doc_ids, those whose full shingle sets are similar enough.
+def some_texts(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """(id, content) of the documents with these ids, and by chance of others: a filter of fixed size goes to the tasks, no text is shuffled."""
+    shared = docs.sparkSession.sparkContext.broadcast(bitmap(ids.select(F.xxhash64("id").alias("key"))))
 
-    Only texts that are in a pair are moved, as text (it packs better than hashes) and split again at the end.
-    """
-    pairs = cut(pairs, "pairs")
-    used = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    known = cut(texts(docs).join(used, "doc_id", "left_semi"), "texts")
-    # smaller ids serve as pivots, so rows of one pivot meet in a batch
-    both = pairs.join(known.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a").join(known.select(F.col("doc_id").alias("b"), "text"), "b")
-
-    def keep(batch):
-        left, right = words.sets(batch.column("text_a")), words.sets(batch.column("text"))
-        yes = []
-        for x, y in zip(left, right, strict=True):
-            same = 0
-            if min(len(x), len(y)) * 100 >= percent * max(len(x), len(y)) and len(x):
-                merged = np.sort(np.concatenate([x, y]))
-                same = int((merged[1:] == merged[:-1]).sum())
-            yes.append(same > 0 and 100 * same >= percent * (len(x) + len(y) - same))
-        return batch.select(["a", "b"]).filter(pa.array(yes, pa.bool_()))
-
-    return by_step(both.select("a", "b", "text_a", "text"), keep, "a long, b long")
+    def run(batch):
+        found = batch.filter(pa.array(passes(shared.value, batch.column("key").to_numpy())))
+        return pa.RecordBatch.from_arrays([found.column("doc_id"), found.column("text")], ["id", "content"])
+
+    return by_step(texts(docs, F.xxhash64(F.col("doc_id").cast("long")).alias("key")), run, "id long, content binary").dropDuplicates(["id"])
 
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -108,17 +94,17 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
 
     component_id is the smallest doc_id that can be reached over links; a document is kept if that is its own.
     Null and empty texts and texts without words have an empty set, no links, and are kept. Repeated doc_ids
-    keep a row each. An empty table gives an empty result. Other columns are not read.
+    keep a row each; a row with a null doc_id is kept. An empty table gives an empty result. Other columns are not read.
     """
     signed = cut(signatures(docs), "signatures")
     by = ["n_shingles", "set_a", "set_b"]
     classes = cut(signed.where("n_shingles > 0").groupBy(*by).agg(F.min("doc_id").alias("id"), F.min("keys").alias("keys")), "classes")
-    buckets = classes.select(F.explode("keys").alias("key"), "id")
-    found = linked(buckets, lambda pairs: alike(docs, pairs, percent))
+    buckets = classes.where("id is not null").select(F.explode("keys").alias("key"), "id")
+    found = linked(buckets, Sets(lambda ids: some_texts(docs, ids), words.sets, percent))
     of_class = classes.join(found, "id", "left").select(*by, F.coalesce("component", "id").alias("component"))
     out = signed.drop("keys").join(of_class, by, "left")
     out = out.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
-    return out.withColumn("kept", F.col("doc_id") == F.col("component_id"))
+    return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
 def first_of_each(docs: DataFrame, percent: int = PERCENT) -> DataFrame:

@@ -3,10 +3,13 @@
 A paragraph is what lies between two cuts in a text. Cuts are line ends and places that the content sets:
 a word starts a paragraph if the hash of it and the word before is the least within REACH words on both
 sides. So a passage has the same paragraphs wherever it stands, also in the midst of a long line, and
-paragraphs of a line are longer than REACH words. Each paragraph has BANDS bands of ROWS min-hashes of
-its five-word shingles; paragraphs that collide are compared on their exact sets (Jaccard 0.75 or more)
-and clustered by components. At 0.75 a pair meets in a band with probability 1 - (1 - 0.75^2)^5 = 0.984,
-at 0.9 with 0.9998, and equal paragraphs always do.
+paragraphs of a line are longer than REACH words. Each paragraph has BANDS bands of one min-hash of its
+five-word shingles; paragraphs that collide are compared on their exact sets (Jaccard 0.75 or more) and
+clustered by components. Bands are tuned for recall with few rows, as a paragraph has about nine shingles:
+at 0.75 a pair meets in a band with probability 1 - 0.25^4 = 0.996, and equal paragraphs always do.
+
+Most keys belong to one paragraph. A first pass counts keys; those that repeat go into a filter of fixed
+size, and the second pass keeps the paragraphs it lets through.
 
 The first place of a cluster (smallest doc_id, then place) stays, the others are removals. Neighbouring
 repeated paragraphs make up a passage; passages under LEAST_WORDS words, such as licence lines, stay.
@@ -20,11 +23,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from campusweave.llm import words
-from campusweave.llm.common import by_step, cut, texts
-from campusweave.llm.graph import linked
+from campusweave.llm.common import bitmap, by_step, cut, passes, texts
+from campusweave.llm.graph import Sets, linked
 
 REACH = 6
-BANDS, ROWS = 5, 2
+BANDS = 4
 PERCENT = 75
 LEAST_WORDS = 16
 U = np.uint64
@@ -77,57 +80,66 @@ def _contents(found: np.ndarray, begin: np.ndarray) -> np.ndarray:
     return words.mix(total[begin[1:]] - total[begin[:-1]] + np.diff(begin).astype(U))
 
 
-def places(docs: DataFrame) -> DataFrame:
-    """doc_id, start and end word, and content id of each paragraph."""
+def _bands(found: np.ndarray, begin: np.ndarray) -> np.ndarray:
+    """Band keys of each paragraph, a row for each band."""
+    return np.stack([words.mix(np.minimum.reduceat(words.mix(found ^ seed), begin[:-1]) ^ seed) for seed in words.seeds(BANDS, 1000)])
+
+
+def shared_keys(docs: DataFrame) -> DataFrame:
+    """Band keys that more than one paragraph has."""
+
+    def run(batch):
+        w, start, end, _ = _paragraphs(batch.column("text"))
+        if not len(start):
+            return None
+        key, n = np.unique(_bands(*_sets(w, start, end)), return_counts=True)
+        return pa.RecordBatch.from_arrays([pa.array(words.signed(key)), pa.array(n)], ["key", "n"])
+
+    return by_step(texts(docs), run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).where("n > 1").select("key")
+
+
+def places(docs: DataFrame, bits: np.ndarray) -> DataFrame:
+    """doc_id, start and end word, content id and band keys of each paragraph that has a key in the bitmap."""
+    shared = docs.sparkSession.sparkContext.broadcast(bits)  # of fixed size
 
     def run(batch):
         w, start, end, text = _paragraphs(batch.column("text"))
-        content = _contents(*_sets(w, start, end))
+        if not len(start):
+            return None
+        found, begin = _sets(w, start, end)
+        keys = _bands(found, begin)
+        some = np.flatnonzero(passes(shared.value, words.signed(keys)).any(axis=0))
         first = w.first[text]
+        content = _contents(found, begin)
         return pa.RecordBatch.from_arrays(
-            [batch.column("doc_id").take(pa.array(text)), pa.array((start - first).astype(np.int32)), pa.array((end - first).astype(np.int32)), pa.array(words.signed(content))],
-            ["doc_id", "start", "end", "content"],
+            [batch.column("doc_id").take(pa.array(text[some])), pa.array((start - first).astype(np.int32)[some]), pa.array((end - first).astype(np.int32)[some]), pa.array(words.signed(content)[some]), words.lists(list(words.signed(keys.T[some].copy())), pa.int64())],
+            ["doc_id", "start", "end", "content", "keys"],
         )
 
-    return by_step(texts(docs), run, "doc_id long, start int, end int, content long")
+    return by_step(texts(docs), run, "doc_id long, start int, end int, content long, keys array<long>")
 
 
-def bands(docs: DataFrame) -> DataFrame:
-    """(key, id) for each band of each paragraph; id is its content. Within a step equal ones are given once."""
+def shingle_sets(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """(id, content) for paragraphs with these content ids, and by chance others: their shingles, each id once."""
+    shared = docs.sparkSession.sparkContext.broadcast(bitmap(ids.select(F.col("id").alias("key"))))
 
     def run(batch):
         w, start, end, _ = _paragraphs(batch.column("text"))
-        found, begin = _sets(w, start, end)
-        if not len(found):
+        if not len(start):
             return None
-        content, lead = np.unique(_contents(found, begin), return_index=True)
-        keys = []
-        for band in range(BANDS):
-            key = np.full(len(content), band + 1, U)
-            for seed in words.seeds(ROWS, 1000 * (band + 1)):
-                key = words.mix((key ^ np.minimum.reduceat(words.mix(found ^ seed), begin[:-1])[lead]) * U(0x9E3779B97F4A7C15))
-            keys.append(key)
-        return pa.RecordBatch.from_arrays([pa.array(words.signed(np.concatenate(keys))), pa.array(words.signed(np.tile(content, BANDS)))], ["key", "id"])
-
-    return by_step(texts(docs), run, "key long, id long")
-
+        found, begin = _sets(w, start, end)
+        content, lead = np.unique(words.signed(_contents(found, begin)), return_index=True)
+        some = np.flatnonzero(passes(shared.value, content))
+        rows = [words.signed(np.unique(found[begin[j] : begin[j + 1]])) for j in lead[some]]
+        return pa.RecordBatch.from_arrays([pa.array(content[some]), words.lists(rows, pa.int64())], ["id", "content"]) if rows else None
 
-def shingle_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(id, items) for the content ids in `wanted` (doc_id, ids): their shingles, read from the documents that hold them."""
+    return by_step(texts(docs), run, "id long, content array<long>").dropDuplicates(["id"])
 
-    def run(batch):
-        w, start, end, text = _paragraphs(batch.column("text"))
-        found, begin = _sets(w, start, end)
-        content = words.signed(_contents(found, begin))
-        ids, rows = [], []
-        span = np.searchsorted(text, np.arange(batch.num_rows + 1))
-        for i, of in enumerate(batch.column("ids").to_pylist()):
-            for j in span[i] + np.flatnonzero(np.isin(content[span[i] : span[i + 1]], of)):
-                ids.append(content[j])
-                rows.append(words.signed(np.unique(found[begin[j] : begin[j + 1]])))
-        return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), words.lists(rows, pa.int64())], ["id", "items"]) if ids else None
 
-    return by_step(texts(docs).join(wanted, "doc_id"), run, "id long, items array<long>")
+def _read(column: pa.Array) -> list[np.ndarray]:
+    """Sets from a column of lists."""
+    ends = column.offsets.to_numpy()
+    return [x.view(np.uint64) for x in np.split(column.values.to_numpy(), ends)[1:-1]]
 
 
 def repeated(docs: DataFrame, percent: int = PERCENT, least_words: int = LEAST_WORDS) -> DataFrame:
@@ -137,20 +149,10 @@ def repeated(docs: DataFrame, percent: int = PERCENT, least_words: int = LEAST_W
 
     Null and empty texts have no paragraphs; rows that repeat a doc_id count as one text each and hold the same places.
     """
-    found = cut(places(docs), "places")
-    buckets = bands(docs)
-    holder = found.groupBy("content").agg(F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("n"))
-
-    def verify(pairs: DataFrame) -> DataFrame:
-        pairs = cut(pairs, "pairs")
-        ids = pairs.select(F.explode(F.array("a", "b")).alias("content")).distinct()
-        wanted = holder.join(ids, "content").groupBy("doc_id").agg(F.collect_list("content").alias("ids"))
-        known = cut(shingle_sets(docs, wanted).dropDuplicates(["id"]), "sets")
-        both = pairs.join(known.select(F.col("id").alias("a"), F.col("items").alias("items_a")), "a").join(known.select(F.col("id").alias("b"), "items"), "b")
-        same = F.size(F.array_intersect("items_a", "items"))
-        return both.where(100 * same >= percent * (F.size("items_a") + F.size("items") - same)).select("a", "b")
-
-    classes = linked(buckets.distinct(), verify)
+    found = cut(places(docs, bitmap(shared_keys(docs))), "places")
+    holder = cut(found.groupBy("content").agg(F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("n"), *(F.min(F.col("keys")[i]).alias(f"k{i}") for i in range(BANDS))), "holder")
+    buckets = holder.select(F.explode(F.array(*(f"k{i}" for i in range(BANDS)))).alias("key"), F.col("content").alias("id"))
+    classes = linked(buckets, Sets(lambda ids: shingle_sets(docs, ids), _read, percent))
     of = holder.join(classes.withColumnRenamed("id", "content"), "content", "left").select("content", "n", F.coalesce("component", "content").alias("cluster"))
     many = of.groupBy("cluster").agg(F.sum("n").alias("n")).where("n > 1")
     shared = cut(of.join(many.select("cluster"), "cluster", "left_semi").select("content", "cluster"), "shared")
