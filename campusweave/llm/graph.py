@@ -77,27 +77,29 @@ class Sets:
         return (F.col("same") > 0) & ((100 + self.percent) * F.col("same") >= self.percent * (F.col("size_a") + F.col("size_b")))
 
     def beyond(self, pairs: DataFrame, known: DataFrame) -> DataFrame:
-        """(key, id): items of b that a lacks, as keys of a and item, as many as a partner of b must share one of.
+        """(key, id, least, size, same): items of b that a lacks, as keys of a and item, as many as a partner of b must share one of.
 
         Two sets that are alike have (100 + p) * common >= p * (sizes); what they do not have in common with a must make up the rest.
-        So they share r items at least that a lacks, and in the order of the items' hashes one of the first n - r + 1.
+        So they share r items (`least`) at least that a lacks, and in the order of the items' hashes one of the first n - r + 1.
+        size and same are of b, and of what it shares with a.
         """
         read, p = self.read, self.percent
 
         def run(batch):
             pivot = words.mix(batch.column("a").to_numpy().view(np.uint64))
-            keys, ids = [], []
+            keys, ids, facts = [], [], []
             for seed, b, x, y in zip(pivot, batch.column("b").to_pylist(), read(batch.column("left")), read(batch.column("right")), strict=True):
                 rest = np.setdiff1d(y, x, assume_unique=True)
                 least = max(1, -(-(p * len(y)) // 100) - (len(y) - len(rest)))
                 if len(rest) >= least:
                     keys.append(words.mix(np.sort(words.mix(rest))[: len(rest) - least + 1] ^ seed))
                     ids.append(np.full(len(keys[-1]), b, np.int64))
+                    facts.append(np.tile(np.array([least, len(y), len(y) - len(rest)], np.int32), (len(keys[-1]), 1)))
             if not keys:
                 return None
-            return pa.RecordBatch.from_arrays([pa.array(words.signed(np.concatenate(keys))), pa.array(np.concatenate(ids))], ["key", "id"])
+            return pa.RecordBatch.from_arrays([pa.array(words.signed(np.concatenate(keys))), pa.array(np.concatenate(ids)), *(pa.array(c) for c in np.concatenate(facts).T.copy())], ["key", "id", "least", "size", "same"])
 
-        return by_step(self.attached(pairs, known), run, "key long, id long", "right")
+        return by_step(self.attached(pairs, known), run, "key long, id long, least int, size int, same int", "right")
 
 
 def _common(x: np.ndarray, y: np.ndarray) -> int:
@@ -128,7 +130,7 @@ def linked(buckets: DataFrame, sets: Sets) -> DataFrame:
     known = first.select(F.col("a").alias("pivot"), F.col("b").alias("id"), "size_a", F.col("size_b").alias("size"), "same", sets.alike().alias("alike"))
     held = cut(now.join(known, ["pivot", "id"]), "held")
     beyond = cut(sets.beyond(held.select(F.col("pivot").alias("a"), F.col("id").alias("b")).distinct(), content), "beyond")
-    inner = _with_pivots(_open(beyond.distinct(), classes).select("key", "id"))
+    inner = _with_pivots(_open(beyond.select("key", "id").distinct(), classes).select("key", "id"))
     by_size = _by_size(held, sets.percent)
     # one comparison for both, as pairs that are met in either way
     more = cut(sets.compared(_pairs(_to_pivot(inner).union(by_size)), content).where(sets.alike()).select("a", "b"), "links")
@@ -136,11 +138,15 @@ def linked(buckets: DataFrame, sets: Sets) -> DataFrame:
     rest = _open(inner, classes).where("id <> pivot")
     if rest.isEmpty():
         return classes
-    # a pair meets in the least key that both have, once
-    keys = rest.groupBy("id").agg(F.collect_set("key").alias("keys"))
-    rest = cut(rest.join(keys, "id"), "open")
-    left = rest.select("key", F.col("class").alias("other"), F.col("id").alias("a"), F.col("keys").alias("own"))
-    apart = left.hint("merge").join(rest, "key").where("class <> other and a < id and array_min(array_intersect(own, keys)) = key")
+    # A pair meets in the least key that both have, once. Keys are the first of the items that the outer pivot lacks: of the member whose
+    # last key is less, all shared items up to there are among the common keys, and least - 1 at most come after it.
+    keys = beyond.join(rest.select("id").distinct(), "id", "left_semi").groupBy("id").agg(F.collect_set("key").alias("keys"))
+    facts = beyond.groupBy("key", "id").agg(F.max("least").alias("least"), F.max("size").alias("size"), F.max("same").alias("same"))
+    rest = cut(rest.join(facts, ["key", "id"]).join(keys, "id"), "open")
+    left = rest.select("key", F.col("class").alias("other"), F.col("id").alias("a"), F.col("keys").alias("own"), F.col("least").alias("least_a"), F.col("size").alias("size_a"), F.col("same").alias("same_a"))
+    p = sets.percent
+    enough = f"{100 + p} * (size(array_intersect(own, keys)) + greatest(least, least_a) - 1 + least(same, same_a)) >= {p} * (size + size_a)"
+    apart = left.hint("merge").join(rest, "key").where(f"class <> other and a < id and array_min(array_intersect(own, keys)) = key and {enough}")
     apart = apart.select("a", F.col("id").alias("b"))
     return joined(classes, cut(sets.compared(apart, content).where(sets.alike()).select("a", "b"), "links"))
 
