@@ -88,20 +88,22 @@ def nearest(vectors: DataFrame, queries, k: int = 20, pivots: int = PIVOTS, shar
             return pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype({"query_id": "int64", "vec_id": "int64", "score": "float64"})
         pivot = int(key[0])
         file = file.sort_values("vec_id")
-        ids, x, order = file["vec_id"].to_numpy(), np.stack(file["vector"].to_numpy()), np.stack(file["order"].to_numpy())
+        ids, x = file["vec_id"].to_numpy(), np.stack(file["vector"].to_numpy())
+        # a row for each place of the lists: sums and minima over places then run along the vectors
+        order = np.ascontiguousarray(np.stack(file["order"].to_numpy()).T.astype(np.intp))
         q = np.stack(own["vector"].to_numpy())
         full, own_ids = _orders(q, base), own["vec_id"].to_numpy()
-        places = np.arange(size)
+        places = np.arange(size, dtype=np.int32)[:, None]
+        at, far = np.empty(len(base), np.int32), np.empty(order.shape, np.int32)
         out = []
         for i, number in enumerate(own_ids):
-            at = np.empty(len(base), np.int32)
             at[full[i]] = np.arange(len(base))
-            far = at[order]
+            np.take(at, order, out=far, mode="clip")
             # the first file of this query that holds the vector is the one of its least place
-            mine = np.flatnonzero((far.min(axis=1) == at[pivot]) & (ids != number))
+            mine = np.flatnonzero((far.min(axis=0) == at[pivot]) & (ids != number))
             if not len(mine):
                 continue
-            rule = np.abs(far[mine] - places).sum(axis=1)
+            rule = np.abs(far[:, mine] - places).sum(axis=0)
             keep = min(len(mine), max(LEAST, int(np.ceil(share * len(mine)))))
             if keep < len(mine):
                 edge = np.partition(rule, keep - 1)[keep - 1]
