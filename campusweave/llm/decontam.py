@@ -1,8 +1,8 @@
 """Benchmark decontamination by SimHash of item-sized windows, in DataFrame functions throughout.
 
-A window is a run of as many words as an item has. Windows that share no shingle with any item have a
-similarity of 0 to all, so windows are taken where a shingle of the text is one of an item's, at the place
-that the shingle has in the item; all of these, over whole texts. Their 64-bit SimHash fingerprints (over
+A window is a run of as many words as an item has. A window reaches the least similarity only if it holds
+so many shingles of items of its size, wherever they stand in the item; all windows that hold as many are
+taken, over whole texts, so that an item whose parts are reordered is met too. Their 64-bit SimHash fingerprints (over
 words, weighted by count) are compared with the items' by a multi-index: 64 bits in RADIUS + 1 blocks, so
 that two fingerprints within RADIUS agree in a block at least. Pairs within RADIUS are verified by the exact
 weighted similarity of their five-word shingles, the sum of least counts over the sum of greatest.
@@ -96,21 +96,39 @@ def bounded(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
 
 
-def windows(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """doc_id, text hash, start, size: item-sized windows of `docs` that share a shingle with an item at its place.
+def starts(places: Column, length: Column, size: Column, n: int, percent: int) -> Column:
+    """Starts of all windows of `size` words that hold enough of the sorted `places` of n-word shingles to be similar.
 
-    A window that would stick out of its text is moved in; a text shorter than the item is one window.
+    Of K and L shingles at least percent * (K + L) / (100 + percent) must be shared. Windows that hold the places i to
+    i + need - 1 start in a range; both ends of the ranges rise with i, so each takes what lies after the one before.
+    """
+    own, last = size - n + 1, F.greatest(F.lit(0), length - size)
+    need = F.ceil(percent * (own + F.least(length, size) - n + 1) / F.lit(100 + percent)).cast("int")
+
+    def span(i: Column) -> Column:
+        low = F.greatest(F.lit(0), F.get(places, i + need - 1) - own + 1, F.when(i > 0, F.least(F.get(places, i - 1), last) + 1).otherwise(0))
+        high = F.least(F.get(places, i), last)
+        return F.when(low <= high, F.sequence(low, high)).otherwise(F.array().cast("array<int>"))
+
+    return F.when(F.size(places) >= need, F.flatten(F.transform(F.sequence(F.lit(0), F.size(places) - need), span))).otherwise(F.array().cast("array<int>"))
+
+
+def windows(docs: DataFrame, items: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """doc_id, text hash, start, size: item-sized windows of `docs` that hold enough shingles of items of that size.
+
+    A text shorter than the item is one window.
     """
     rows = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("key"), hashes(F.col("text")).alias("words"))
     lengths = [r[0] for r in items.select(F.least("size", F.lit(SHINGLE))).distinct().collect()]  # from 1 to SHINGLE
     out = None
     for n in sorted(lengths):
-        of = items.where(F.least("size", F.lit(SHINGLE)) == n).select("size", F.posexplode(shingled(F.col("words"), n)).alias("at", "shingle"))
+        of = items.where(F.least("size", F.lit(SHINGLE)) == n).select("size", F.explode(shingled(F.col("words"), n)).alias("shingle"))
         anchors = bounded(cut(of.distinct(), "anchors"))
         here = rows.select("doc_id", "key", F.size("words").alias("length"), F.posexplode(shingled(F.col("words"), n)).alias("place", "shingle"))
-        found = here.join(anchors, "shingle").select("doc_id", "key", "size", F.greatest(F.lit(0), F.least(F.col("place") - F.col("at"), F.col("length") - F.col("size"))).alias("start"))
+        met = here.join(anchors, "shingle").groupBy("doc_id", "key", "length", "size").agg(F.sort_array(F.collect_set("place")).alias("places"))
+        found = met.select("doc_id", "key", "size", F.explode(starts(F.col("places"), F.col("length"), F.col("size"), n, percent)).alias("start"))
         out = found if out is None else out.union(found)
-    return out.distinct() if out is not None else rows.select("doc_id", "key", F.lit(0).alias("size"), F.lit(0).alias("start")).where("false")
+    return out if out is not None else rows.select("doc_id", "key", F.lit(0).alias("size"), F.lit(0).alias("start")).where("false")
 
 
 def contaminated(docs: DataFrame, items: DataFrame, percent: int = PERCENT, radius: int = RADIUS) -> DataFrame:
@@ -121,7 +139,7 @@ def contaminated(docs: DataFrame, items: DataFrame, percent: int = PERCENT, radi
     shingle and must be held whole. Rows that repeat a doc_id count together. Empty tables give an empty result.
     """
     known = cut(item_table(items), "items")
-    at = cut(windows(docs, known), "windows")
+    at = cut(windows(docs, known, percent), "windows")
     held = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("key"), "text").join(at.groupBy("doc_id", "key").agg(F.collect_list(F.struct("start", "size")).alias("at")), ["doc_id", "key"])
     held = held.select("doc_id", hashes(F.col("text")).alias("all"), "at").select("doc_id", "all", F.explode("at").alias("w"))
     held = held.select("doc_id", F.col("w.start").alias("start"), F.col("w.size").alias("size"), F.slice("all", F.col("w.start") + 1, F.col("w.size")).alias("words"))

@@ -122,6 +122,24 @@ def test_decontamination_against_all_windows(spark, docs):
     assert decontam.contaminated(docs("a b"), table.limit(0)).collect() == [] == decontam.contaminated(docs().limit(0), table).collect()
 
 
+def test_decontamination_of_reordered_items(spark, docs):
+    """Items whose halves or last third changed places, in a longer text, at a line's start and in a text of their own."""
+    items = [(i, prose(40 + 7 * i, 700 + i)) for i in range(6)]
+    rows = []
+    for i, text in items:
+        w = text.split()
+        for k, at in enumerate((len(w) // 2, 2 * len(w) // 3)):
+            moved = " ".join(w[at:] + w[:at])
+            rows += [(100 * k + i, f"{prose(30, i)} {moved} {prose(30, 50 + i)}"), (100 * k + 20 + i, moved), (100 * k + 40 + i, f"{moved} {prose(9, i)}")]
+        rows.append((300 + i, f"{prose(30, i)} {' '.join(w[: len(w) // 2])} {prose(30, 60 + i)}"))
+    table = spark.createDataFrame(items, "item_id long, text string")
+    out = decontam.contaminated(docs(*rows), table).collect()
+    found = {(r["doc_id"], r["item_id"]): r["similarity"] for r in out}
+    want = windows_by_hand(rows, items)
+    assert len(want) == 36 and found == pytest.approx(want)
+    assert all(r["start_word"] == 30 for r in out if r["doc_id"] % 100 < 20)
+
+
 def test_decontamination_is_native(spark, docs):
     table = spark.createDataFrame([(1, prose(20, 1))], "item_id long, text string")
     plan = decontam.contaminated(docs(prose(20, 1)), table)._jdf.queryExecution().toString()
