@@ -12,7 +12,8 @@ Most keys belong to one paragraph. A first pass counts keys; those that repeat g
 size, and the second pass keeps the paragraphs it lets through.
 
 The first place of a cluster (smallest doc_id, then place) stays, the others are removals. Neighbouring
-repeated paragraphs make up a passage; passages under LEAST_WORDS words, such as licence lines, stay.
+repeated paragraphs make up a passage; passages under LEAST_WORDS words, such as licence lines, stay. A
+passage is told in a row for each part that stays or goes, with all clusters of its paragraphs.
 """
 
 from __future__ import annotations
@@ -143,9 +144,10 @@ def _read(column: pa.Array) -> list[np.ndarray]:
 
 
 def repeated(docs: DataFrame, percent: int = PERCENT, least_words: int = LEAST_WORDS) -> DataFrame:
-    """One row for each repeated passage of `docs` (doc_id, text), whole texts, words counted from 0, end exclusive:
+    """One row for each part of a repeated passage of `docs` (doc_id, text), whole texts, words counted from 0, end exclusive:
     doc_id, start_word, end_word, n_words, cluster (least content id of its paragraphs' classes), first_doc (smallest
-    doc_id that shares a paragraph of it) and removed (false where all its paragraphs are the first of their class).
+    doc_id that shares a paragraph of it), removed (false where all its paragraphs are the first of their class, true
+    where none is) and clusters (all classes of its paragraphs, in order). The least length is that of the whole passage.
 
     Null and empty texts have no paragraphs; rows that repeat a doc_id count as one text each and hold the same places.
     """
@@ -161,13 +163,19 @@ def repeated(docs: DataFrame, percent: int = PERCENT, least_words: int = LEAST_W
     here = here.join(first, "cluster").select("doc_id", "start", "end", "cluster", "first")
     # runs of neighbouring paragraphs; a window holds the paragraphs of one document
     by_doc = Window.partitionBy("doc_id").orderBy("start", "end")
-    run = F.sum((F.col("start") != F.coalesce(F.lag("end").over(by_doc), F.lit(-1))).cast("int")).over(by_doc)
-    passages = here.dropDuplicates(["doc_id", "start", "end"]).withColumn("run", run).groupBy("doc_id", "run").agg(
+    apart = F.col("start") != F.coalesce(F.lag("end").over(by_doc), F.lit(-1))
+    turns = F.col("removed") != F.coalesce(F.lag("removed").over(by_doc), F.col("removed"))
+    here = here.dropDuplicates(["doc_id", "start", "end"]).withColumn("removed", (F.col("first.doc_id") != F.col("doc_id")) | (F.col("first.start") != F.col("start")))
+    here = here.withColumn("run", F.sum(apart.cast("int")).over(by_doc)).withColumn("part", F.sum((apart | turns).cast("int")).over(by_doc))
+    whole = Window.partitionBy("doc_id", "run")
+    here = here.withColumn("whole", F.max("end").over(whole) - F.min("start").over(whole)).where(F.col("whole") >= least_words)
+    passages = here.groupBy("doc_id", "part").agg(
         F.min("start").alias("start_word"),
         F.max("end").alias("end_word"),
         F.min("cluster").alias("cluster"),
         F.min("first.doc_id").alias("first_doc"),
-        F.max((F.col("first.doc_id") != F.col("doc_id")) | (F.col("first.start") != F.col("start"))).alias("removed"),
+        F.first("removed").alias("removed"),
+        F.sort_array(F.collect_set("cluster")).alias("clusters"),
     )
     n = F.col("end_word") - F.col("start_word")
-    return passages.where(n >= least_words).select("doc_id", "start_word", "end_word", n.alias("n_words"), "cluster", "first_doc", "removed")
+    return passages.select("doc_id", "start_word", "end_word", n.alias("n_words"), "cluster", "first_doc", "removed", "clusters")

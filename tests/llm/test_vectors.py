@@ -64,6 +64,21 @@ def test_passages(spark, docs):
         assert begin - 3 <= r["start_word"] < r["end_word"] <= begin + 73 and r["n_words"] >= 25 and r["removed"] == (i > 0) and r["first_doc"] == 0
 
 
+def test_neighbouring_passages_keep_links_and_copies(spark, docs):
+    """Of repeated lines side by side each keeps a copy, and each link is told; the least length is that of both."""
+    a, b = prose(20, 1), prose(20, 2)
+    short_a, short_b = prose(10, 3), prose(10, 4)
+    rows = [(1, f"{prose(20, 5)}\n{b}"), (2, f"{a}\n{b}"), (3, f"{a}\n{prose(20, 6)}")]
+    rows += [(11, f"{prose(20, 7)}\n{short_b}"), (12, f"{short_a}\n{short_b}"), (13, f"{short_a}\n{prose(20, 8)}")]
+    got = collections.defaultdict(list)
+    for r in substring_dedup.repeated(docs(*rows)).orderBy("doc_id", "start_word").collect():
+        got[r["doc_id"]].append((r["start_word"], r["end_word"], r["n_words"], r["first_doc"], r["removed"]))
+    assert got == {1: [(20, 40, 20, 1, False)], 2: [(0, 20, 20, 2, False), (20, 40, 20, 1, True)], 3: [(0, 20, 20, 2, True)], 12: [(0, 10, 10, 12, False), (10, 20, 10, 11, True)]}
+    for x, y in ((a, b), (b, a)):
+        of = {r["doc_id"]: set(r["clusters"]) for r in substring_dedup.repeated(docs((1, x), (2, y), (3, f"{x}\n{y}"))).collect()}
+        assert of[1] and of[2] and not of[1] & of[2] and of[3] == of[1] | of[2]
+
+
 def test_near_paragraphs_against_all_pairs(spark, docs):
     base = [prose(40, i) for i in range(5)]
     texts = base + [b.replace(b.split()[-1], "other") for b in base] + [base[0], base[1].upper()]
