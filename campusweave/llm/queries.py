@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from campusweave.llm import ann, brown_lm, decontam, near_dedup, quality, secrets, sentencepiece, sharding, substring_dedup, toxicity
+from campusweave.llm import ann, brown_lm, decontam, fim, main_text, near_dedup, quality, secrets, sentencepiece, sharding, substring_dedup, toxicity, vector_codes
 from campusweave.llm.common import table
 
 QUERIES = {}
@@ -73,3 +73,27 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op11_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text.extracted(table(spark, sf_dir, "pages"))
+
+
+ORACLES["op11_main_text"] = main_text.ORACLE
+
+
+@query
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.encoded(table(spark, sf_dir, "embeddings"))
+
+
+ORACLES["op12_vector_codes"] = vector_codes.oracle()
+
+
+@query
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fim.digests(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op13_fill_in_middle"] = fim.ORACLE
