@@ -18,10 +18,12 @@ from campusweave.plans import colleges, courses, people, placements, rankings
 from campusweave.plans.run import finish, load_datasets, new_pages, parse_batch
 from campusweave.schemas import DATASETS
 from campusweave.session import checkpoint_dir
+from campusweave.sources import seen
 from campusweave.sources.datasets import read_dataset, rejected_records, write_bundle, write_dataset, write_per_entity
 from campusweave.sources.listing import read_listing, write_listing
-from campusweave.sources.pages import store_pages, stored_pages
-from campusweave.streaming.ingest import stream_pages
+from campusweave.sources.page_files import write_pages
+from campusweave.sources.pages import read_pages, store_pages, stored_pages
+from campusweave.streaming.ingest import stream_pages, stream_progress
 
 # -- relational pieces ------------------------------------------------------------------------
 
@@ -210,6 +212,21 @@ def page_store(spark, d):
     return kept[0].union(kept[1]).groupBy("page_type").agg(F.count("html").alias("n_pages"))
 
 
+@query(
+    "page_files",
+    """SELECT CAST(s_suppkey AS STRING) AS college_id, lower(replace(s_name, '#', '-')) AS slug, CASE WHEN s_suppkey % 2 = 0 THEN 'info' ELSE 'faculty' END AS page_type,
+ '<h1>' || s_name || '</h1>' || chr(10) || '<p>é ' || CAST(s_nationkey AS STRING) || '</p>' AS html FROM supplier""",
+)
+def page_files(spark, d):
+    """Pages saved as a file each, under the names of saved pages, and read from them."""
+    path = _folder(spark, "files")
+    write_pages(table(spark, d, "supplier").selectExpr(
+        "CAST(s_suppkey AS STRING) AS college_id", "lower(replace(s_name, '#', '-')) AS slug", "CASE WHEN s_suppkey % 2 = 0 THEN 'info' ELSE 'faculty' END AS page_type",
+        "'<h1>' || s_name || '</h1>\n<p>é ' || CAST(s_nationkey AS STRING) || '</p>' AS html",
+    ), path)
+    return read_pages(spark, path).drop("url")
+
+
 # -- listing pages ----------------------------------------------------------------------------
 
 _FIRST = "'https://campus.example/college/' || CAST(s_suppkey AS STRING) || '-a'"
@@ -487,15 +504,54 @@ def stream_ingest(spark, d):
     """Pages of every type arrive as files and are parsed batch by batch."""
     root = _folder(spark, "stream")
     all_pages(spark, d).write.parquet(f"{root}/in")
-    stream_pages(spark, f"{root}/in", f"{root}/out", f"{root}/progress", files_per_batch=20)
+    stream_pages(spark, f"{root}/in", f"{root}/out", f"{root}/progress", files_per_batch=20, buckets=8)
     return audit_counts(load_datasets(spark, f"{root}/out"))
 
 
+_WAVES = 4
+
+
+@query(
+    "stream_progress",
+    f"""WITH w AS (SELECT i AS batch, count(*) FILTER (c_custkey % {_WAVES} = i) AS n, count(*) FILTER (i > 0 AND c_custkey % {_WAVES} = i - 1 AND c_custkey % 3 = 0) AS again,
+ count(*) FILTER (c_custkey % {_WAVES} = i AND c_custkey % 10 = 0) AS bad FROM customer, range({_WAVES}) r(i) GROUP BY i),
+ b AS (SELECT batch, n + again AS rows_in, n AS new, n - bad AS saved, bad AS rejected FROM w),
+ t AS (SELECT *, CAST(sum(saved) OVER s - saved AS BIGINT) AS saved_before, CAST(sum(rejected) OVER s - rejected AS BIGINT) AS rejected_before FROM b WINDOW s AS (ORDER BY batch))
+ SELECT *, saved_before + saved AS saved_after, rejected_before + rejected AS rejected_after, true AS timed FROM t""",
+)
+def ingest_progress(spark, d):
+    """Pages that arrive in waves, some of them again and some unreadable: what the stream tells of each batch."""
+    root = _folder(spark, "progress")
+    key = F.col("college_id").cast("bigint")
+    pages = profile_pages(spark, d, "reviews")
+    pages = pages.withColumn("html", F.when(key % 10 == 0, F.lit("<p>a</p><![foo[x]]>")).otherwise(F.col("html")))
+    for i in range(_WAVES):
+        again = (key % _WAVES == i - 1) & (key % 3 == 0) & (F.lit(i) > 0)
+        # as many files in each wave, one wave a batch: files are taken in the order they were written
+        pages.filter((key % _WAVES == i) | again).repartition(2, "college_id").write.mode("append").parquet(f"{root}/in")
+    stream_pages(spark, f"{root}/in", f"{root}/out", f"{root}/offsets", files_per_batch=2, buckets=4)
+    told = stream_progress(spark, f"{root}/out")
+    return told.withColumn("timed", (F.col("trigger_ms") >= F.col("batch_ms")) & (F.col("batch_ms") > 0)).drop("trigger_ms", "batch_ms")
+
+
+@query("seen_batches", "SELECT b AS batch, count(*) AS n_new FROM (SELECT o_custkey, min(o_orderkey % 9) AS b FROM orders GROUP BY o_custkey) GROUP BY b")
+def seen_batches(spark, d):
+    """Keys of batches that come one after the other, past a fold: in each the ones that no earlier batch had."""
+    root = _folder(spark, "seen")
+    orders = table(spark, d, "orders")
+    for i in range(9):
+        arrived = orders.filter(F.col("o_orderkey") % 9 == i).select(F.col("o_custkey").cast("string").alias("customer"))
+        new = seen.unseen(arrived, root, ["customer"], str(i))
+        new.write.parquet(f"{root}/found/batch={i}")
+        seen.add(spark.read.schema("customer string").parquet(f"{root}/found/batch={i}"), root, ["customer"], str(i))
+    return spark.read.parquet(f"{root}/found").groupBy(F.col("batch").cast("bigint").alias("batch")).agg(F.count("customer").alias("n_new"))
+
+
 def _split_arrival(spark, d, kinds):
     """Rankings of pages of one type that arrive in a later batch than those of the other."""
     root = _folder(spark, "split")
     for i, kind in enumerate(kinds):
-        parse_batch(profile_pages(spark, d, kind), f"{root}/out", str(i))
+        parse_batch(profile_pages(spark, d, kind), f"{root}/out", str(i), buckets=8)
     return load_datasets(spark, f"{root}/out")["rankings"]
 
 

@@ -127,6 +127,17 @@ def pending_batch(spark, d):
     return B.pending_urls(listing, table(spark, d, "labels").withColumnRenamed("doc_id", "id"), limit=50).select("id", "source")
 
 
+@query(
+    "pending_half",
+    "SELECT doc_id AS id, source FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels) ORDER BY doc_id LIMIT (SELECT count(*) // 2 FROM documents)",
+)
+def pending_half(spark, d):
+    """A batch as large as half the listing: selected by ranges of the order."""
+    listing = table(spark, d, "documents").select(F.col("doc_id").alias("id"), "source", F.col("doc_id").alias("ordinal"))
+    attempted = table(spark, d, "labels").withColumnRenamed("doc_id", "id")
+    return B.pending_urls(listing, attempted, limit=listing.count() // 2, merged=0).select("id", "source")
+
+
 BLOCKED_SQL = "(length(html) < 2000 OR regexp_matches(lower(html), 'the request could not be satisfied|generated by cloudfront|403 error|access denied|attention required'))"
 
 
@@ -220,6 +231,22 @@ def frontier_capped(spark, d):
     return B.grow_frontier(known, found, cap=300).select("batch", "url")
 
 
+@query(
+    "frontier_half",
+    LINKS_SQL
+    + """, u AS (SELECT 0 AS batch, page_id AS o, 0 AS pos, url FROM (SELECT page_id, regexp_replace(url, '[?#].*$', '') AS url FROM pages)
+ UNION ALL SELECT 1, page_id, pos, 'https://campus.example' || href FROM l),
+ k AS (SELECT * FROM u QUALIFY row_number() OVER (PARTITION BY url ORDER BY batch, o, pos) = 1)
+ SELECT batch, url FROM k ORDER BY batch, o, pos LIMIT (SELECT count(*) * 3 // 2 FROM pages)""",
+)
+def frontier_half(spark, d):
+    """As above, the size being half as much again as there are known addresses: selected by ranges of the order."""
+    pages = table(spark, d, "pages")
+    known = B.clean_urls(pages.select("url", F.struct(F.col("page_id").alias("page"), F.lit(0).alias("pos")).alias("ordinal")))
+    found = page_links(spark, d).select(F.concat(F.lit("https://campus.example"), "href").alias("url"), F.struct(F.col("page_id").alias("page"), "pos").alias("ordinal"))
+    return B.grow_frontier(known, found, cap=pages.count() * 3 // 2, merged=0).select("batch", "url")
+
+
 DAY = "CAST(day(ts) AS BIGINT)"
 
 

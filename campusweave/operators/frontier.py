@@ -8,11 +8,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from campusweave.functions.money import indian_digits, is_numeric, parse_number
-from campusweave.functions.text import blank_to_null, clean, first_match, first_of, items, let, strip
+from campusweave.functions.text import blank_to_null, clean, first_match, first_of, items, let, running, strip
 from campusweave.operators.html import (
     first, inside, nodes_where, spaced_text_of, tagged_class,
 )
-from campusweave.operators.relational import first_wins, top_n
+from campusweave.operators.relational import MERGED, first_wins, top_n
 from campusweave.rules import patterns as P
 from campusweave.rules import vocab as V
 from campusweave.schemas import LISTING_COLUMNS
@@ -100,11 +100,11 @@ def attempted_ids(saved: DataFrame, skipped: DataFrame, ident: str = "id") -> Da
 
 
 def pending_urls(
-    listing: DataFrame, attempted: DataFrame, limit: int = 0, ident: str = "id", order: str = "ordinal"
+    listing: DataFrame, attempted: DataFrame, limit: int = 0, ident: str = "id", order: str = "ordinal", merged: int = MERGED
 ) -> DataFrame:
-    """Listing rows that have an id and no attempt yet, in listing order; the first ``limit``, a batch size, if above 0."""
+    """Listing rows that have an id and no attempt yet, in listing order; the first ``limit`` if above 0, a batch of any size (see ``top_n``)."""
     pending = listing.filter(F.col(ident).isNotNull()).join(attempted.select(ident), ident, "left_anti")
-    return top_n(pending, [order], limit) if limit > 0 else pending.orderBy(order)
+    return (top_n(pending, [order], limit, merged=merged) if limit > 0 else pending).orderBy(order)
 
 
 def flag_block_pages(pages: DataFrame, html: str = "html", markers: Sequence[str] = V.BLOCK_MARKERS, least: int = V.BLOCK_MIN_CHARS) -> DataFrame:
@@ -189,14 +189,13 @@ def listing_rank(text: Column, strings: Column) -> Column:
 
 
 def _with_loose_ranks(trees: DataFrame, base: str) -> DataFrame:
-    """Add ``_loose_ranks``: '#N' strings with the first profile link of the nearest of five enclosing elements."""
-    links = F.filter(
-        F.transform(
-            nodes_where(_is_link),
-            lambda n: F.struct(n["pre"].alias("pre"), clean_url(n["attrs"]["href"], base).alias("url")),
-        ),
-        lambda a: is_profile_url(a["url"]),
-    )
+    """Add ``_loose_ranks``: '#N' strings with the first profile link of the nearest of five enclosing elements.
+
+    Links are counted along the page once; the first one inside an element is then the one numbered by the
+    count up to the element's start, and no string looks at any other link.
+    """
+    profile = lambda n: F.when(_is_link(n), let(clean_url(n["attrs"]["href"], base), lambda url: F.when(is_profile_url(url), url)))
+    urls = F.transform("nodes", lambda n: F.struct(n["pre"].alias("pre"), profile(n).alias("url")))
     tokens = F.filter(
         F.transform(
             F.arrays_zip(F.col("texts").alias("text"), F.col("text_parents").alias("parent")),
@@ -216,19 +215,19 @@ def _with_loose_ranks(trees: DataFrame, base: str) -> DataFrame:
         return F.coalesce(*tries)
 
     def _first_link(scope: Column, last: Column) -> Column:
-        # links are in document order: the first one inside follows those up to the scope's start
-        place = F.size(F.filter(F.col("_places"), lambda pre: pre <= scope))
-        return F.when(scope.isNotNull() & (F.get(F.col("_places"), place) <= last), F.get(F.col("_links"), place)["url"])
+        number = F.when(scope == -1, F.lit(0)).otherwise(F.get(F.col("_upto"), scope))
+        return let(F.get(F.col("_links"), number), lambda link: F.when(link["pre"] <= last, link["url"]))
 
     found = F.transform(
         F.col("_tokens"),
         lambda t: F.struct(t["text_no"].alias("text_no"), F.concat(F.lit("#"), t["rank"]).alias("rank"), nearest(t).alias("url")),
     )
+    upto = running(F.transform("_urls", lambda u: u["url"].isNotNull().cast("int")), lambda a, b: a + b, F.lit(0))
     return (
-        trees.withColumns({"_links": links, "_tokens": tokens})
-        .withColumn("_places", F.col("_links.pre"))
+        trees.withColumns({"_urls": urls, "_tokens": tokens})
+        .withColumns({"_links": F.filter("_urls", lambda u: u["url"].isNotNull()), "_upto": F.when(F.size("_tokens") > 0, upto)})
         .withColumn("_loose_ranks", F.filter(found, lambda f: f["url"].isNotNull()))
-        .drop("_links", "_tokens", "_places")
+        .drop("_links", "_tokens", "_upto", "_urls")
     )
 
 
@@ -273,11 +272,11 @@ def listing_from_pages(trees: DataFrame, page_no: str = "page_no", base: str = D
     )
 
 
-def grow_frontier(existing: DataFrame, found: DataFrame, cap: int | None = None, order: str = "ordinal") -> DataFrame:
-    """Existing addresses first, then new ones, each once; the first ``cap`` if given."""
+def grow_frontier(existing: DataFrame, found: DataFrame, cap: int | None = None, order: str = "ordinal", merged: int = MERGED) -> DataFrame:
+    """Existing addresses first, then new ones, each once; the first ``cap`` if given, however many these are."""
     both = existing.withColumn("batch", F.lit(0)).unionByName(found.withColumn("batch", F.lit(1)), allowMissingColumns=True)
     unique = first_wins(both, ["url"], ["batch", order])
-    return top_n(unique, ["batch", order], cap) if cap else unique
+    return top_n(unique, ["batch", order], cap, merged=merged) if cap else unique
 
 
 def listing_novelty(found: DataFrame, pages: DataFrame | None = None, page_no: str = "page_no", url: str = "url", streak: int = V.STAGNANT_PAGES) -> DataFrame:

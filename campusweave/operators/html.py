@@ -31,6 +31,7 @@ TREE_TYPE = (
     "attrs:map<string,string>,t0:int,t1:int>>, "
     "texts array<string>, text_parents array<int>, parse_error string"
 )
+TREE_COLUMNS = ["nodes", "texts", "text_parents", "parse_error"]
 # elements handed to the JVM at a time, so that a batch of long pages stays small
 FLUSH_ELEMENTS = 100_000
 
@@ -76,11 +77,23 @@ def _tree_batch(kept: list[pa.Array], names: list[str], trees: list, errors: lis
     )
 
 
+def has_tree(pages: DataFrame) -> bool:
+    return set(TREE_COLUMNS) <= set(pages.columns)
+
+
+def narrowed(pages: DataFrame, *columns: str | Column) -> DataFrame:
+    """The given columns, and the tree of pages that bring theirs along."""
+    return pages.select(*columns, *(TREE_COLUMNS if has_tree(pages) else []))
+
+
 def with_tree(pages: DataFrame, html: str = "html", keep_html: bool = False) -> DataFrame:
     """Page columns and the page tree. A page that cannot be read gets an empty tree and its error.
 
-    The markup itself is not sent back from Python unless it is read again later on.
+    The markup itself is not sent back from Python unless it is read again later on. Pages that bring
+    a tree along (see ``sources.staging``) are not parsed again.
     """
+    if has_tree(pages):
+        return pages if keep_html else pages.drop(html)
     position = pages.columns.index(html)
     kept_fields = [i for i, name in enumerate(pages.columns) if keep_html or name != html]
     names = [pages.columns[i] for i in kept_fields]
@@ -248,7 +261,7 @@ def main_text(pages: DataFrame, html: str = "html", name: str = "main_text") ->
 def table_structs(within: Column | None = None) -> Column:
     """Tables as structs: nearest earlier heading (lower-case) and rows of cell texts.
 
-    Reads the column ``_headings`` that ``with_headings`` adds.
+    Reads the column ``_heading_at`` that ``with_headings`` adds.
     """
     every = F.col("nodes")
 
@@ -256,7 +269,7 @@ def table_structs(within: Column | None = None) -> Column:
         return F.transform(F.filter(inside(tr), tagged("td", "th")), text_of)
 
     def table(t: Column) -> Column:
-        before = F.array_max(F.filter(F.col("_headings"), lambda pre: pre < t["pre"]))
+        before = F.get(F.col("_heading_at"), t["pre"])
         title = let(F.get(F.col("nodes"), before), lambda h: F.lower(F.regexp_replace(text_of(h), f"^{WS}+|{WS}+$", "")))
         return F.struct(
             t["pre"].alias("pre"),
@@ -268,8 +281,9 @@ def table_structs(within: Column | None = None) -> Column:
 
 
 def with_headings(trees: DataFrame) -> DataFrame:
-    """Add the places of headings. Numbers are compared much faster than elements."""
-    return trees.withColumn("_headings", F.transform(nodes_where(tagged("h1", "h2", "h3", "h4")), lambda n: n["pre"]))
+    """Add ``_heading_at``: per element, the place of the last heading up to it, -1 before the first. One pass over the page, if it has a table."""
+    places = F.transform("nodes", lambda n: F.when(tagged("h1", "h2", "h3", "h4")(n), n["pre"]).otherwise(F.lit(-1)))
+    return trees.withColumn("_heading_at", F.when(F.exists("nodes", tagged("table")), running(places, F.greatest, F.lit(-1))))
 
 
 def html_tables(trees: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -15,6 +15,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from campusweave.functions.text import blank_to_null
+from campusweave.operators.ordinals import first_n
+
+#: Rows that one task may merge.
+MERGED = 10_000
 
 
 def _columns(names: Sequence[str | Column]) -> list[Column]:
@@ -26,13 +30,14 @@ def first_wins(df: DataFrame, keys: Sequence[str | Column], order: Sequence[str
     return top_n(df, order, 1, per=keys)
 
 
-def top_n(df: DataFrame, order: Sequence[str | Column], n: int, per: Sequence[str | Column] | None = None) -> DataFrame:
+def top_n(df: DataFrame, order: Sequence[str | Column], n: int, per: Sequence[str | Column] | None = None, merged: int = MERGED) -> DataFrame:
     """First n rows in order, of the table or of every key.
 
-    For the whole table, n is a report or batch size: its rows are merged in one task.
+    For the whole table, up to ``merged`` rows (a report) are merged in one task and come in order; more are
+    selected by ranges of the order (``ordinals.first_n``) and come in any.
     """
     if per is None:
-        return df.orderBy(*_columns(order)).limit(n)
+        return df.orderBy(*_columns(order)).limit(n) if n <= merged else first_n(df, _columns(order), n)
     window = W.partitionBy(*_columns(per)).orderBy(*_columns(order))
     return df.withColumn("_rank", F.row_number().over(window)).filter(F.col("_rank") <= n).drop("_rank")
 

@@ -56,7 +56,7 @@ def build_colleges(
 ) -> DataFrame:
     """College dataset of info pages; a listing rank goes before the rank on the page."""
     # the record is read from the markup before the tree is, so that the markup need not come back
-    found = pages.select(*keys, "html", H.json_ld_of_type(F.col("html"), SCHEMA_TYPE).alias("_ld"))
+    found = H.narrowed(pages, *keys, "html", H.json_ld_of_type(F.col("html"), SCHEMA_TYPE).alias("_ld"))
     facts = H.readable_tree(found).withColumns(
         {
             "_text": H.page_text(),

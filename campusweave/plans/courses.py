@@ -462,7 +462,7 @@ def usable_state() -> Column:
 
 def course_candidates(pages: DataFrame, keys: Sequence[str], html: str = "html") -> DataFrame:
     """All rows of each page's winning source, repeats included, with source and position."""
-    page = H.with_headings(H.readable_tree(pages.select(*keys, html), html, keep_html=True)).select(*keys, html, "nodes", "texts", "_headings")
+    page = H.with_headings(H.readable_tree(H.narrowed(pages, *keys, html), html, keep_html=True)).select(*keys, html, "nodes", "texts", "_heading_at")
     page = page.withColumns({"_state": state_rows(html), "_cards": card_rows()})
     page = page.withColumn("_state_keys", F.col("_state.key"))
     page = page.withColumn("_structured", (F.size("_cards") > 0) | usable_state())

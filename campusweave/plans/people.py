@@ -25,7 +25,7 @@ REVIEW_NOTES = [
 
 
 def _trees(pages: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return H.readable_tree(pages.select(*keys, "html"))
+    return H.readable_tree(H.narrowed(pages, *keys, "html"))
 
 
 def build_faculty(pages: DataFrame, keys: Sequence[str] = ("college_id", "slug")) -> DataFrame:
@@ -119,7 +119,7 @@ def build_reviews(pages: DataFrame, keys: Sequence[str] = ("college_id", "slug")
         ]),
         lambda r: r["review_text"].isNotNull(),
     )
-    found = pages.select(*keys, "html", H.json_ld_of_type(F.col("html"), "CollegeOrUniversity").alias("_ld"))
+    found = H.narrowed(pages, *keys, "html", H.json_ld_of_type(F.col("html"), "CollegeOrUniversity").alias("_ld"))
     page = H.readable_tree(found).select(*keys, "_ld", cards.alias("_cards"))
     return (
         page.select(*keys, F.posexplode(F.when(F.size("_cards") > 0, F.col("_cards")).otherwise(notes)).alias("pos", "r"))

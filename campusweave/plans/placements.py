@@ -95,7 +95,7 @@ def labelled_values(text: Column) -> dict[str, Column]:
 def build_placements(pages: DataFrame, keys: Sequence[str] = ("college_id", "slug")) -> DataFrame:
     """Placement dataset of placement pages; NULL where no source has a value."""
     html, text = F.col("html"), F.col("main_text")
-    trees = with_table_pairs(H.with_main_text(H.readable_tree(pages.select(*keys, "html"), keep_html=True)))
+    trees = with_table_pairs(H.with_main_text(H.readable_tree(H.narrowed(pages, *keys, "html"), keep_html=True)))
     trees = trees.select(*keys, "html", "main_text", "_pairs", *[c.alias(f"_state_{n}") for n, c in state_packages(html).items()])
     overall = F.col("_state_highest_package").isNotNull() | F.col("_state_average_package").isNotNull()
     block, summary, table, label = block_values(html), summary_values(html), table_values(), labelled_values(text)

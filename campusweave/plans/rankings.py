@@ -146,8 +146,9 @@ def ranking_entries(pages: DataFrame, keys: Sequence[str] = ("college_id", "slug
 
     One pass over the pages. Markup is parsed only for pages without usable rankings of their own.
     """
-    read = pages.filter(F.col("page_type").isin("info", "placements")).select(
-        *keys, "page_type", "html", state_rankings(F.col("html"), site).alias("_state")
+    read = H.narrowed(
+        pages.filter(F.col("page_type").isin("info", "placements")),
+        *keys, "page_type", "html", state_rankings(F.col("html"), site).alias("_state"),
     )
     read = read.withColumn("html", F.when(F.size("_state") == 0, F.col("html")))
     trees = H.with_main_text(H.readable_tree(read))

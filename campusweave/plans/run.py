@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -18,7 +19,9 @@ from campusweave.plans.rankings import KEY as RANKING_KEY
 from campusweave.plans.rankings import build_rankings, dedup_rankings, ranking_entries, settled
 from campusweave.schemas import DATASETS, UNSPECIFIED
 from campusweave.site import DEFAULT_SITE, Site
-from campusweave.sources.datasets import read_dataset
+from campusweave.sources import seen
+from campusweave.sources.datasets import bucket_count, read_dataset, write_buckets
+from campusweave.sources.staging import clear_staged, stage_pages
 
 # What the sink writes for a missing value.
 SENTINELS = {
@@ -44,11 +47,16 @@ PAGE_JOBS: dict[str, Callable[[DataFrame], DataFrame]] = {
 }
 
 PAGE_KEY = ["college_id", "slug", "page_type"]
+#: Outputs of a batch that are written side by side.
+JOBS = 4
+#: Folders that colleges' rankings are dealt to, unless the first batch says otherwise: as many as keep the rankings of one to a task.
+RANKING_BUCKETS = 64
 SEEN = T.StructType([T.StructField(c, T.StringType()) for c in PAGE_KEY])
 ENTRIES = T.StructType([
     T.StructField(c, T.IntegerType() if c in ("kind", "source", "pos", "ranking_year") else T.StringType())
     for c in ("college_id", "slug", "kind", "source", "pos", "ranking_body", "rank", "ranking_year")
 ])
+PROGRESS = T.StructType([T.StructField("batch", T.StringType()), *[T.StructField(c, T.LongType()) for c in ("rows_in", "new", "saved", "rejected")]])
 REJECTED = T.StructType([*SEEN.fields, T.StructField("parse_error", T.StringType())])
 
 
@@ -61,27 +69,34 @@ def finish(name: str, df: DataFrame) -> DataFrame:
     ])
 
 
-def build_datasets(
-    pages: DataFrame, listing: DataFrame | None = None, known_rankings: DataFrame | None = None, site: Site = DEFAULT_SITE
-) -> dict[str, DataFrame]:
-    """All nine datasets of a set of pages. The page type is filtered before any page is parsed."""
+def dataset_jobs(pages: DataFrame, listing: DataFrame | None = None, site: Site = DEFAULT_SITE) -> dict[str, Callable[[], DataFrame]]:
+    """How each dataset but the rankings is built from a set of pages. The page type is filtered before any page is parsed."""
 
     def of(kind: str) -> DataFrame:
         return pages.filter(F.col("page_type") == kind)
 
-    placements = build_placements(of("placements"))
-    if listing is not None:
-        placements = fill_from_listing(placements, listing, site)
+    def placements() -> DataFrame:
+        found = build_placements(of("placements"))
+        return found if listing is None else fill_from_listing(found, listing, site)
+
+    def job(name: str, build: Callable[[], DataFrame]) -> Callable[[], DataFrame]:
+        return lambda: finish(name, build())
+
+    built = {"colleges": lambda: build_colleges(of("info"), listing, site=site), "placements": placements}
+    built |= {name: (lambda build=build, name=name: build(of(name))) for name, build in PAGE_JOBS.items()}
+    return {name: job(name, build) for name, build in built.items()}
+
+
+def build_datasets(
+    pages: DataFrame, listing: DataFrame | None = None, known_rankings: DataFrame | None = None, site: Site = DEFAULT_SITE
+) -> dict[str, DataFrame]:
+    """All nine datasets of a set of pages."""
     rankings = build_rankings(pages, site=site)
     if known_rankings is None:
         known_rankings = rankings.select(*RANKING_KEY).limit(0)
-    built = {
-        "colleges": build_colleges(of("info"), listing, site=site),
-        "placements": placements,
-        "rankings": dedup_rankings(known_rankings, rankings),
-        **{name: job(of(name)) for name, job in PAGE_JOBS.items()},
-    }
-    return {name: finish(name, built[name]) for name in DATASETS}
+    built = {name: job() for name, job in dataset_jobs(pages, listing, site).items()}
+    built["rankings"] = finish("rankings", dedup_rankings(known_rankings, rankings))
+    return {name: built[name] for name in DATASETS}
 
 
 def new_pages(pages: DataFrame, seen: DataFrame) -> DataFrame:
@@ -96,48 +111,85 @@ def stored(spark: SparkSession, root: str, name: str, schema: T.StructType, othe
 
 
 def parse_batch(
-    pages: DataFrame, root: str, batch: str, listing: DataFrame | None = None, site: Site = DEFAULT_SITE
+    pages: DataFrame, root: str, batch: str, listing: DataFrame | None = None, site: Site = DEFAULT_SITE, buckets: int = RANKING_BUCKETS
 ) -> None:
     """Parse the pages not seen in earlier batches and add their rows under ``root``.
 
-    Every table is written to a folder of this batch, whole or not at all: a batch that is
+    Markup is parsed once, into a staging table that every job of the batch reads and that is emptied
+    when the batch is through. Every table is written to a folder of this batch, whole or not at all: a batch that is
     repeated after a failure replaces its own folders and changes nothing else. Pages count
-    as seen once their batch is through. Rankings are stored as each page's entries and settled when
-    they are read, since a college's pages may come in different batches. Pages that cannot be read
-    are listed in ``_rejected``.
+    as seen once their batch is through. Of rankings each page's entries are kept, and those of the colleges'
+    buckets that a batch touches are settled anew, since a college's pages may come in different batches. Pages that cannot be read
+    are listed in ``_rejected``, and what came of the batch in ``_progress``. Pages without a full key are left out.
+    One batch at a time.
     """
-    fresh, keys = _fresh(pages, root, batch)
-    entries = ranking_entries(fresh, site=site).select(*[F.col(f.name).cast(f.dataType) for f in ENTRIES.fields])
-    built = {name: df for name, df in build_datasets(fresh, listing, site=site).items() if name != "rankings"}
-    rejected = H.rejected_pages(H.with_tree(fresh.select(*PAGE_KEY, "html"))).select(*REJECTED.fieldNames())
-    outputs: Mapping[str, DataFrame] = {**built, "_ranking_entries": entries, "_rejected": rejected, "_seen": keys}
-    for name, df in outputs.items():
-        df.write.mode("overwrite").parquet(f"{root}/{name}/batch={batch}")
+    spark = pages.sparkSession
+    pages = pages.dropna(subset=PAGE_KEY)
+    arrived, fresh = Observation(), Observation()
+    keys = _fresh_keys(pages.select(*PAGE_KEY).observe(arrived, F.count(F.lit(1)).alias("n")), root, batch)
+    if keys.count() < arrived.get["n"]:  # else every page is new, and none need be looked up
+        pages = pages.join(keys, PAGE_KEY, "left_semi")
+    folder = f"{root}/_parsed/batch={batch}"
+    staged = stage_pages(pages, folder, fresh)
+    counts = (batch, arrived.get["n"], fresh.get["n"], fresh.get["n"] - fresh.get["rejected"], fresh.get["rejected"])
+    outputs: dict[str, Callable[[], DataFrame]] = {
+        **dataset_jobs(staged, listing, site),
+        "_rejected": lambda: H.rejected_pages(staged).select(*REJECTED.fieldNames()),
+        "_progress": lambda: spark.createDataFrame([counts], PROGRESS).drop("batch").coalesce(1),
+    }
 
+    def write(name: str) -> None:
+        outputs[name]().write.mode("overwrite").parquet(f"{root}/{name}/batch={batch}")
 
-def _fresh(pages: DataFrame, root: str, batch: str) -> tuple[DataFrame, DataFrame]:
-    """Pages not seen in other batches, and their keys.
+    # the outputs have nothing to do with each other: they are planned and run side by side
+    with ThreadPoolExecutor(JOBS) as pool:
+        done = [pool.submit(_upsert_rankings, staged, root, batch, buckets, site), *(pool.submit(write, name) for name in outputs)]
+        for job in done:
+            job.result()
+    seen.add(keys, f"{root}/_seen", PAGE_KEY, batch)
+    clear_staged(spark, folder)
 
-    Seen keys are compared with keys alone, once, and the outcome is stored: every job of the
-    batch then joins its pages with the batch's new keys and not with all there ever were.
-    """
-    spark = pages.sparkSession
-    seen = stored(spark, root, "_seen", SEEN, batch)
-    if seen.isEmpty():
-        return pages, pages.select(*PAGE_KEY).distinct()
+
+def _fresh_keys(arrived: DataFrame, root: str, batch: str) -> DataFrame:
+    """Keys of pages not seen in other batches, stored: every later step joins with these and not with all there ever were."""
+    spark = arrived.sparkSession
+    folder = f"{root}/_arrived/batch={batch}"
+    arrived.write.mode("overwrite").parquet(folder)
+    fresh = seen.unseen(spark.read.schema(SEEN).parquet(folder), f"{root}/_seen", PAGE_KEY, batch)
     folder = f"{root}/_fresh/batch={batch}"
-    new_pages(pages.select(*PAGE_KEY), seen).distinct().write.mode("overwrite").parquet(folder)
-    keys = spark.read.schema(SEEN).parquet(folder)
-    return pages.join(keys, PAGE_KEY, "left_semi"), keys
+    fresh.write.mode("overwrite").parquet(folder)
+    return spark.read.schema(SEEN).parquet(folder)
+
+
+def _upsert_rankings(staged: DataFrame, root: str, batch: str, buckets: int, site: Site) -> None:
+    """Store a batch's entries, and settle the rankings of the buckets it touches anew from all entries of these."""
+    spark = staged.sparkSession
+    entries = ranking_entries(staged, site=site).select(*[F.col(f.name).cast(f.dataType) for f in ENTRIES.fields])
+    buckets = bucket_count(spark, f"{root}/_ranking_entries", buckets)
+    write_buckets(entries.withColumn("batch", F.lit(batch)), f"{root}/_ranking_entries/rows", "college_id", buckets, ["batch"])
+    schema = T.StructType([*ENTRIES.fields, T.StructField("bucket", T.IntegerType()), T.StructField("batch", T.StringType())])
+    every = read_dataset(spark, f"{root}/_ranking_entries/rows", schema)
+    touched = [r["bucket"] for r in every.filter(F.col("batch") == batch).select("bucket").distinct().collect()]  # `buckets` at most
+    if not touched:
+        return
+    found = settled(every.filter(F.col("bucket").isin(touched)).drop("bucket", "batch"))
+    rankings = finish("rankings", dedup_rankings(found.select(*RANKING_KEY).limit(0), found))
+    write_buckets(rankings, f"{root}/rankings", "college_id", buckets)
 
 
 def load_datasets(spark: SparkSession, root: str) -> dict[str, DataFrame]:
-    tables = {name: stored(spark, root, name, schema) for name, schema in DATASETS.items() if name != "rankings"}
-    found = settled(stored(spark, root, "_ranking_entries", ENTRIES))
-    rankings = finish("rankings", dedup_rankings(found.select(*RANKING_KEY).limit(0), found))
-    return {name: rankings if name == "rankings" else tables[name] for name in DATASETS}
+    """All nine datasets as stored."""
+    return {
+        name: read_dataset(spark, f"{root}/rankings", schema) if name == "rankings" else stored(spark, root, name, schema)
+        for name, schema in DATASETS.items()
+    }
 
 
 def load_rejected(spark: SparkSession, root: str) -> DataFrame:
     """Pages that no batch could read, with the reason."""
     return stored(spark, root, "_rejected", REJECTED)
+
+
+def load_progress(spark: SparkSession, root: str) -> DataFrame:
+    """What came of each batch: pages that arrived, of these the new ones, and of the new ones those saved and rejected."""
+    return read_dataset(spark, f"{root}/_progress", PROGRESS)

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
@@ -44,3 +45,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
         raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder every executor can reach")
     return tempfile.mkdtemp(prefix="campusweave-")
 
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared folder and read again: made once, and there whichever executors are lost."""
+    path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

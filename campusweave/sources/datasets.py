@@ -72,6 +72,24 @@ def bucket_of(key: str | Column, buckets: int = BUCKETS) -> Column:
     return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
 
 
+def bucket_count(spark: SparkSession, path: str, otherwise: int) -> int:
+    """Number of hash buckets of what is stored under a path: set by the first one to write there, then kept."""
+    stored = read_dataset(spark, f"{path}/_layout", LAYOUT).first()
+    if stored:
+        return stored["buckets"]
+    spark.createDataFrame([(otherwise,)], LAYOUT).coalesce(1).write.mode("overwrite").parquet(f"{path}/_layout")
+    return otherwise
+
+
+def write_buckets(df: DataFrame, path: str, key: str, buckets: int, parts: Sequence[str] = (), files: int = 1) -> None:
+    """Replace the folders (bucket, then ``parts``) that a table has rows for, and leave the others as they are.
+
+    Rows of a bucket go to up to ``files`` files, spread by key.
+    """
+    dealt = df.withColumn("bucket", bucket_of(key, buckets)).repartition("bucket", F.pmod(F.xxhash64(key), F.lit(buckets * files)))
+    dealt.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket", *parts).parquet(path)
+
+
 def write_per_entity(
     datasets: Mapping[str, DataFrame], path: str, run_id: str, key: str = "college_id", buckets: int = BUCKETS, entities: str = "colleges", files: int | None = None
 ) -> DataFrame:
@@ -85,11 +103,7 @@ def write_per_entity(
     """
     spark = next(iter(datasets.values())).sparkSession
     files = files or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    stored = read_dataset(spark, f"{path}/_layout", LAYOUT).first()
-    if stored:
-        buckets = stored["buckets"]
-    else:
-        spark.createDataFrame([(buckets,)], LAYOUT).coalesce(1).write.mode("overwrite").parquet(f"{path}/_layout")
+    buckets = bucket_count(spark, path, buckets)
     done = read_dataset(spark, f"{path}/_entities", T.StructType([T.StructField(key, T.StringType()), T.StructField("run", T.StringType())]))
     done = done.filter(F.col("run") != run_id)
     found = datasets[entities].select(F.col(key).cast("string").alias(key)).filter(F.col(key) != "").distinct()

@@ -2,13 +2,58 @@
 
 from __future__ import annotations
 
+import threading
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQueryListener
 
-from campusweave.plans.run import parse_batch
+from campusweave.operators.ordinals import with_running_totals
+from campusweave.plans.run import RANKING_BUCKETS, load_progress, parse_batch
 from campusweave.site import DEFAULT_SITE, Site
+from campusweave.sources.datasets import read_dataset
 from campusweave.sources.pages import PAGES
 
+TRIGGERS = T.StructType([
+    T.StructField("batch", T.StringType()), T.StructField("started_at", T.StringType()),
+    *[T.StructField(c, T.LongType()) for c in ("rows_scanned", "trigger_ms", "batch_ms")],
+])
+#: How long the end of a stream waits for its last progress event.
+LAST_EVENT_SECONDS = 30
+
+
+class Triggers(StreamingQueryListener):
+    """What the stream itself reports of each trigger: one short row a batch."""
+
+    def __init__(self) -> None:
+        super().__init__()
+        self._rows: list[tuple[str, tuple]] = []
+        self._ended: dict[str, threading.Event] = {}
+
+    def _end(self, run: str) -> threading.Event:
+        return self._ended.setdefault(run, threading.Event())
+
+    def onQueryStarted(self, event) -> None:
+        self._end(str(event.runId))
+
+    def onQueryProgress(self, event) -> None:
+        p = event.progress
+        spent = p.durationMs or {}
+        if "addBatch" in spent:  # triggers without a batch report too
+            self._rows.append((str(p.runId), (str(p.batchId), p.timestamp, p.numInputRows, spent.get("triggerExecution"), spent["addBatch"])))
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        self._end(str(event.runId)).set()
+
+    def rows(self, run: str) -> list[tuple]:
+        """Reports of a run that has ended; events come some time after what they tell of."""
+        self._end(run).wait(LAST_EVENT_SECONDS)
+        return [row for owner, row in self._rows if owner == run]
+
 
 def stream_pages(
     spark: SparkSession,
@@ -19,23 +64,43 @@ def stream_pages(
     listing: DataFrame | None = None,
     schema: T.StructType = PAGES,
     site: Site = DEFAULT_SITE,
+    buckets: int = RANKING_BUCKETS,
 ) -> int:
     """Parse page files that have arrived since the last call, batch by batch, then stop.
 
     Which files are done is kept in the stream's checkpoint, what they gave under ``root``.
-    A batch that was cut short runs again under the same number and replaces its folders.
-    Returns the number of batches.
+    A batch that was cut short runs again under the same number and replaces its folders. What the stream
+    reports of its triggers is added to ``<root>/_triggers``. Returns the number of batches.
     """
     batches = 0
     pages = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(source)
 
     def parse(batch: DataFrame, number: int) -> None:
         nonlocal batches
-        parse_batch(batch, root, str(number), listing, site)
+        parse_batch(batch, root, str(number), listing, site, buckets)
         batches += 1
 
-    query = pages.writeStream.foreachBatch(parse).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-    query.awaitTermination()
+    triggers = Triggers()
+    spark.streams.addListener(triggers)
+    try:
+        query = pages.writeStream.foreachBatch(parse).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+        try:
+            query.awaitTermination()
+        finally:
+            reports = triggers.rows(str(query.runId))
+            if reports:
+                spark.createDataFrame(reports, TRIGGERS).coalesce(1).write.mode("append").parquet(f"{root}/_triggers")
+    finally:
+        spark.streams.removeListener(triggers)
     return batches
 
 
+def stream_progress(spark: SparkSession, root: str) -> DataFrame:
+    """Per batch of a stream: pages that arrived, of these the new ones, those saved and rejected, totals before and
+    after it, and what its last trigger took (NULL if the stream could not tell).
+    """
+    done = load_progress(spark, root).withColumn("batch", F.col("batch").cast("bigint"))
+    last = read_dataset(spark, f"{root}/_triggers", TRIGGERS).groupBy(F.col("batch").cast("bigint").alias("batch")).agg(F.max_by(F.struct("trigger_ms", "batch_ms"), "started_at").alias("t"))
+    totals = with_running_totals(done, "batch", {f"{c}_before": F.col(c) for c in ("saved", "rejected")})
+    after = {f"{c}_after": F.col(f"{c}_before") + F.col(c) for c in ("saved", "rejected")}
+    return totals.withColumns(after).join(last, "batch", "left").select(*totals.columns, *after, "t.trigger_ms", "t.batch_ms")
