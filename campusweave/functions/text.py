@@ -13,12 +13,15 @@ from pyspark.sql import functions as F
 WS = r"[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 
 
-def built_once(build: Callable[..., Column]) -> Callable[..., Column]:
-    """Keep a long expression for the life of its Spark application: building one takes seconds."""
-    kept: dict[tuple, Column] = {}
+def built_once(build: Callable) -> Callable:
+    """Keep long expressions for the life of their Spark application: building them takes seconds.
+
+    They must follow from the arguments alone (names of columns and the like), which tell them apart.
+    """
+    kept: dict[tuple, object] = {}
 
     @wraps(build)
-    def expression(*args: str) -> Column:
+    def expression(*args):
         key = (SparkContext.getOrCreate().applicationId, *args)
         if key not in kept:
             kept[key] = build(*args)

@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 
 from campusweave.functions import page_tree
 from campusweave.functions.page_tree import PageTree
-from campusweave.functions.text import WS, clean, contains_any, first_match, items, let, running, squeeze
+from campusweave.functions.text import WS, built_once, clean, contains_any, first_match, items, let, running, squeeze
 from campusweave.rules.patterns import APP_STATE, JSON_LD
 from campusweave.rules.vocab import NOISE_CLASS_PARTS, NOISE_TAGS
 
@@ -209,13 +209,18 @@ def is_noise(n: Column) -> Column:
     return n["tag"].isin(*NOISE_TAGS) | F.coalesce(contains_any(n["cls"], NOISE_CLASS_PARTS), F.lit(False))
 
 
+@built_once
+def _noise_reach() -> Column:
+    ends = F.transform("nodes", lambda n: F.when(is_noise(n), n["last"]).otherwise(F.lit(-1)))
+    return running(ends, F.greatest, F.lit(-1))
+
+
 def with_noise(trees: DataFrame) -> DataFrame:
     """Add ``_reach``: per element, the last place that noise which has begun by then extends to.
 
     An element is inside dropped ones if they reach it; a string is if its parent is. One pass over the page.
     """
-    ends = F.transform("nodes", lambda n: F.when(is_noise(n), n["last"]).otherwise(F.lit(-1)))
-    return trees.withColumn("_reach", running(ends, F.greatest, F.lit(-1)))
+    return trees.withColumn("_reach", _noise_reach())
 
 
 def outside_noise(place: Column) -> Column:
@@ -230,18 +235,24 @@ def kept_texts(n: Column) -> Column:
     return F.transform(outside, lambda i: F.get(F.col("texts"), i))
 
 
-def with_main_text(trees: DataFrame, name: str = "main_text") -> DataFrame:
-    """Text of <main>, else <article>, else the page, without its noise."""
+@built_once
+def _main_text() -> dict[str, Column]:
     page = F.struct(F.lit(0).alias("t0"), F.size("texts").alias("t1"))
     scope = F.struct(F.col("_body.t0").alias("t0"), F.col("_body.t1").alias("t1"))
     bodies = [first(F.filter(nodes_where(tagged(tag)), lambda n: outside_noise(n["pre"]))) for tag in ("main", "article")]
-    return (
-        with_noise(trees)
-        .withColumn("_body", F.coalesce(*bodies))
-        .withColumn("_scope", F.when(F.col("_body").isNotNull(), scope).otherwise(page))
-        .withColumn(name, clean(F.array_join(kept_texts(F.col("_scope")), " ")))
-        .drop("_reach", "_body", "_scope")
-    )
+    return {
+        "_body": F.coalesce(*bodies),
+        "_scope": F.when(F.col("_body").isNotNull(), scope).otherwise(page),
+        "": clean(F.array_join(kept_texts(F.col("_scope")), " ")),
+    }
+
+
+def with_main_text(trees: DataFrame, name: str = "main_text") -> DataFrame:
+    """Text of <main>, else <article>, else the page, without its noise."""
+    found = with_noise(trees)
+    for column, value in _main_text().items():
+        found = found.withColumn(column or name, value)
+    return found.drop("_reach", "_body", "_scope")
 
 
 def visible_text(pages: DataFrame, html: str = "html", name: str = "visible_text") -> DataFrame:

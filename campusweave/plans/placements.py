@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from campusweave.functions import money
-from campusweave.functions.text import blank_to_null, clean, first_match, vocabulary_hits
+from campusweave.functions.text import blank_to_null, built_once, clean, first_match, vocabulary_hits
 from campusweave.operators import html as H
 from campusweave.operators.extract import block_between, sanitize_recruiters
 from campusweave.rules import patterns as P
@@ -56,8 +56,9 @@ def summary_values(html: Column) -> dict[str, Column]:
     return values
 
 
-def with_table_pairs(trees: DataFrame) -> DataFrame:
-    """Add first and last cell text of every table row outside the page's noise."""
+@built_once
+def table_pairs() -> Column:
+    """First and last cell text of every table row outside the page's noise."""
 
     def outside(n: Column) -> Column:
         return H.outside_noise(n["pre"])
@@ -71,11 +72,14 @@ def with_table_pairs(trees: DataFrame) -> DataFrame:
     rows = F.filter(
         F.transform(H.nodes_where(lambda n: (n["tag"] == "tr") & outside(n)), cells), lambda found: F.size(found) >= 2
     )
-    pairs = F.transform(
+    return F.transform(
         rows,
         lambda found: F.struct(text(F.get(found, 0)).alias("label"), text(F.try_element_at(found, F.lit(-1))).alias("value")),
     )
-    return H.with_noise(trees).withColumn("_pairs", pairs).drop("_reach")
+
+
+def with_table_pairs(trees: DataFrame) -> DataFrame:
+    return H.with_noise(trees).withColumn("_pairs", table_pairs()).drop("_reach")
 
 
 def table_values() -> dict[str, Column]:
@@ -92,25 +96,35 @@ def labelled_values(text: Column) -> dict[str, Column]:
     return {name: F.trim(first_match(text, "(?iU)" + label + P.LABELLED_PACKAGE)) for name, label in P.PACKAGE_LABELS.items()}
 
 
-def build_placements(pages: DataFrame, keys: Sequence[str] = ("college_id", "slug")) -> DataFrame:
-    """Placement dataset of placement pages; NULL where no source has a value."""
+@built_once
+def placement_values() -> dict[str, Column]:
+    """Values of a placement page by source: embedded state, else block, summary, table rows and labels in text."""
     html, text = F.col("html"), F.col("main_text")
-    trees = with_table_pairs(H.with_main_text(H.readable_tree(H.narrowed(pages, *keys, "html"), keep_html=True)))
-    trees = trees.select(*keys, "html", "main_text", "_pairs", *[c.alias(f"_state_{n}") for n, c in state_packages(html).items()])
     overall = F.col("_state_highest_package").isNotNull() | F.col("_state_average_package").isNotNull()
     block, summary, table, label = block_values(html), summary_values(html), table_values(), labelled_values(text)
 
     def cascade(name: str, last: Column) -> Column:
         return F.coalesce(F.when(~overall, block[name]), summary[name], table[name], last)
 
-    return trees.select(
-        *keys,
-        F.coalesce("_state_highest_package", cascade("highest_package", label["highest_package"])).alias("highest_package"),
-        F.coalesce("_state_average_package", cascade("average_package", label["average_package"])).alias("average_package"),
-        cascade("median_package", label["median_package"]).alias("median_package"),
-        first_match(text, P.PLACEMENT_PERCENTAGE).alias("placement_percentage"),
-        sanitize_recruiters(cascade("top_recruiters", vocabulary_hits(text, RECRUITERS))).alias("top_recruiters"),
-    )
+    return {
+        "highest_package": F.coalesce("_state_highest_package", cascade("highest_package", label["highest_package"])),
+        "average_package": F.coalesce("_state_average_package", cascade("average_package", label["average_package"])),
+        "median_package": cascade("median_package", label["median_package"]),
+        "placement_percentage": first_match(text, P.PLACEMENT_PERCENTAGE),
+        "top_recruiters": sanitize_recruiters(cascade("top_recruiters", vocabulary_hits(text, RECRUITERS))),
+    }
+
+
+@built_once
+def state_columns() -> dict[str, Column]:
+    return {f"_state_{n}": c for n, c in state_packages(F.col("html")).items()}
+
+
+def build_placements(pages: DataFrame, keys: Sequence[str] = ("college_id", "slug")) -> DataFrame:
+    """Placement dataset of placement pages; NULL where no source has a value."""
+    trees = with_table_pairs(H.with_main_text(H.readable_tree(H.narrowed(pages, *keys, "html"), keep_html=True)))
+    trees = trees.select(*keys, "html", "main_text", "_pairs", *[c.alias(n) for n, c in state_columns().items()])
+    return trees.select(*keys, *[c.alias(n) for n, c in placement_values().items()])
 
 
 def fill_from_listing(placements: DataFrame, listing: DataFrame, site: Site = DEFAULT_SITE) -> DataFrame:

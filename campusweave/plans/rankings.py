@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from campusweave.functions.text import WS, blank_to_null, clean, let
+from campusweave.functions.text import WS, blank_to_null, built_once, clean, let
 from campusweave.operators import html as H
 from campusweave.operators.relational import first_wins, without_known
 from campusweave.rules import patterns as P
@@ -60,7 +60,8 @@ def _agency_of(r: Column) -> Column:
     return F.coalesce(blank_to_null(r["agency"]), blank_to_null(r["agency_name"]), blank_to_null(r["ranking_agency"]))
 
 
-def state_rankings(html: Column, site: Site = DEFAULT_SITE) -> Column:
+@built_once
+def state_rankings(html: str, site: Site = DEFAULT_SITE) -> Column:
     """Usable ranking entries of a page's embedded state: array of (pos, ranking_body, rank, ranking_year)."""
 
     def read(r: Column, i: Column) -> Column:
@@ -73,16 +74,20 @@ def state_rankings(html: Column, site: Site = DEFAULT_SITE) -> Column:
         body, rank = ranking_label(r["agency"], r["rank"], r["stream"], site)
         return F.struct(r["pos"].alias("pos"), body.alias("ranking_body"), rank.alias("rank"), r["year"].alias("ranking_year"))
 
-    usable = F.filter(F.transform(_state_items(html), read), lambda r: r["named"] & r["rank"].isNotNull())
+    usable = F.filter(F.transform(_state_items(F.col(html)), read), lambda r: r["named"] & r["rank"].isNotNull())
     return F.coalesce(F.transform(usable, shown), F.array().cast(ENTRIES))
 
 
-def text_rankings(text: Column, site: Site = DEFAULT_SITE) -> Column:
-    """First ranking per body in a text, in the same form."""
-    found = F.array(*[
-        F.struct(F.lit(i).alias("pos"), F.lit(body).alias("ranking_body"), ranking_in_text(text, aliases).alias("hit"))
-        for i, (body, aliases) in enumerate(bodies(site))
-    ])
+@built_once
+def text_rankings(text: str, site: Site = DEFAULT_SITE) -> Column:
+    """First ranking per body in a text column, in the same form."""
+    every = bodies(site)
+
+    def found(told: Column) -> Column:
+        return F.array(*[
+            F.struct(F.lit(i).alias("pos"), F.lit(body).alias("ranking_body"), ranking_in_mentions(told, aliases).alias("hit"))
+            for i, (body, aliases) in enumerate(every)
+        ])
 
     def shown(f: Column) -> Column:
         prefix = F.when(f["ranking_body"] == site.brand, F.lit(site.rank_label + " #")).otherwise(F.lit("#"))
@@ -91,36 +96,53 @@ def text_rankings(text: Column, site: Site = DEFAULT_SITE) -> Column:
             f["hit"]["year"].alias("ranking_year"),
         )
 
-    return F.transform(F.filter(found, lambda f: f["hit"].isNotNull()), shown)
+    told = mentions(F.col(text), [alias for _, aliases in every for alias in aliases])
+    return let(told, lambda m: F.when(F.size(m) > 0, F.transform(F.filter(found(m), lambda f: f["hit"].isNotNull()), shown)).otherwise(F.array().cast(ENTRIES)))
 
 
-def rankings_from_state(pages: DataFrame, keys: Sequence[str] = ("college_id", "slug"), site: Site = DEFAULT_SITE) -> DataFrame:
-    """Ranking rows of the embedded state; info pages go before placement pages."""
-    rows = pages.select(
-        *keys, F.when(F.col("page_type") == "info", 0).otherwise(1).alias("source"), F.explode(state_rankings(F.col("html"), site)).alias("r")
-    ).select(*keys, "source", "r.*")
-    return first_wins(rows, [*keys, "ranking_body", "rank", "ranking_year"], ["source", "pos"])
+def mentions(text: Column, aliases: Sequence[str]) -> Column:
+    """Stretches of a text that name a body, in order: all that the rank patterns can see, found in one search.
+
+    A rank and the body it belongs to have no full stop between them; past one, a pattern only looks for the year, in the next
+    digits. A stretch so runs from one full stop to the next, and those digits are put behind it.
+    """
+    names = "|".join(re.escape(a) for a in sorted(aliases, key=len, reverse=True))
+    if any("." in a for a in aliases):  # the stops then do not part the text
+        return F.when(text.rlike(f"(?iU){names}"), F.array(text)).otherwise(F.array().cast("array<string>"))
+    pattern = F.lit(rf"(?iU)(?<![^.])([^.]*(?:{names})[^.]*)(?=\D*(\d{{0,4}}))")
+    return F.when(text.rlike(f"(?iU){names}"), F.zip_with(
+        F.regexp_extract_all(text, pattern, F.lit(1)), F.regexp_extract_all(text, pattern, F.lit(2)), lambda stretch, digits: F.concat_ws(". ", stretch, digits)
+    )).otherwise(F.array().cast("array<string>"))
 
 
-def ranking_in_text(text: Column, aliases: Sequence[str]) -> Column:
-    """(rank, year) of the first alias that is ranked at most 5,000 in the text, else NULL."""
+def ranking_in_mentions(told: Column, aliases: Sequence[str]) -> Column:
+    """(rank, year) of the first alias that is ranked at most 5,000, else NULL; of an alias the first pattern that matches anywhere counts."""
 
-    def read(pattern: str) -> Column:
-        # the text is searched once; the groups are read from the short match
+    def read(named: Column, pattern: str) -> Column:
+        # the groups are read from the short match
         groups = lambda m: F.struct(F.regexp_extract(m, pattern, 1).alias("rank"), F.regexp_extract(m, pattern, 2).alias("year"))
-        return let(F.regexp_extract(text, pattern, 0), lambda m: F.when(m != "", groups(m)))
+        hits = F.filter(F.transform(named, lambda t: F.regexp_extract(t, pattern, 0)), lambda m: m != "")
+        return let(F.get(hits, 0), lambda m: F.when(m.isNotNull(), groups(m)))
 
     def usable(hit: Column) -> Column:
         year = hit["year"].try_cast("int")
         found = F.struct(hit["rank"].alias("rank"), F.when(year.between(*V.RANK_YEARS), year).alias("year"))
         return F.when(hit["rank"].try_cast("int") <= V.TEXT_RANK_MAX, found)
 
-    tries = []
-    for alias in aliases:
+    def ranked(alias: str) -> Column:
         patterns = [p.replace("<alias>", re.escape(alias)) for p in P.RANK_PATTERNS]
-        named = F.lower(text).contains(alias.lower())
-        tries.append(F.when(named, let(F.coalesce(*map(read, patterns)), usable)))
-    return F.coalesce(*tries)
+        named = F.filter(told, lambda t: F.lower(t).contains(alias.lower()))
+        return let(named, lambda n: F.when(F.size(n) > 0, let(F.coalesce(*(read(n, p) for p in patterns)), usable)))
+
+    return F.coalesce(*map(ranked, aliases))
+
+
+def rankings_from_state(pages: DataFrame, keys: Sequence[str] = ("college_id", "slug"), site: Site = DEFAULT_SITE) -> DataFrame:
+    """Ranking rows of the embedded state; info pages go before placement pages."""
+    rows = pages.select(
+        *keys, F.when(F.col("page_type") == "info", 0).otherwise(1).alias("source"), F.explode(state_rankings("html", site)).alias("r")
+    ).select(*keys, "source", "r.*")
+    return first_wins(rows, [*keys, "ranking_body", "rank", "ranking_year"], ["source", "pos"])
 
 
 def bodies(site: Site = DEFAULT_SITE) -> list[tuple[str, list[str]]]:
@@ -131,7 +153,7 @@ def bodies(site: Site = DEFAULT_SITE) -> list[tuple[str, list[str]]]:
 def rankings_from_text(texts: DataFrame, keys: Sequence[str] = ("college_id", "slug"), site: Site = DEFAULT_SITE, text: str = "main_text") -> DataFrame:
     """First ranking per body in page text; placement pages go before info pages."""
     rows = texts.select(
-        *keys, F.when(F.col("page_type") == "placements", 0).otherwise(1).alias("source"), F.explode(text_rankings(F.col(text), site)).alias("r")
+        *keys, F.when(F.col("page_type") == "placements", 0).otherwise(1).alias("source"), F.explode(text_rankings(text, site)).alias("r")
     ).select(*keys, "source", "r.*")
     return first_wins(rows, [*keys, "ranking_body"], ["source"])
 
@@ -148,7 +170,7 @@ def ranking_entries(pages: DataFrame, keys: Sequence[str] = ("college_id", "slug
     """
     read = H.narrowed(
         pages.filter(F.col("page_type").isin("info", "placements")),
-        *keys, "page_type", "html", state_rankings(F.col("html"), site).alias("_state"),
+        *keys, "page_type", "html", state_rankings("html", site).alias("_state"),
     )
     read = read.withColumn("html", F.when(F.size("_state") == 0, F.col("html")))
     trees = H.with_main_text(H.readable_tree(read))
@@ -158,7 +180,7 @@ def ranking_entries(pages: DataFrame, keys: Sequence[str] = ("college_id", "slug
 
     placed = F.col("page_type") == "placements"
     mark = F.when(placed, F.array(F.lit(None).cast(ENTRY))).otherwise(F.array().cast(ENTRIES))
-    text = F.when(F.size("_state") == 0, text_rankings(F.col("main_text"), site)).otherwise(F.array().cast(ENTRIES))
+    text = F.when(F.size("_state") == 0, text_rankings("main_text", site)).otherwise(F.array().cast(ENTRIES))
     return trees.select(
         *keys,
         F.explode(F.concat(
