@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
+from campusweave.catalog import rule_sql as RS
 from campusweave.catalog.registry import pages, query, dealt_table, table
 from campusweave.functions import degrees as D
 from campusweave.functions import money as M
@@ -14,8 +17,8 @@ from campusweave.operators import relational as R
 from campusweave.operators.ordinals import carry
 from campusweave.plans import courses as C
 from campusweave.plans import rankings as K
-from campusweave.rules import degrees as DR
-from campusweave.rules import vocab as V
+from campusweave.session import checkpoint_dir
+from campusweave.sources.staging import stage_pages
 
 # what the page table holds besides text, taken off by pattern
 BARE = r"""regexp_replace(regexp_replace(regexp_replace(regexp_replace(html, '(?is)<script[^>]*>.*?</script>', '', 'g'),
@@ -191,40 +194,24 @@ _SHAPES = [
 COURSE_NAME = "CASE p_partkey % 32 " + " ".join(f"WHEN {i} THEN '{s}'" for i, s in enumerate(_SHAPES)) + " ELSE p_name END || CASE p_size % 4 WHEN 0 THEN ' (' || p_brand || ')' WHEN 1 THEN '  ' ELSE '' END"
 
 
-def _sql_holds(name: str, tests: dict) -> str | None:
-    parts = [f"contains({name}, '{t}')" for t in tests.get("has", [])]
-    parts += [f"starts_with({name}, '{t}')" for t in tests.get("starts", [])]
-    parts += [f"{name} = '{t}'" for t in tests.get("eq", [])]
-    parts += [f"regexp_matches({name}, '\\b{t}\\b')" for t in tests.get("word", [])]
-    return "(" + " OR ".join(parts) + ")" if parts else None
-
-
 NAMED = f"WITH n AS (SELECT p_partkey, p_name, p_brand, p_type, p_size, {COURSE_NAME} AS name FROM part) "
-TAG_SQL = "CASE " + " ".join(f"WHEN {_sql_holds(squeezed('lower(name)'), t)} THEN '{n}'" for n, t in DR.DEGREE_RULES) + " ELSE trim(name) END"
-_RULE = "CASE " + " ".join(
-    f"WHEN {' OR '.join(x for x in (_sql_holds('lower(degree)', a), _sql_holds('lower(name)', b)) if x)} THEN {i}" for i, (a, b, *_) in enumerate(DR.DETAIL_RULES)
-) + " ELSE -1 END"
-_DETAIL_VALUES = ", ".join(
-    f"({i}, '{du}', '{lv}', '{ex or DR.DETAIL_DEFAULTS['entrance_exam']}')" for i, (_, _, du, lv, ex) in enumerate(DR.DETAIL_RULES)
-) + ", (-1, 'Not Specified', 'UG', 'Not Specified')"
+TAGGED = NAMED + f", g AS (SELECT *, {RS.DEGREE_TAG} AS degree FROM (SELECT *, {squeezed('lower(name)')} AS t FROM n)) "
 
 
 def named_parts(spark, d):
     return table(spark, d, "part").withColumn("name", F.expr(COURSE_NAME))
 
 
-@query("degree_tags", NAMED + f"SELECT p_partkey, {TAG_SQL} AS degree FROM n")
+@query("degree_tags", TAGGED + "SELECT p_partkey, degree FROM g")
 def degree_tags(spark, d):
     return named_parts(spark, d).select("p_partkey", D.degree_tag(F.col("name")).alias("degree"))
 
 
 @query(
     "course_details",
-    NAMED
-    + f""", g AS (SELECT p_partkey, name, {TAG_SQL} AS degree FROM n), r AS (SELECT *, {_RULE} AS rule FROM g)
- SELECT p_partkey, duration, course_level, entrance_exam,
- CASE WHEN rule = 5 AND regexp_matches(lower(name), 'executive|emba|pgpx') THEN 'Part Time' WHEN rule = 33 THEN 'Part Time' ELSE 'Full Time' END AS course_type
- FROM r JOIN (VALUES {_DETAIL_VALUES}) v(rule, duration, course_level, entrance_exam) USING (rule)""",
+    TAGGED
+    + f"""SELECT p_partkey, x[1] AS duration, x[2] AS course_level, x[3] AS entrance_exam, x[4] AS course_type
+ FROM (SELECT p_partkey, {RS.COURSE_DETAILS} AS x FROM (SELECT p_partkey, lower(degree) AS d, lower(name) AS n FROM g))""",
 )
 def course_details(spark, d):
     tagged = named_parts(spark, d).withColumn("degree", D.degree_tag(F.col("name")))
@@ -236,11 +223,10 @@ LEVEL_TEXT = "CASE p_size % 6 WHEN 0 THEN 'Post Graduation' WHEN 1 THEN 'Graduat
 
 @query(
     "course_levels",
-    NAMED
-    + f""", g AS (SELECT p_partkey, {TAG_SQL} AS degree, lower({LEVEL_TEXT}) AS lv FROM n)
- SELECT p_partkey, CASE WHEN contains(lv, 'doctor') OR contains(lower(degree), 'ph.d') THEN 'Doctorate' WHEN regexp_matches(lv, 'post|pg|master') THEN 'PG'
+    TAGGED
+    + f"""SELECT p_partkey, CASE WHEN contains(lv, 'doctor') OR contains(lower(degree), 'ph.d') THEN 'Doctorate' WHEN regexp_matches(lv, 'post|pg|master') THEN 'PG'
  WHEN regexp_matches(lv, 'graduation|undergraduate|ug') THEN 'UG' WHEN regexp_matches(lv, 'certificate|diploma') THEN 'PG'
- WHEN degree IN ({', '.join(f"'{x}'" for x in DR.PG_DEGREES)}) THEN 'PG' ELSE 'UG' END AS course_level FROM g""",
+ WHEN degree IN {RS.PG_DEGREES} THEN 'PG' ELSE 'UG' END AS course_level FROM (SELECT *, lower({LEVEL_TEXT}) AS lv FROM g)""",
 )
 def course_levels(spark, d):
     tagged = named_parts(spark, d).withColumn("degree", D.degree_tag(F.col("name")))
@@ -265,7 +251,7 @@ FEE_NAME = "CASE p_partkey % 6 WHEN 0 THEN 'Hostel Fee ' || p_name WHEN 1 THEN C
 @query(
     "valid_rows",
     f"""WITH n AS (SELECT p_partkey, lower({FEE_NAME}) AS name, lower(p_type) AS degree FROM part)
- SELECT p_partkey, NOT (regexp_matches(name, '\\b({'|'.join(V.FEE_WORDS)})\\b') OR regexp_matches(degree, '\\b({'|'.join(V.FEE_WORDS)})\\b')
+ SELECT p_partkey, NOT (regexp_matches(name, '\\b({RS.FEE_WORDS})\\b') OR regexp_matches(degree, '\\b({RS.FEE_WORDS})\\b')
  OR regexp_matches(name, '^\\s*([0-9]+(st|nd|rd|th)?\\s*year|year\\s*[0-9]+)\\s*$')) AS is_course FROM n""",
 )
 def valid_rows(spark, d):
@@ -424,7 +410,7 @@ LEAD = "CASE p_partkey % 7 WHEN 0 THEN ' Course ' WHEN 1 THEN 'M.Tech Specializa
 
 @query(
     "header_rows",
-    f"""SELECT p_partkey, lower(trim({LEAD})) IN ({', '.join(f"'{x}'" for x in V.HEADER_CELLS)}) OR regexp_matches(lower({LEAD}), 'total fees|fees \\(inr\\)|specializations') AS is_header FROM part""",
+    f"""SELECT p_partkey, lower(trim({LEAD})) IN {RS.HEADER_CELLS} OR regexp_matches(lower({LEAD}), 'total fees|fees \\(inr\\)|specializations') AS is_header FROM part""",
 )
 def header_rows(spark, d):
     return table(spark, d, "part").select("p_partkey", C.is_header_row(F.array(F.expr(LEAD), F.col("p_type"))).alias("is_header"))
@@ -439,9 +425,8 @@ _FEE = "regexp_matches({h}, 'fee|fees|inr|amount|price|cost')"
 
 @query(
     "table_choice",
-    f"""SELECT p_partkey, CASE WHEN contains(h, 'm.tech') AND contains(h, 'fees') THEN 'M.Tech Specializations' WHEN contains(h, 'b.tech') AND contains(h, 'fees') THEN 'B.Tech Courses'
- WHEN contains(h, 'm.sc') AND contains(h, 'fees') THEN 'M.Sc Specializations' WHEN contains(h, 'other courses') THEN 'Other Courses' WHEN contains(h, 'cep courses') THEN 'CEP Courses' ELSE 'Unknown' END AS category,
- regexp_matches(c, '{'|'.join(V.FEE_TABLE_WORDS)}') AS fee_table FROM (SELECT p_partkey, {HEADING} AS h, {HEADS} AS c FROM part)""",
+    f"""SELECT p_partkey, {RS.TABLE_CATEGORY} AS category, regexp_matches(c, '{RS.FEE_TABLE_WORDS}') AS fee_table
+ FROM (SELECT p_partkey, {HEADING} AS h, {HEADS} AS c FROM part)""",
 )
 def table_choice(spark, d):
     return table(spark, d, "part").select(
@@ -523,16 +508,26 @@ def table_pages(spark, d):
     return dealt_table(spark, d, "part", "p_partkey").select("p_partkey", F.expr(_TABLES).alias("html"))
 
 
-@query(
-    "html_tables",
-    """SELECT p_partkey, t AS table_no, r AS row_no, c AS col_no, CASE t WHEN 0 THEN lower(p_type) || ' prices' WHEN 1 THEN 'late & last' ELSE 'selection criteria' END AS heading,
+_CELLS_SQL = """SELECT p_partkey, t AS table_no, r AS row_no, c AS col_no, CASE t WHEN 0 THEN lower(p_type) || ' prices' WHEN 1 THEN 'late & last' ELSE 'selection criteria' END AS heading,
  CASE WHEN t = 0 AND r = 0 THEN (CASE c WHEN 0 THEN 'Name' ELSE 'Brand' END) WHEN t = 0 THEN (CASE c WHEN 0 THEN p_name ELSE p_brand || 'x' END) WHEN t = 1 THEN CAST(p_size AS STRING) ELSE p_name END AS text
- FROM part, (VALUES (0, 0, 0), (0, 0, 1), (0, 1, 0), (0, 1, 1), (1, 0, 0), (2, 0, 0)) v(t, r, c)""",
-)
+ FROM part, (VALUES (0, 0, 0), (0, 0, 1), (0, 1, 0), (0, 1, 1), (1, 0, 0), (2, 0, 0)) v(t, r, c)"""
+
+
+@query("html_tables", _CELLS_SQL)
 def html_tables(spark, d):
     return H.html_tables(H.with_tree(table_pages(spark, d)), ["p_partkey"])
 
 
+@query("stored_tables", _CELLS_SQL)
+def stored_tables(spark, d):
+    """The same cells from pages that were parsed and stored before: no second parse, no join and no shuffle."""
+    named = table_pages(spark, d).select(
+        F.col("p_partkey").cast("string").alias("college_id"), F.lit("t").alias("slug"), F.lit("tables").alias("page_type"), F.lit("u").alias("url"), "html"
+    )
+    staged = stage_pages(named, f"{checkpoint_dir(spark)}/stored-{uuid.uuid4().hex}")
+    return H.html_tables(staged, ["college_id"]).withColumn("p_partkey", F.col("college_id").cast("bigint")).drop("college_id")
+
+
 @query(
     "html_cards",
     """SELECT p_partkey, k AS card_no, CASE k WHEN 0 THEN p_name ELSE p_brand END AS title, CAST(p_size AS STRING) AS size FROM part, (VALUES (0), (1)) v(k)""",

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from campusweave.operators import frontier as B
 from campusweave.operators import html as H
+from campusweave.sources.listing import read_listing
 from tests.conftest import rows
 
 BASE = "https://campus.example"
@@ -88,3 +89,18 @@ def test_quoted_listing_fields(spark, tmp_path):
     assert found == {"/a": 'say "hi", 5', "/b": "two\nlines"}
     write_listing(read_listing(spark, str(path)), str(tmp_path / "back"))
     assert {r["url"]: r["listing_avg_package"] for r in read_listing(spark, str(tmp_path / "back")).collect()} == found
+
+
+def test_listing_files_are_read_whole_only_where_a_field_is_broken(spark, tmp_path):
+    plain = "url,listing_rank\n" + "".join(f'u{i},"a ""{i}"", b"\n' for i in range(2000))
+    (tmp_path / "a b.csv").write_text(plain)
+    (tmp_path / "b%20.csv").write_text('Listing_Rank,URL,other\n"x\ny",u5,z\n#2,v,\n')
+    got = read_listing(spark, str(tmp_path))
+    found = {r["url"]: r["listing_rank"] for r in got.collect()}
+    # the later file's row wins, with its break
+    assert len(found) == 2001 and found["u5"] == "x\ny" and found["v"] == "#2" and found["u7"] == 'a "7", b'
+    plan = got._jdf.queryExecution().toString()
+    assert plan.count("Relation") >= 2
+    (tmp_path / "empty").mkdir()
+    (tmp_path / "empty" / "e.csv").write_text("url\n")
+    assert read_listing(spark, str(tmp_path / "empty")).collect() == []

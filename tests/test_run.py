@@ -5,6 +5,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from campusweave.operators import html as H
 from campusweave.plans import run
 from campusweave.sources import pages as P
 from campusweave.sources import seen, staging
@@ -47,6 +48,9 @@ def test_jobs_on_staged_pages_have_no_python_step(spark, tmp_path):
         assert "MapInArrow" not in plan(df), name
     one = plan(run.build_datasets(staged)["hostel"])
     assert "PartitionFilters: [isnotnull(page_type" in one and "ReadSchema: struct<college_id:string,texts:array<string>,parse_error:string>" in one
+    for df in (H.html_tables(staged, ["college_id"]), H.html_cards(staged, ["college_id"], H.has_class("review-card"), {"text": H.has_class("text")})):
+        assert df.count() == 4 or df.count() == 1
+        assert "Exchange" not in plan(df) and "MapInArrow" not in plan(df)
     staging.clear_staged(spark, str(tmp_path / "s"))
     assert staging.staged_pages(spark, str(tmp_path / "s")).count() == 0
 
