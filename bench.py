@@ -22,7 +22,7 @@ HEADLINE = [
     "vocabulary_hits", "label_values", "context_window", "capped_lines", "dedup_first_wins", "fallback_chain",
     "preceding_turn", "fee_format", "package_format", "import_listing", "ranking_dedup", "degree_tags", "html_tables",
     "listing_from_pages", "datasets_colleges", "datasets_courses", "datasets_placements", "datasets_rankings",
-    "datasets_faculty", "datasets_scholarships", "datasets_hostel", "datasets_reviews", "datasets_admissions", "stream_ingest", "per_entity_export", "bundle",
+    "datasets_faculty", "datasets_scholarships", "datasets_hostel", "datasets_reviews", "datasets_admissions", "stream_ingest", "per_entity_export", "bundle", "pending_half", "frontier_half", "stored_tables",
 ]
 
 

@@ -132,18 +132,17 @@ def parse_batch(
     folder = f"{root}/_parsed/batch={batch}"
     staged = stage_pages(pages, folder, fresh)
     counts = (batch, arrived.get["n"], fresh.get["n"], fresh.get["n"] - fresh.get["rejected"], fresh.get["rejected"])
-    outputs: dict[str, Callable[[], DataFrame]] = {
-        **dataset_jobs(staged, listing, site),
-        "_rejected": lambda: H.rejected_pages(staged).select(*REJECTED.fieldNames()),
-        "_progress": lambda: spark.createDataFrame([counts], PROGRESS).drop("batch").coalesce(1),
-    }
+    outputs: dict[str, Callable[[], DataFrame]] = {"_progress": lambda: spark.createDataFrame([counts], PROGRESS).drop("batch").coalesce(1)}
+    if fresh.get["n"]:
+        outputs |= {**dataset_jobs(staged, listing, site), "_rejected": lambda: H.rejected_pages(staged).select(*REJECTED.fieldNames())}
 
     def write(name: str) -> None:
         outputs[name]().write.mode("overwrite").parquet(f"{root}/{name}/batch={batch}")
 
     # the outputs have nothing to do with each other: they are planned and run side by side
     with ThreadPoolExecutor(JOBS) as pool:
-        done = [pool.submit(_upsert_rankings, staged, root, batch, buckets, site), *(pool.submit(write, name) for name in outputs)]
+        done = [pool.submit(_upsert_rankings, staged, root, batch, buckets, site)] if fresh.get["n"] else []
+        done += [pool.submit(write, name) for name in outputs]
         for job in done:
             job.result()
     seen.add(keys, f"{root}/_seen", PAGE_KEY, batch)

@@ -16,8 +16,8 @@ from campusweave.sources.pages import PAGES
 STAGED = ", ".join([*(f"{name} string" for name in PAGES.fieldNames()), H.TREE_TYPE])
 #: Page types whose jobs also read the markup; that of the others is not stored again.
 MARKUP_READ = ("info", "placements", "courses", "reviews")
-#: Bytes of a row group, the least that a task can read: page work costs far more than reading, so that pages are dealt out finely.
-ROW_GROUP = 4 << 20
+#: Page work costs far more than reading: pages of a file, and bytes of a row group, the least that a task can read, are kept small, so that pages are dealt out finely.
+FILE_PAGES, ROW_GROUP = 500, 4 << 20
 
 
 def stage_pages(pages: DataFrame, path: str, counts: Observation | None = None) -> DataFrame:
@@ -29,7 +29,8 @@ def stage_pages(pages: DataFrame, path: str, counts: Observation | None = None)
     trees = trees.withColumn("html", F.when(F.col("page_type").isin(*MARKUP_READ), F.col("html")))
     if counts is not None:
         trees = trees.observe(counts, F.count(F.lit(1)).alias("n"), F.count("parse_error").alias("rejected"))
-    trees.write.mode("overwrite").option("parquet.block.size", ROW_GROUP).partitionBy("page_type").parquet(path)
+    fine = trees.write.mode("overwrite").option("maxRecordsPerFile", FILE_PAGES).option("parquet.block.size", ROW_GROUP)
+    fine.partitionBy("page_type").parquet(path)
     return staged_pages(pages.sparkSession, path)
 
 
