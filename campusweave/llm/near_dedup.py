@@ -111,3 +111,14 @@ def first_of_each(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """The rows of `docs` that are kept; null doc_ids stay, of rows that repeat a doc_id all stay."""
     drop = near_duplicates(docs.where("doc_id is not null"), percent).where("not kept").select("doc_id").distinct()
     return docs.join(drop, "doc_id", "left_anti").select(*docs.columns)
+
+
+#: DuckDB SQL of `near_duplicates` on `documents`: all pairs that share a shingle, and all that can be reached.
+ORACLE = r"""WITH RECURSIVE w AS (SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents),
+ s AS MATERIALIZED (SELECT DISTINCT doc_id, array_to_string(ws[i : i + 4], ' ') AS shingle FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 3, 2))) AS i FROM w WHERE len(ws) > 0)),
+ n AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+ c AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS shared FROM s AS a JOIN s AS b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY ALL),
+ l AS MATERIALIZED (SELECT x, y FROM c JOIN n AS a ON a.doc_id = x JOIN n AS b ON b.doc_id = y WHERE 100 * shared >= 75 * (a.n + b.n - shared)),
+ r AS (SELECT doc_id, doc_id AS other FROM documents UNION SELECT r.doc_id, l.y FROM r JOIN l ON l.x = r.other)
+ SELECT d.doc_id, coalesce(max(n.n), 0) AS n_shingles, min(r.other) AS component_id, d.doc_id = min(r.other) AS kept
+ FROM documents AS d JOIN r USING (doc_id) LEFT JOIN n USING (doc_id) GROUP BY d.doc_id"""
