@@ -9,7 +9,8 @@ number of equal coordinates is concentrated as with T independent hashes.
 
 Equal sets are one class first. Sketches of class representatives are cut into BANDS bands; two that
 agree in a band are compared on their full sets. At a similarity of 0.75 a pair shares no band with
-probability (1 - 0.75^4)^32 = 5e-6.
+probability (1 - 0.75^5)^51 = 1e-6. Texts without anything to do with each other, of which there are pairs without number, are
+alike by some 0.02 through common turns of speech and meet with probability 51 * 0.02^5 = 2e-7.
 """
 
 from __future__ import annotations
@@ -23,7 +24,8 @@ from campusweave.llm import words
 from campusweave.llm.common import bitmap, by_step, cut, passes, texts
 from campusweave.llm.graph import Sets, linked
 
-BANDS, ROWS = 32, 4
+#: Coordinates of a sketch, a power of 2, and what of it goes into bands: 255.
+COORDINATES, BANDS, ROWS = 256, 51, 5
 #: similarity as a percentage, so that the test is one of whole numbers
 PERCENT = 75
 U = np.uint64
@@ -41,7 +43,7 @@ def sketch(items: np.ndarray, size: int, salt: int = 0) -> np.ndarray:
         h = words.mix(items[None, :] ^ keys[done : done + turns, None])
         turn = (np.arange(done, done + turns, dtype=U) << U(48))[:, None]
         place, value = (h >> (U(64) - bits)).ravel(), (turn | (h & U((1 << 48) - 1))).ravel()
-        # one sort by coordinate, round and value: 7 + 8 + 48 bits for 128 coordinates
+        # one sort by coordinate, round and value: 8 + 8 + 48 bits for 256 coordinates
         order = np.sort((place << (U(64) - bits)) | (value & ((U(1) << (U(64) - bits)) - U(1))))
         place = order >> (U(64) - bits)
         lead = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]]))
@@ -55,7 +57,7 @@ def sketch(items: np.ndarray, size: int, salt: int = 0) -> np.ndarray:
 
 
 def band_keys(coordinates: np.ndarray, bands: int, rows: int) -> np.ndarray:
-    parts = coordinates.reshape(bands, rows)
+    parts = coordinates[: bands * rows].reshape(bands, rows)
     out = np.arange(1, bands + 1, dtype=U)
     for k in range(rows):
         out = words.mix((out ^ parts[:, k]) * U(0x9E3779B97F4A7C15))
@@ -67,7 +69,7 @@ def signatures(docs: DataFrame) -> DataFrame:
 
     def sign(batch):
         found = words.sets(batch.column("text"))
-        some = [words.signed(band_keys(sketch(s, BANDS * ROWS), BANDS, ROWS)) if len(s) else np.zeros(0, np.int64) for s in found]
+        some = [words.signed(band_keys(sketch(s, COORDINATES), BANDS, ROWS)) if len(s) else np.zeros(0, np.int64) for s in found]
         a = np.array([words.mix(s).sum(dtype=U) for s in found], U)
         b = np.array([np.bitwise_xor.reduce(words.mix(s + U(0x632BE59BD9B4E019))) if len(s) else U(0) for s in found], U)
         return pa.RecordBatch.from_arrays(
