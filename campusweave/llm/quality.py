@@ -12,11 +12,12 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from campusweave.llm import words
-from campusweave.llm.common import by_step, cut, texts
+from campusweave.llm.common import by_step, cut, steps, texts
 
 BUCKETS = 1 << 16
 #: Labelled texts that the target model is counted from, at most; chosen by a hash of doc_id.
@@ -26,6 +27,7 @@ SMOOTHING = 1.0
 MARGIN = math.log(1000)
 #: Rows that the driver may read to set the exact cut, and bins of a histogram.
 CUT_ROWS, BINS = 10_000, 4096
+NOISE = "_gumbel_noise"
 U = np.uint64
 
 KIND = np.arange(256, dtype=np.int64)
@@ -94,6 +96,12 @@ def learn(docs: DataFrame, labels: DataFrame, rows: int = TARGET_ROWS) -> np.nda
     return log_ratio(model(texts(docs).join(F.broadcast(sample), "doc_id")), model(texts(docs)))  # at most `rows` ids
 
 
+def gumbel() -> Column:
+    """Gumbel noise that follows from doc_id and text alone."""
+    u = (F.pmod(F.xxhash64("doc_id", "text", F.lit(17)), F.lit(1 << 52)) + 0.5) / float(1 << 52)
+    return -F.log(-F.log(u))
+
+
 def weighed(docs: DataFrame, ratio: np.ndarray) -> DataFrame:
     """doc_id, n_grams, log_ratio and gumbel_key for every row of `docs`; log_ratio and key are null for a text without words."""
     shared = docs.sparkSession.sparkContext.broadcast(ratio)  # one number for each bucket
@@ -104,8 +112,7 @@ def weighed(docs: DataFrame, ratio: np.ndarray) -> DataFrame:
         total = np.bincount(text, shared.value[bucket], batch.num_rows)
         return pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n.astype(np.int64)), pa.array(total, pa.float64(), mask=n == 0), batch.column("noise")], ["doc_id", "n_grams", "log_ratio", "noise"])
 
-    u = (F.pmod(F.xxhash64("doc_id", "text", F.lit(17)), F.lit(1 << 52)) + 0.5) / float(1 << 52)
-    noised = docs.select("doc_id", "text").withColumn("noise", -F.log(-F.log(u)))
+    noised = docs.select("doc_id", "text").withColumn("noise", gumbel())
     out = by_step(texts(noised, "noise"), run, "doc_id long, n_grams long, log_ratio double, noise double")
     return out.select("doc_id", "n_grams", "log_ratio", (F.col("log_ratio") + F.col("noise")).alias("gumbel_key"))
 
@@ -141,12 +148,27 @@ def sampled(docs: DataFrame, ratio: np.ndarray, k: int | None = None) -> DataFra
     Null and empty texts are never kept; rows that repeat doc_id and text tie. An empty table gives an empty result.
     """
     found = cut(weighed(docs, ratio), "weighed")
+    return found.withColumn("kept", F.coalesce(F.col("gumbel_key") >= least_kept(found, k), F.lit(False)))
+
+
+def least_kept(found: DataFrame, k: int | None = None) -> float:
+    """The gumbel_key of the last row that is kept."""
     k = found.where(F.col("log_ratio") > -MARGIN).count() if k is None else k
-    least = threshold(found.where("n_grams > 0"), "gumbel_key", k)
-    return found.withColumn("kept", F.coalesce(F.col("gumbel_key") >= least, F.lit(False)))
+    return threshold(found.where("n_grams > 0"), "gumbel_key", k)
 
 
 def keep(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of `docs` that are kept; a doc_id with several rows stays if one of them is kept."""
-    good = sampled(docs, learn(docs, labels)).where("kept").select("doc_id").distinct()
-    return docs.join(good, docs["doc_id"].eqNullSafe(good["doc_id"]), "left_semi")
+    """The rows of `docs` that are kept, each judged by its own doc_id and text, in a scan of its own: no text is shuffled."""
+    ratio = learn(docs, labels)
+    least = least_kept(cut(weighed(docs, ratio), "weighed"))
+    shared = docs.sparkSession.sparkContext.broadcast(ratio)  # one number for each bucket
+    names = docs.columns
+
+    def run(batches):
+        for batch in steps(batches):
+            bucket, text = grams(pc.fill_null(batch.column("text"), "").cast(pa.large_binary()))
+            total = np.bincount(text, shared.value[bucket], batch.num_rows) + batch.column(NOISE).to_numpy(zero_copy_only=False)
+            kept = (total >= least) & (np.bincount(text, minlength=batch.num_rows) > 0)
+            yield batch.filter(pa.array(kept)).select(names)
+
+    return docs.withColumn(NOISE, gumbel()).mapInArrow(run, docs.schema)

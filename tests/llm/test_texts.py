@@ -129,7 +129,10 @@ def test_quality(spark, docs):
     assert all(out[i]["kept"] for i in range(80)) and not any(out[i]["kept"] for i in range(80, 103)) and out[100]["log_ratio"] is None
     assert sum(r["kept"] for r in quality.sampled(table, ratio, 17).collect()) == 17
     assert quality.sampled(table.limit(0), ratio).collect() == []
-    assert quality.keep(table, labels).columns == table.columns
+    kept = quality.keep(table, labels)
+    assert kept.schema == table.schema
+    marked = quality.sampled(table, quality.learn(table, labels)).where("kept")
+    assert sorted(r["doc_id"] for r in kept.collect()) == sorted(r["doc_id"] for r in marked.collect())
 
 
 def test_quality_without_target(spark, docs):
