@@ -44,10 +44,10 @@ def test_fallback_keeps_null_keys(spark):
 
 
 @pytest.mark.parametrize("keys", ["id", "xxhash64(id)"])
-def test_positions_gather_nothing_but_block_sums(spark, keys):
+def test_positions_gather_nothing_but_range_sums(spark, keys):
     lines = plan(with_position(spark.range(1000).selectExpr(f"{keys} AS id"), "id", width=50)).splitlines()
     single = [i for i, line in enumerate(lines) if "Exchange SinglePartition" in line]
-    assert len(single) == 1 and "HashAggregate(keys=[_block" in lines[single[0] + 1]
+    assert len(single) == 1 and "HashAggregate(keys=[_chunk" in lines[single[0] + 1]
 
 
 def test_pages_are_parsed_without_a_shuffle(page):
