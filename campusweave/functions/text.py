@@ -6,7 +6,7 @@ from collections.abc import Callable, Sequence
 from functools import wraps
 
 from pyspark import SparkContext
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Unicode white space spelled out: Java's \s knows ASCII only.
@@ -135,6 +135,16 @@ def without_currency(c: Column) -> Column:
     return F.trim(F.replace(F.regexp_replace(c, "^₹", ""), F.lit("INR "), F.lit("")))
 
 
+def each(df: DataFrame, keys: Sequence, found: Column, name: str, number: str | None = None) -> DataFrame:
+    """Keys and one row per (non-NULL) item of an array that is dear to make, with its number.
+
+    Below a plain explode Spark puts a filter for empty arrays, which makes the whole array once more, all steps in one
+    expression. It puts none below an outer one.
+    """
+    item = F.explode_outer(found).alias(name) if number is None else F.posexplode_outer(found).alias(number, name)
+    return df.select(*keys, item).filter(F.col(name).isNotNull())
+
+
 def running(values: Column, op: Callable[[Column, Column], Column], start: Column) -> Column:
     """What ``op`` makes of all values of an array up to each one; ``start`` is neutral to it.
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from campusweave.functions.money import indian_digits, is_numeric, parse_number
-from campusweave.functions.text import blank_to_null, clean, first_match, first_of, items, let, running, strip
+from campusweave.functions.text import blank_to_null, clean, each, first_match, first_of, items, let, running, strip
 from campusweave.operators.html import (
     first, inside, nodes_where, spaced_text_of, tagged_class,
 )
@@ -163,7 +163,7 @@ def _with_cards(trees: DataFrame, base: str) -> DataFrame:
 
 def listing_cards(trees: DataFrame, keys: Sequence[str], base: str = DEFAULT_SITE.base_url) -> DataFrame:
     """One row per card that leads to a profile: position, address, text and strings."""
-    return _with_cards(trees, base).select(*keys, F.explode("_found_cards").alias("c")).select(*keys, "c.*")
+    return each(_with_cards(trees, base), keys, F.col("_found_cards"), "c").select(*keys, "c.*")
 
 
 def _is_link(n: Column) -> Column:
@@ -233,7 +233,7 @@ def _with_loose_ranks(trees: DataFrame, base: str) -> DataFrame:
 
 def associate_ranks(trees: DataFrame, keys: Sequence[str], base: str = DEFAULT_SITE.base_url) -> DataFrame:
     """One row per '#N' string and the profile it stands next to."""
-    return _with_loose_ranks(trees, base).select(*keys, F.explode("_loose_ranks").alias("f")).select(*keys, "f.*")
+    return each(_with_loose_ranks(trees, base), keys, F.col("_loose_ranks"), "f").select(*keys, "f.*")
 
 
 def first_seen(df: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
@@ -255,7 +255,7 @@ def listing_from_pages(trees: DataFrame, page_no: str = "page_no", base: str = D
         "_loose_ranks",
         lambda r: F.struct(F.lit(LOOSE).alias("kind"), r["text_no"].alias("pos"), r["url"].alias("url"), F.lit("").alias("text"), F.array().cast("array<string>").alias("strings"), r["rank"].alias("rank")),
     )
-    rows = both.select(F.col(page_no).cast("bigint").alias("page"), F.explode(F.concat(cards, loose)).alias("x")).select("page", "x.*")
+    rows = each(both, [F.col(page_no).cast("bigint").alias("page")], F.concat(cards, loose), "x").select("page", "x.*")
     event = F.struct(
         "page", "kind", "pos",
         *[m.alias(n) for n, m in listing_metrics(F.col("text")).items()],

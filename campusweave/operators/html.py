@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 
 from campusweave.functions import page_tree
 from campusweave.functions.page_tree import PageTree
-from campusweave.functions.text import WS, built_once, clean, contains_any, first_match, items, let, running, squeeze
+from campusweave.functions.text import WS, built_once, clean, contains_any, each, first_match, items, let, running, squeeze
 from campusweave.rules.patterns import APP_STATE, JSON_LD
 from campusweave.rules.vocab import NOISE_CLASS_PARTS, NOISE_TAGS
 
@@ -300,8 +300,7 @@ def with_headings(trees: DataFrame) -> DataFrame:
 def html_tables(trees: DataFrame, keys: Sequence[str]) -> DataFrame:
     """One row per table cell: page keys, table, row, column, heading and text."""
     return (
-        with_headings(trees)
-        .select(*keys, F.posexplode(table_structs()).alias("table_no", "t"))
+        each(with_headings(trees), keys, table_structs(), "t", "table_no")
         .select(*keys, "table_no", F.col("t.heading").alias("heading"), F.posexplode("t.rows").alias("row_no", "cells"))
         .select(*keys, "table_no", "heading", "row_no", F.posexplode("cells").alias("col_no", "text"))
         .withColumn("text", clean(F.col("text")))
@@ -322,9 +321,7 @@ def html_cards(
             *[text_at(first(F.filter(within, test))).alias(name) for name, test in fields.items()],
         ))
 
-    return trees.select(*keys, F.posexplode(F.transform(nodes_where(card), shape)).alias("card_no", "c")).select(
-        *keys, "card_no", "c.*"
-    )
+    return each(trees, keys, F.transform(nodes_where(card), shape), "c", "card_no").select(*keys, "card_no", "c.*")
 
 
 def with_sections(

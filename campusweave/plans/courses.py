@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from campusweave.functions import degrees as D
 from campusweave.functions import money
 from campusweave.functions.text import (
-    blank_to_null, built_once, clean, contains_any, first_match, lacks_money, name_and_specialization,
+    blank_to_null, built_once, clean, contains_any, each, first_match, lacks_money, name_and_specialization,
     let, let_sql, strip, without_trailing_parens,
 )
 from campusweave.operators import html as H
@@ -481,7 +481,7 @@ def course_candidates(pages: DataFrame, keys: Sequence[str], html: str = "html")
         .otherwise(numbered(CONTEXT, "_context"))
     )
     return (
-        page.select(*keys, F.posexplode(chosen).alias("pos", "c"))
+        each(page, keys, chosen, "c", "pos")
         .select(*keys, "c.source", F.col("pos").cast("double").alias("pos"), "c.r.*")
     )
 

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from campusweave.functions.text import WS, blank_to_null, built_once, clean, let
+from campusweave.functions.text import WS, blank_to_null, built_once, clean, each, let
 from campusweave.operators import html as H
 from campusweave.operators.relational import first_wins, without_known
 from campusweave.rules import patterns as P
@@ -181,14 +181,12 @@ def ranking_entries(pages: DataFrame, keys: Sequence[str] = ("college_id", "slug
     placed = F.col("page_type") == "placements"
     mark = F.when(placed, F.array(F.lit(None).cast(ENTRY))).otherwise(F.array().cast(ENTRIES))
     text = F.when(F.size("_state") == 0, text_rankings("main_text", site)).otherwise(F.array().cast(ENTRIES))
-    return trees.select(
-        *keys,
-        F.explode(F.concat(
-            entries(MARK, F.lit(0), mark),
-            entries(STATE, placed.cast("int"), F.col("_state")),
-            entries(TEXT, (~placed).cast("int"), text),
-        )).alias("e"),
-    ).select(*keys, "e.kind", "e.source", "e.r.*")
+    every = F.concat(
+        entries(MARK, F.lit(0), mark),
+        entries(STATE, placed.cast("int"), F.col("_state")),
+        entries(TEXT, (~placed).cast("int"), text),
+    )
+    return each(trees, keys, every, "e").select(*keys, "e.kind", "e.source", "e.r.*")
 
 
 def settled(rows: DataFrame, keys: Sequence[str] = ("college_id", "slug")) -> DataFrame:
