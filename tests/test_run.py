@@ -139,3 +139,27 @@ def test_a_failed_output_fails_the_batch(spark, tmp_path, monkeypatch):
     run.parse_batch(pages, root, "0")
     assert run.load_datasets(spark, root)["rankings"].count() == 1
     assert rows(run.load_progress(spark, root).select(F.sum("saved").alias("s")), "s") == [(6,)]
+
+
+def test_a_batch_writes_what_its_page_types_give(spark, tmp_path, monkeypatch):
+    """Outputs of page types that a batch does not hold are neither planned nor written; a batch that is repeated writes all."""
+    root, built = str(tmp_path / "out"), []
+    jobs = run.dataset_jobs
+
+    def counted(*a):
+        return {name: (lambda name=name, job=job: built.append(name) or job()) for name, job in jobs(*a).items()}
+
+    monkeypatch.setattr(run, "dataset_jobs", counted)
+    monkeypatch.setattr(run, "ranking_entries", lambda *a, made=run.ranking_entries, **k: built.append("rankings") or made(*a, **k))
+    hostels = spark.createDataFrame([PAGES[1]], P.PAGES)
+    run.parse_batch(hostels, root, "0")
+    assert built == ["hostel"]
+    assert {n: df.count() for n, df in run.load_datasets(spark, root).items() if df.count()} == {"hostel": 1}
+    assert run.load_rejected(spark, root).count() == 0
+    built.clear()
+    run.parse_batch(spark.createDataFrame([PAGES[6], PAGES[0], PAGES[5]], P.PAGES), root, "1")
+    assert sorted(built) == ["colleges", "faculty", "rankings"]
+    assert run.load_rejected(spark, root).count() == 1
+    built.clear()
+    run.parse_batch(hostels, root, "0")
+    assert sorted(built) == sorted(run.DATASETS) and run.load_datasets(spark, root)["hostel"].count() == 1
