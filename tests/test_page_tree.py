@@ -1,8 +1,12 @@
 """Tree shape and text on well-formed and broken markup."""
 
+import random
+
+import pyarrow as pa
 import pytest
 
 from campusweave.functions.page_tree import PageTree
+from campusweave.operators import html as H
 
 
 def shape(html):
@@ -51,3 +55,40 @@ def test_extent_of_text():
 
 def test_classes_are_joined_with_one_space():
     assert PageTree("<p class=' a \n b '>x</p>").elements[0][4]["class"] == "a b"
+
+
+PIECES = [
+    "<p>", "</p>", '<div class="a  b">', "</div>", "<br>", "<br/>", "<br />", '<a href="/x" title="q>r<s">', "</a>", "text ", " ", "\n", "&amp;", "&nope;", "&lt", "&#65;", "& ", "<", ">", "<!-- c -->",
+    '<script>var a = "<b>";</script>', '<script type="x">{"a":1 & 2}</script>', "<script>", "</script>", "<STYLE>b</STYLE>", "<title>T</title>", "<title></title>", "<title>T &amp; <b>x</title>", "<textarea>",
+    "</textarea>", "<template>", "</template>", '<IMG SRC="a">', "</br>", "<img src=a>", "<pre> \n", "</pre>", "<![CDATA[x]]>", '<td A="x" a="y">', "é🙂", "<p é>", "</>", "<rt>",
+]
+
+
+def test_plain_markup_gives_what_the_library_gives(monkeypatch):
+    """Markup read by one search for each piece, up to the first piece that is not plain, has the tree of the library's events."""
+    rng = random.Random(1)
+    pages = ["".join(rng.choices(PIECES, k=rng.randint(1, 12))) for _ in range(5_000)]
+    shape = lambda tree: (tree.elements, tree.texts, tree.text_parents)
+    found = [shape(PageTree(page)) for page in pages]
+    monkeypatch.setattr(PageTree, "_plain", lambda self, markup: 0)
+    assert found == [shape(PageTree(page)) for page in pages]
+
+
+def test_plain_markup_is_not_searched_again(monkeypatch):
+    fed = []
+    monkeypatch.setattr(PageTree, "feed", lambda self, markup: fed.append(markup))
+    tree = PageTree('<title>A</title><script>a < b</script><p class="x">b &amp; c<br/></p>')
+    assert [e[3] for e in tree.elements] == ["title", "script", "p", "br"] and tree.texts == ["A", "b & c"] and not fed
+    PageTree("<p>a</p><!-- c --><p>")
+    assert fed == ["<!-- c --><p>"]
+
+
+def test_trees_are_handed_on_in_small_batches(page, monkeypatch):
+    """A worker holds the trees of some thousand elements, not of a whole batch of pages."""
+    steps, html = [], "<p>" * 1_000
+    frame = page(html)
+    monkeypatch.setattr(type(frame), "mapInArrow", lambda self, parse, schema: steps.append(parse))
+    H.with_tree(frame)
+    batch = pa.RecordBatch.from_pydict({"college_id": ["1"] * 100, "slug": ["a"] * 100, "page_type": ["info"] * 100, "url": ["u"] * 100, "html": [html] * 100})
+    sizes = [b.num_rows for b in steps[0](iter([batch]))]
+    assert sum(sizes) == 100 and max(sizes) <= 10
