@@ -77,3 +77,21 @@ def by_step(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | None]
                 yield out
 
     return df.mapInArrow(run, schema)
+
+
+def whole_groups(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.RecordBatch]:
+    """Batches of rows that are sorted by a column, cut anew so that rows of one value are in one batch."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        key = batch.column(column).to_numpy()
+        at = len(key) - int((key[::-1] != key[-1]).argmax()) if len(key) and key[0] != key[-1] else 0
+        if not len(key):
+            continue
+        if held and (at or held[-1].column(column)[0].as_py() != key[0]):
+            yield from pa.Table.from_batches([*held, batch.slice(0, at)]).combine_chunks().to_batches()
+            held = []
+        elif at:
+            yield batch.slice(0, at)
+        held.append(batch.slice(at))
+    if held:
+        yield from pa.Table.from_batches(held).combine_chunks().to_batches()

@@ -63,8 +63,7 @@ def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_brown_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held = toxicity.held_out(7, 2)
-    model, counts = brown_lm.learn(docs.where(~held))
-    return brown_lm.scored(docs, model, counts).withColumn("held_out", held)
+    return brown_lm.learnt_and_scored(docs, ~held).withColumn("held_out", held)
 
 
 @query

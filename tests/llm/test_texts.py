@@ -10,6 +10,8 @@ import zlib
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from campusweave.llm import brown_lm, quality, queries, secrets, sentencepiece, toxicity
 from tests.llm.conftest import prose
 
@@ -114,6 +116,35 @@ def test_exchange_finds_classes(spark, docs):
     assert len({words_of[x] for x in left}) == 1 == len({words_of[x] for x in right}) and words_of["a0"] != words_of["b0"]
 
 
+def test_every_word_has_a_class(spark, docs):
+    """Words beyond the settled and beyond the broadcast ones get classes by what stands beside them, and are scored in these at their places."""
+    from campusweave.llm import words as W
+    import pyarrow as pa
+
+    rng = random.Random(5)
+    left, right = [f"a{i}" for i in range(300)], [f"b{i}" for i in range(300)]
+    pick = lambda x: x[int(len(x) * rng.random() ** 3)]
+    train = [" ".join(f"{pick(left)} {pick(right)}" for _ in range(40)) for _ in range(150)]
+    model, words_ = brown_lm.learn(docs(*train), classes=2, share=60, clustered=10)
+    kinds = {r["word"]: r["kind"] for r in words_.collect()}
+    of = lambda w: kinds.get(int(W.signed(W.split(pa.array([w.encode()])).hash)[0]), model.unknown)
+    c = counted(train)
+    seen = [w.decode() for w in c if w]
+    assert len(kinds) == len(c) and len(model.known.keys) < 62 < len(seen)
+    sides = [[w for w in seen if w[0] == x] for x in "ab"]
+    # a word that only stands between words that are not in yet has little to go by
+    assert all(sum(of(w) == of(f"{s[0][0]}0") for w in s) >= 0.95 * len(s) for s in sides) and of("a0") != of("b0")
+    score = ["a299 b298 b297 a296", "a0 nobody b299", "nobody noone a299", train[0], "", None]
+    for r, t in zip(sorted(brown_lm.scored(docs(*score), model, words_).collect(), key=lambda r: r["doc_id"]), score, strict=True):
+        tokens = (t or "").split()
+        kind = [model.end, *map(of, tokens), model.end]
+        want = sum(model.moves[x, y] for x, y in zip(kind, kind[1:])) + sum(math.log10(c[w.encode()] / model.mass[of(w)]) for w in tokens if c[w.encode()])
+        assert r["score"] == pytest.approx(want)
+    table = docs(*train, *score)
+    both = {r["doc_id"]: r["score"] for r in brown_lm.learnt_and_scored(table, F.col("doc_id") < 150, 2, 60, 10).collect()}
+    assert both == pytest.approx({r["doc_id"]: r["score"] for r in brown_lm.scored(table, model, words_).collect()})
+
+
 def test_language_model_untrained(spark, docs):
     model, table = brown_lm.learn(docs().limit(0))
     r = brown_lm.scored(docs("a b"), model, table).first()
