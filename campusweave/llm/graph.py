@@ -139,8 +139,10 @@ def linked(buckets: DataFrame, sets: Sets) -> DataFrame:
     if rest.isEmpty():
         return classes
     # A pair meets in the least key that both have, once. Keys are the first of the items that the outer pivot lacks: of the member whose
-    # last key is less, all shared items up to there are among the common keys, and least - 1 at most come after it.
-    keys = beyond.join(rest.select("id").distinct(), "id", "left_semi").groupBy("id").agg(F.collect_set("key").alias("keys"))
+    # last key is less, all shared items up to there are among the common keys, and least - 1 at most come after it. Only keys that are
+    # still open count: two in different classes have no other in common but those of which one is the pivot, and these were compared.
+    rest = cut(rest, "rest")
+    keys = rest.groupBy("id").agg(F.collect_set("key").alias("keys"))
     facts = beyond.groupBy("key", "id").agg(F.max("least").alias("least"), F.max("size").alias("size"), F.max("same").alias("same"))
     rest = cut(rest.join(facts, ["key", "id"]).join(keys, "id"), "open")
     left = rest.select("key", F.col("class").alias("other"), F.col("id").alias("a"), F.col("keys").alias("own"), F.col("least").alias("least_a"), F.col("size").alias("size_a"), F.col("same").alias("same_a"))

@@ -5,7 +5,7 @@ import numpy as np
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from campusweave.llm import near_dedup, words
+from campusweave.llm import graph, near_dedup, words
 from campusweave.llm.graph import components
 from tests.llm.conftest import prose
 
@@ -61,6 +61,21 @@ def test_one_large_group(spark, docs):
     assert found(near_dedup.near_duplicates(docs(*rows))) == brute(rows)
 
 
+def test_open_members_hold_open_keys_alone(spark, docs, monkeypatch):
+    """Members that go on to be met pair by pair carry the keys they may meet in, not those of all items that their pivot lacks."""
+    shared = prose(50, 1)
+    rows = [(f"{shared} " + edited(prose(60, 10 + k), 7 * k + i, 4)) for k in range(4) for i in range(12)]
+    rows = list(enumerate(rows))
+    tables, plain = [], graph.cut
+    monkeypatch.setattr(graph, "cut", lambda df, name: tables.append(plain(df, name)) or tables[-1])
+    assert found(near_dedup.near_duplicates(docs(*rows))) == brute(rows)
+    held = [r for t in tables if {"keys", "pivot"} <= set(t.columns) for r in t.collect()]
+    met = {}
+    for r in held:
+        met.setdefault(r["id"], set()).add(r["key"])
+    assert held and all(set(r["keys"]) == met[r["id"]] for r in held)
+
+
 def test_empty_table_and_null_id(spark, docs):
     assert near_dedup.near_duplicates(docs().limit(0)).collect() == []
     rows = near_dedup.first_of_each(docs((None, "a b c"), (1, "a b c"), (2, "a b c"))).collect()
