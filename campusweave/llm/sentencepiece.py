@@ -1,9 +1,10 @@
 """SentencePiece encoding and decoding by a batched Viterbi pass in numpy.
 
 A text is cut where no piece can reach across: before a run of spaces, and around characters that no
-piece holds. Units of equal length go through the lattice together, one position at a time. Hashes of all
-substrings that end there come from running polynomial sums and probe the sorted hashes of the pieces; a
-vectorised maximum over the arcs that are allowed stores score and backpointer.
+piece holds. Units of like length go through the lattice together, one position at a time. Hashes of all
+substrings that end there come from running polynomial sums and probe the sorted hashes of the pieces,
+those that a table of bits lets through; a vectorised choice among the arcs that are allowed stores score
+and backpointer.
 
 The given model is of the merging kind (BPE), whose encoding is not the path of greatest summed score. It
 is a path all the same: of each prefix of a unit exactly one last piece is right, the one that merging
@@ -16,6 +17,7 @@ Characters without a piece become byte pieces.
 from __future__ import annotations
 
 import re
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -27,8 +29,10 @@ from campusweave.llm.common import by_step, texts
 #: Path of the model file that queries take, a parameter of all functions.
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
-#: Units and piece pairs kept by a worker. A full store of units becomes the older one, from which those in use come back.
-UNITS, PAIRS = 250_000, 2_000_000
+#: Units and piece pairs kept by a worker, of pairs as bits of their number. A full store of units becomes the older one, from which those in use come back; a pair gives way to one of its place.
+UNITS, PAIRS = 250_000, 21
+#: Bits of a piece's hash in the table that most substrings fail, and numbers of a lattice.
+FIRST, LATTICE = 22, 400_000
 #: Ids from here on stand for a character without a piece.
 LOOSE = 1 << 24
 U = np.uint64
@@ -80,7 +84,9 @@ class Encoder:
         self.unit = re.compile(f"[{own}]|{SPACE}+[^{SPACE}{own}]*|[^{SPACE}{own}]+" if own else f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
         self.units: dict[str, tuple[int, ...]] = {}
         self.older: dict[str, tuple[int, ...]] = {}
-        self.pairs: dict[int, bool] = {}
+        self.maybe = np.zeros(1 << FIRST, bool)
+        self.maybe[self.keys >> U(64 - FIRST)] = True
+        self.held, self.answer = np.full(1 << PAIRS, -1, np.int64), np.zeros(1 << PAIRS, bool)
 
     def _hash(self, text: str) -> int:
         points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(U)
@@ -89,80 +95,97 @@ class Encoder:
     def text_of(self, token: int) -> str:
         return chr(token - LOOSE) if token >= LOOSE else self.p.pieces[token]
 
-    def merged(self, text: str) -> list[str]:
-        """What merging leaves of a short string: again and again the pair of best score, the leftmost of equals."""
-        parts, score = list(text), self.p.score
-        while len(parts) > 1:
-            best, at = None, -1
-            for i in range(len(parts) - 1):
-                s = score.get(parts[i] + parts[i + 1])
-                if s is not None and (best is None or s > best):
-                    best, at = s, i
-            if best is None:
-                break
-            parts[at : at + 2] = [parts[at] + parts[at + 1]]
-        return parts
+    def stays(self, left: str, right: str) -> bool:
+        """Whether merging leaves two strings as they are: again and again the pair of best score, the leftmost of equals, and never one across."""
+        parts, get, none = [*left, *right], self.p.score.get, -np.inf
+        if left and left + right in self.p.score:
+            return False
+        edge, scores = len(left) - 1, [get(a + b, none) for a, b in zip(parts, parts[1:], strict=False)]
+        while scores and (best := max(scores)) > none:
+            i = scores.index(best)
+            if i == edge:
+                return False
+            edge -= i < edge
+            parts[i : i + 2] = [parts[i] + parts[i + 1]]
+            del scores[i]
+            if i:
+                scores[i - 1] = get(parts[i - 1] + parts[i], none)
+            if i < len(scores):
+                scores[i] = get(parts[i] + parts[i + 1], none)
+        return parts == ([left] if left else []) + [right]
 
     def allowed(self, before: np.ndarray, token: np.ndarray) -> np.ndarray:
         """Whether merging leaves these neighbours as they are; before is -1 at the start of a unit."""
         code = ((before + 1) << 26) | token
-        distinct, back = np.unique(code, return_inverse=True)
-        answers = np.empty(len(distinct), bool)
-        if len(self.pairs) > PAIRS:
-            self.pairs.clear()
-        for k, c in enumerate(distinct.tolist()):
-            found = self.pairs.get(c)
-            if found is None:
-                left, right = (c >> 26) - 1, c & ((1 << 26) - 1)
-                both = ([self.text_of(left)] if left >= 0 else []) + [self.text_of(right)]
-                found = self.pairs[c] = self.merged("".join(both)) == both
-            answers[k] = found
-        return answers[back]
+        place = lambda c: words.mix(c.view(U)) >> U(64 - PAIRS)
+        at = place(code)
+        answers, fresh = self.answer[at], np.flatnonzero(self.held[at] != code)
+        if len(fresh):
+            rest = np.unique(code[fresh])
+            pairs = ((self.text_of((c >> 26) - 1) if c >> 26 else "", self.text_of(c & ((1 << 26) - 1))) for c in rest.tolist())
+            found = np.fromiter((self.stays(*p) for p in pairs), bool, len(rest))
+            answers[fresh] = found[np.searchsorted(rest, code[fresh])]
+            at, one = np.unique(place(rest), return_index=True)
+            self.held[at], self.answer[at] = rest[one], found[one]
+        return answers
 
     def viterbi(self, units: list[str]) -> list[tuple[int, ...]]:
-        """Ids of units of one length."""
-        size, n = len(units[0]), len(units)
-        points = np.frombuffer("".join(units).encode("utf-32-le", "surrogatepass"), np.uint32).reshape(n, size).astype(np.int64)
+        """Ids of units, the longest first."""
+        sizes, n = np.array([len(u) for u in units]), len(units)
+        size = int(sizes[0])
+        points = np.zeros((n, size), np.int64)
+        points[np.arange(size) < sizes[:, None]] = np.frombuffer("".join(units).encode("utf-32-le", "surrogatepass"), np.uint32)
         up, down = words.powers(size + 1)
         total = np.zeros((n, size + 1), U)
         np.cumsum(words.mix(points.astype(U) + U(1)) * up[:size], axis=1, out=total[:, 1:])
-        last = np.full((n, size + 1), -1, np.int64)
+        last = np.full((n, size + 1), -2, np.int64)
         back = np.zeros((n, size + 1), np.int32)
         best = np.full((n, size + 1), -np.inf)
-        best[:, 0] = 0
+        last[:, 0], best[:, 0] = -1, 0
+        long = n - np.searchsorted(sizes[::-1], np.arange(size + 1))  # units of so many characters
         for end in range(1, size + 1):
-            for start in range(max(0, end - self.longest), end):
-                rows = np.arange(n)
-                if self.p.merging:  # one arc is allowed: rows that have theirs are done
-                    rows = np.flatnonzero(best[:, end] == -np.inf)
-                    if not len(rows):
-                        break
-                key = words.mix((total[rows, end] - total[rows, start]) * down[start] + U(end - start))
-                at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-                hit = self.keys[at] == key
-                token = np.where(hit, self.ids[at], LOOSE + points[rows, start])
-                score = np.where(hit, self.scores[np.where(hit, token, 0)], self.low)
-                if end - start > 1:
-                    rows, token, score = rows[hit], token[hit], score[hit]
-                if self.p.merging and len(rows):
-                    fits = self.allowed(last[rows, start], token)
-                    rows, token, score = rows[fits], token[fits], score[fits]
-                # of a merging model one arc at most is allowed, so the sum decides for unigram models only
-                reach = best[rows, start] + score
-                better = reach > best[rows, end]
-                rows = rows[better]
-                best[rows, end], last[rows, end], back[rows, end] = reach[better], token[better], start
-        out = [[] for _ in range(n)]
-        at = np.full(n, size)
+            first, m = max(0, end - self.longest), long[end]
+            key = words.mix((total[:m, end, None] - total[:m, first:end]) * down[first:end] + np.arange(end - first, 0, -1).astype(U))
+            some = self.maybe[key >> U(64 - FIRST)]
+            some[:, -1] = True  # a character is an arc, with a piece or without
+            rows, start = np.nonzero(some)
+            key, start = key[rows, start], start + first
+            at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+            hit = self.keys[at] == key
+            token = np.where(hit, self.ids[at], LOOSE + points[rows, end - 1])
+            real = hit | (start == end - 1)
+            rows, start, token, hit = rows[real], start[real], token[real], hit[real]
+            if self.p.merging:  # one arc is allowed: a unit's arcs are tried from the longest on
+                now = np.flatnonzero(np.diff(rows, prepend=-1))
+                stop = np.append(now[1:], len(rows))
+                while len(now):
+                    before = last[rows[now], start[now]]
+                    fits = (before > -2) & self.allowed(before, token[now])
+                    took = now[fits]
+                    last[rows[took], end], back[rows[took], end] = token[took], start[took]
+                    now, stop = now[~fits] + 1, stop[~fits]
+                    now, stop = now[now < stop], stop[now < stop]
+            else:
+                reach = best[rows, start] + np.where(hit, self.scores[np.where(hit, token, 0)], self.low)
+                order = np.lexsort((start, -reach, rows))
+                took = order[np.flatnonzero(np.diff(rows[order], prepend=-1))]
+                best[rows[took], end], last[rows[took], end], back[rows[took], end] = reach[took], token[took], start[took]
+        row, found, at = [], [], sizes.copy()
         while (open_ := np.flatnonzero(at > 0)).size:
-            for row, token in zip(open_.tolist(), last[open_, at[open_]].tolist(), strict=True):
-                out[row].append(token)
+            row.append(open_)
+            found.append(last[open_, at[open_]])
             at[open_] = back[open_, at[open_]]
-        return [self._bytes(x[::-1]) for x in out]
-
-    def _bytes(self, tokens: list[int]) -> tuple[int, ...]:
-        if not tokens or max(tokens) < LOOSE:
-            return tuple(tokens)
+        row, found = np.concatenate(row[::-1]), np.concatenate(found[::-1])
+        order = np.argsort(row, kind="stable")
+        row, found = row[order], found[order]
+        ends = np.searchsorted(row, np.arange(n + 1)).tolist()
+        flat = found.tolist()
+        out = [tuple(flat[i:j]) for i, j in zip(ends, ends[1:], strict=False)]
+        for i in np.unique(row[found >= LOOSE]).tolist():
+            out[i] = self._bytes(out[i])
+        return out
+
+    def _bytes(self, tokens: tuple[int, ...]) -> tuple[int, ...]:
         out = []
         for t in tokens:
             if t < LOOSE:
@@ -183,18 +206,19 @@ class Encoder:
             if unit in self.older:
                 self.units[unit] = self.older[unit]
             else:
-                fresh.setdefault(len(unit), []).append(unit)
-        for size, units in fresh.items():
-            step = max(1, 400_000 // size)
+                fresh.setdefault(len(unit).bit_length(), []).append(unit)
+        for units in fresh.values():
+            units.sort(key=len, reverse=True)
+            step = max(1, LATTICE // len(units[0]))
             for i in range(0, len(units), step):
                 self.units.update(zip(units[i : i + step], self.viterbi(units[i : i + step]), strict=True))
-        known = self.units
-        return [[t for u in c for t in known[u]] for c in cut]
+        known = self.units.__getitem__
+        return [list(chain.from_iterable(map(known, c))) for c in cut]
 
     def decode(self, ids: list[int]) -> str:
         """The text of ids: spaces for their sign, bytes put together, the space before the text taken off."""
         raw = self.p.raw
-        out = b"".join([raw[i] for i in ids])
+        out = b"".join(map(raw.__getitem__, ids))
         return (out[1:] if out[:1] == b" " else out).decode("utf-8", "replace")
 
 

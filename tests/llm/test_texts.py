@@ -231,6 +231,22 @@ class TestPieces:
         assert [coder.decode(i) for i in ids] == model.decode(ids)
         assert all(coder.decode(i) == t for i, t in zip(ids, texts, strict=True) if "▁" not in t)
 
+    def test_units_of_like_length_go_together(self, monkeypatch):
+        """One lattice for lengths 8 to 15, the same ids as the library's, also where pairs push each other out."""
+        import sentencepiece as library
+
+        model = library.SentencePieceProcessor(model_file=sentencepiece.MODEL)
+        rng = random.Random(6)
+        text = " ".join("".join(rng.choice("etaoinshrdlué漢") for _ in range(7 + i % 8)) for i in range(400))
+        calls = []
+        for bits in (sentencepiece.PAIRS, 3):
+            monkeypatch.setattr(sentencepiece, "PAIRS", bits)
+            coder = sentencepiece.Encoder(sentencepiece.load())
+            run = coder.viterbi
+            coder.viterbi = lambda units, run=run: calls.append(len(units)) or run(units)
+            assert coder.encode([text]) == [model.encode(text)]
+        assert calls == [400, 400]
+
     def test_tables(self, spark, docs):
         out = sentencepiece.encoded(docs("one two", *ODD, (0, "one two")))
         rows = out.collect()
