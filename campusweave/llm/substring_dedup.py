@@ -143,6 +143,18 @@ def _read(column: pa.Array) -> list[np.ndarray]:
     return [x.view(np.uint64) for x in np.split(column.values.to_numpy(), ends)[1:-1]]
 
 
+def _of_contents(found: DataFrame, shared: DataFrame) -> DataFrame:
+    """doc_id, start, end and content of places whose content is in `shared`, and by chance of others: the rest is not shuffled."""
+    bits = found.sparkSession.sparkContext.broadcast(bitmap(shared.select(F.col("content").alias("key"))))  # of fixed size
+
+    def run(batches):
+        for batch in batches:
+            if batch.num_rows:
+                yield batch.filter(pa.array(passes(bits.value, batch.column("content").to_numpy())))
+
+    return found.select("doc_id", "start", "end", "content").mapInArrow(run, "doc_id long, start int, end int, content long")
+
+
 def repeated(docs: DataFrame, percent: int = PERCENT, least_words: int = LEAST_WORDS) -> DataFrame:
     """One row for each part of a repeated passage of `docs` (doc_id, text), whole texts, words counted from 0, end exclusive:
     doc_id, start_word, end_word, n_words, cluster (least content id of its paragraphs' classes), first_doc (smallest
@@ -152,15 +164,16 @@ def repeated(docs: DataFrame, percent: int = PERCENT, least_words: int = LEAST_W
     Null and empty texts have no paragraphs; rows that repeat a doc_id count as one text each and hold the same places.
     """
     found = cut(places(docs, bitmap(shared_keys(docs))), "places")
-    holder = cut(found.groupBy("content").agg(F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("n"), *(F.min(F.col("keys")[i]).alias(f"k{i}") for i in range(BANDS))), "holder")
+    lead = F.min(F.struct("doc_id", "start")).alias("first")
+    holder = cut(found.groupBy("content").agg(lead, F.count(F.lit(1)).alias("n"), *(F.min(F.col("keys")[i]).alias(f"k{i}") for i in range(BANDS))), "holder")
     buckets = holder.select(F.explode(F.array(*(f"k{i}" for i in range(BANDS)))).alias("key"), F.col("content").alias("id"))
     classes = linked(buckets, Sets(lambda ids: shingle_sets(docs, ids), _read, percent))
-    of = holder.join(classes.withColumnRenamed("id", "content"), "content", "left").select("content", "n", F.coalesce("component", "content").alias("cluster"))
-    many = of.groupBy("cluster").agg(F.sum("n").alias("n")).where("n > 1")
-    shared = cut(of.join(many.select("cluster"), "cluster", "left_semi").select("content", "cluster"), "shared")
-    here = found.join(shared, "content")
-    first = here.groupBy("cluster").agg(F.min(F.struct("doc_id", "start")).alias("first"))
-    here = here.join(first, "cluster").select("doc_id", "start", "end", "cluster", "first")
+    # contents without a link are classes of their own; what follows of a class is made from its contents, not from its places
+    alone = holder.where("n > 1").join(classes, holder["content"] == classes["id"], "left_anti").select("content", F.col("content").alias("cluster"), "first")
+    of = holder.select("content", "first").join(classes.select(F.col("id").alias("content"), F.col("component").alias("cluster")), "content")
+    first = of.groupBy("cluster").agg(F.min("first").alias("first"))
+    shared = cut(of.drop("first").join(first, "cluster").select("content", "cluster", "first").union(alone), "shared")
+    here = _of_contents(found, shared).join(shared, "content").select("doc_id", "start", "end", "cluster", "first")
     # runs of neighbouring paragraphs; a window holds the paragraphs of one document
     by_doc = Window.partitionBy("doc_id").orderBy("start", "end")
     apart = F.col("start") != F.coalesce(F.lag("end").over(by_doc), F.lit(-1))

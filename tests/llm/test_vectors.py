@@ -87,6 +87,19 @@ def test_near_paragraphs_against_all_pairs(spark, docs):
     assert substring_dedup.repeated(docs().limit(0)).collect() == []
 
 
+def test_filter_lets_few_others_through(spark):
+    """All keys pass; with three million of them fewer than 2 % of others do."""
+    from pyspark.sql import functions as F
+
+    from campusweave.llm.common import bitmap, passes
+
+    keys = spark.range(3_000_000).select(F.xxhash64("id").alias("key"))
+    bits = bitmap(keys)
+    assert passes(bits, keys.limit(50_000).toArrow().column("key").to_numpy()).all()
+    others = spark.range(10**9, 10**9 + 200_000).select(F.xxhash64("id").alias("key")).toArrow().column("key").to_numpy()
+    assert passes(bits, others).mean() < 0.02
+
+
 def test_cuts_depend_on_the_content_alone():
     import pyarrow as pa
 
