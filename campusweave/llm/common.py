@@ -50,6 +50,14 @@ def passes(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return ((word >> at[0].astype(np.int64)) & (word >> at[1].astype(np.int64)) & 1) == 1
 
 
+def counts(keys: DataFrame) -> np.ndarray:
+    """How often the keys of a column `key` of hashes come, in FILTER cells: keys that share a cell are counted together."""
+    rows = keys.groupBy(F.pmod("key", F.lit(FILTER)).alias("at")).agg(F.count(F.lit(1)).alias("n")).toArrow()  # FILTER rows at most
+    out = np.zeros(FILTER, np.int64)
+    out[rows.column("at").to_numpy()] = rows.column("n").to_numpy()
+    return out
+
+
 def texts(docs: DataFrame, *more) -> DataFrame:
     """doc_id and the text's UTF-8 bytes, null as empty; columns of other names are left behind."""
     return docs.select(F.col("doc_id").cast("long"), *more, F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("text"))

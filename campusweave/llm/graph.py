@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from campusweave.llm import words
-from campusweave.llm.common import by_step, cut
+from campusweave.llm.common import FILTER, by_step, counts, cut
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -76,12 +76,11 @@ class Sets:
     def alike(self) -> Column:
         return (F.col("same") > 0) & ((100 + self.percent) * F.col("same") >= self.percent * (F.col("size_a") + F.col("size_b")))
 
-    def beyond(self, pairs: DataFrame, known: DataFrame) -> DataFrame:
-        """(key, id, least, size, same): items of b that a lacks, as keys of a and item, as many as a partner of b must share one of.
+    def rests(self, pairs: DataFrame, known: DataFrame) -> DataFrame:
+        """(id, least, size, same, keys) of pairs (a, b): the items of b that a lacks, as keys of a and item, and of how many of them a partner of b must have its share.
 
         Two sets that are alike have (100 + p) * common >= p * (sizes); what they do not have in common with a must make up the rest.
-        So they share r items (`least`) at least that a lacks, and in the order of the items' hashes one of the first n - r + 1.
-        size and same are of b, and of what it shares with a.
+        So they share r items (`least`) at least that a lacks. size and same are of b, and of what it shares with a.
         """
         read, p = self.read, self.percent
 
@@ -92,14 +91,36 @@ class Sets:
                 rest = np.setdiff1d(y, x, assume_unique=True)
                 least = max(1, -(-(p * len(y)) // 100) - (len(y) - len(rest)))
                 if len(rest) >= least:
-                    keys.append(words.mix(np.sort(words.mix(rest))[: len(rest) - least + 1] ^ seed))
-                    ids.append(np.full(len(keys[-1]), b, np.int64))
-                    facts.append(np.tile(np.array([least, len(y), len(y) - len(rest)], np.int32), (len(keys[-1]), 1)))
+                    keys.append(words.signed(words.mix(words.mix(rest) ^ seed)))
+                    ids.append(b)
+                    facts.append((least, len(y), len(y) - len(rest)))
             if not keys:
                 return None
-            return pa.RecordBatch.from_arrays([pa.array(words.signed(np.concatenate(keys))), pa.array(np.concatenate(ids)), *(pa.array(c) for c in np.concatenate(facts).T.copy())], ["key", "id", "least", "size", "same"])
+            return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), *(pa.array(c, pa.int32()) for c in zip(*facts, strict=True)), words.lists(keys, pa.int64())], ["id", "least", "size", "same", "keys"])
 
-        return by_step(self.attached(pairs, known), run, "key long, id long, least int, size int, same int", "right")
+        return by_step(self.attached(pairs, known), run, "id long, least int, size int, same int, keys array<long>", "right")
+
+
+def first_keys(rests: DataFrame) -> DataFrame:
+    """(key, id, least, size, same): of n keys the n - least + 1 that come least often, as one of these is shared with a partner.
+
+    Common keys come last, so that few meet in one. The order is that of counts in cells of a table of fixed size, then of the keys;
+    any order that is the same for all is right. A key that is alone in its cell is alone, and is left out.
+    """
+    often = rests.sparkSession.sparkContext.broadcast(counts(rests.select(F.explode("keys").alias("key"))))  # of fixed size
+
+    def run(batch):
+        lists = batch.column("keys")
+        ends, flat = lists.offsets.to_numpy() - lists.offsets[0].as_py(), lists.flatten().to_numpy()
+        n = often.value[flat % FILTER]
+        row = np.repeat(np.arange(len(lists)), np.diff(ends))
+        order = np.lexsort((flat, n, row))
+        place = np.arange(len(flat)) - ends[row]  # rows keep their stretches
+        taken = order[(place <= (np.diff(ends) - batch.column("least").to_numpy())[row]) & (n[order] > 1)]
+        some = pa.array(row[taken])
+        return pa.RecordBatch.from_arrays([pa.array(flat[taken]), *(batch.column(c).take(some) for c in ("id", "least", "size", "same"))], ["key", "id", "least", "size", "same"])
+
+    return by_step(rests, run, "key long, id long, least int, size int, same int", "keys")
 
 
 def _common(x: np.ndarray, y: np.ndarray) -> int:
@@ -114,7 +135,7 @@ def linked(buckets: DataFrame, sets: Sets) -> DataFrame:
 
     1. Members of a bucket are compared with its pivot, the member that meets most others in all its buckets.
     2. Members x and y that are in different classes then have common(x, y) <= min(common(x, pivot), common(y, pivot)) + items
-       that both have and the pivot lacks. Either there are such items: they are buckets of their own (`Sets.beyond`), treated
+       that both have and the pivot lacks. Either there are such items: they are buckets of their own (`first_keys`), treated
        by pivots and, for what is still apart, pair by pair.
     3. Or there are none: then the sizes must be small for what is shared with the pivot, which a join on size ranges finds.
     """
@@ -129,7 +150,8 @@ def linked(buckets: DataFrame, sets: Sets) -> DataFrame:
     now = cut(now, "open")
     known = first.select(F.col("a").alias("pivot"), F.col("b").alias("id"), "size_a", F.col("size_b").alias("size"), "same", sets.alike().alias("alike"))
     held = cut(now.join(known, ["pivot", "id"]), "held")
-    beyond = cut(sets.beyond(held.select(F.col("pivot").alias("a"), F.col("id").alias("b")).distinct(), content), "beyond")
+    rests = cut(sets.rests(held.select(F.col("pivot").alias("a"), F.col("id").alias("b")).distinct(), content), "rests")
+    beyond = cut(first_keys(rests), "beyond")
     inner = _with_pivots(_open(beyond.select("key", "id").distinct(), classes).select("key", "id"))
     by_size = _by_size(held, sets.percent)
     # one comparison for both, as pairs that are met in either way
@@ -138,8 +160,8 @@ def linked(buckets: DataFrame, sets: Sets) -> DataFrame:
     rest = _open(inner, classes).where("id <> pivot")
     if rest.isEmpty():
         return classes
-    # A pair meets in the least key that both have, once. Keys are the first of the items that the outer pivot lacks: of the member whose
-    # last key is less, all shared items up to there are among the common keys, and least - 1 at most come after it. Only keys that are
+    # A pair meets in the least key that both have, once. Keys are the rarest of the items that the outer pivot lacks: of the member whose
+    # last key comes first, all shared items up to there are among the common keys, and least - 1 at most come after it. Only keys that are
     # still open count: two in different classes have no other in common but those of which one is the pivot, and these were compared.
     rest = cut(rest, "rest")
     keys = rest.groupBy("id").agg(F.collect_set("key").alias("keys"))
@@ -147,7 +169,7 @@ def linked(buckets: DataFrame, sets: Sets) -> DataFrame:
     rest = cut(rest.join(facts, ["key", "id"]).join(keys, "id"), "open")
     left = rest.select("key", F.col("class").alias("other"), F.col("id").alias("a"), F.col("keys").alias("own"), F.col("least").alias("least_a"), F.col("size").alias("size_a"), F.col("same").alias("same_a"))
     p = sets.percent
-    enough = f"{100 + p} * (size(array_intersect(own, keys)) + greatest(least, least_a) - 1 + least(same, same_a)) >= {p} * (size + size_a)"
+    enough = f"{100 + p} * least(size, size_a, size(array_intersect(own, keys)) + greatest(least, least_a) - 1 + least(same, same_a)) >= {p} * (size + size_a)"
     apart = left.hint("merge").join(rest, "key").where(f"class <> other and a < id and array_min(array_intersect(own, keys)) = key and {enough}")
     apart = apart.select("a", F.col("id").alias("b"))
     return joined(classes, cut(sets.compared(apart, content).where(sets.alike()).select("a", "b"), "links"))

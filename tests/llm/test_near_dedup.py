@@ -5,7 +5,7 @@ import numpy as np
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from campusweave.llm import graph, near_dedup, words
+from campusweave.llm import graph, near_dedup, substring_dedup, words
 from campusweave.llm.graph import components
 from tests.llm.conftest import prose
 
@@ -76,6 +76,25 @@ def test_open_members_hold_open_keys_alone(spark, docs, monkeypatch):
     assert held and all(set(r["keys"]) == met[r["id"]] for r in held)
 
 
+def test_common_items_make_no_pairs(spark, monkeypatch):
+    """Sets of one bucket that share half their items, all of them beyond the pivot, meet by what is rare: pairs grow with the sets, not with their square."""
+    n = 60
+    sets = {0: set(range(10))}
+    for i in range(1, n + 1):
+        own = {1000 * i + k for k in range(8)}
+        sets[i] = {0, 1, *range(100, 108), *own}
+        if i % 10 == 0:  # one alike
+            sets[n + i] = sets[i] - {1000 * i} | {1000 * i + 9}
+    contents = {i: np.unique(words.mix(np.array([*s], np.uint64) + np.uint64(7))) for i, s in sets.items()}
+    table = spark.createDataFrame([(i, words.signed(x).tolist()) for i, x in contents.items()], "id long, content array<long>")
+    buckets = spark.createDataFrame([(1, i) for i in sets] + [(2, 0), (2, 1)], "key long, id long")
+    tables, plain = [], graph.cut
+    monkeypatch.setattr(graph, "cut", lambda df, name: tables.append((name, plain(df, name))) or tables[-1][1])
+    out = graph.linked(buckets, graph.Sets(lambda ids: table, substring_dedup._read, 75))
+    assert {(r["id"], r["component"]) for r in out.collect()} == {(x, i) for i in range(10, n + 1, 10) for x in (i, n + i)}
+    assert sum(t.count() for name, t in tables if name == "pairs") <= 3 * len(sets)
+
+
 def test_empty_table_and_null_id(spark, docs):
     assert near_dedup.near_duplicates(docs().limit(0)).collect() == []
     rows = near_dedup.first_of_each(docs((None, "a b c"), (1, "a b c"), (2, "a b c"))).collect()
