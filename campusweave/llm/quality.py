@@ -62,16 +62,23 @@ def grams(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return bucket, np.tile(w.doc, len(kinds))
 
 
-def model(rows: DataFrame) -> np.ndarray:
-    """Counts by bucket over whole texts; the driver gets one row for each bucket."""
+def counted(rows: DataFrame) -> DataFrame:
+    """(bucket, n) over whole texts: a task sums what it reads and gives each bucket once."""
 
-    def run(batch):
-        count = np.bincount(grams(batch.column("text"))[0], minlength=BUCKETS)
+    def run(batches):
+        count = np.zeros(BUCKETS, np.int64)
+        for batch in steps(batches):
+            count += np.bincount(grams(batch.column("text"))[0], minlength=BUCKETS)
         held = np.flatnonzero(count)
-        return pa.RecordBatch.from_arrays([pa.array(held.astype(np.int32)), pa.array(count[held])], ["bucket", "n"])
+        yield pa.RecordBatch.from_arrays([pa.array(held.astype(np.int32)), pa.array(count[held])], ["bucket", "n"])
 
+    return rows.mapInArrow(run, "bucket int, n long")
+
+
+def model(rows: DataFrame) -> np.ndarray:
+    """Counts by bucket over whole texts; the driver gets one row for each bucket."""
     out = np.zeros(BUCKETS)
-    for r in by_step(rows, run, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).collect():
+    for r in counted(rows).groupBy("bucket").agg(F.sum("n").alias("n")).collect():
         out[r["bucket"]] = r["n"]
     return out
 

@@ -8,6 +8,7 @@ import os
 import random
 import zlib
 
+import pyarrow as pa
 import pytest
 
 from pyspark.sql import functions as F
@@ -166,6 +167,16 @@ def test_quality(spark, docs):
     assert sorted(r["doc_id"] for r in kept.collect()) == sorted(r["doc_id"] for r in marked.collect())
 
 
+def test_quality_counts_once_a_task(docs):
+    """A task that reads many steps of text gives a row for each bucket, not one for each step."""
+    texts = [f"{'again ' * 200_000}w{i}" for i in range(4)]  # each a step of its own
+    rows = quality.counted(quality.texts(docs(*texts)).coalesce(1)).collect()
+    held = collections.Counter()
+    for t in texts:
+        held.update(quality.grams(pa.array([t.encode()]))[0].tolist())
+    assert {r["bucket"]: r["n"] for r in rows} == held and len(rows) == len(held)
+
+
 def test_quality_without_target(spark, docs):
     ratio = quality.learn(docs("a b c", "d"), spark.createDataFrame([], "doc_id long, quality int"))
     assert not ratio.any() and all(r["kept"] for r in quality.sampled(docs("a b c", "d"), ratio).collect())
