@@ -9,6 +9,7 @@ from campusweave.operators import html as H
 from campusweave.plans import run
 from campusweave.sources import pages as P
 from campusweave.sources import seen, staging
+from campusweave.sources.datasets import read_dataset
 from campusweave.streaming import ingest
 from tests.conftest import rows
 
@@ -163,3 +164,58 @@ def test_a_batch_writes_what_its_page_types_give(spark, tmp_path, monkeypatch):
     built.clear()
     run.parse_batch(hostels, root, "0")
     assert sorted(built) == sorted(run.DATASETS) and run.load_datasets(spark, root)["hostel"].count() == 1
+
+
+def test_what_is_not_there_yet_costs_no_job(spark, tmp_path):
+    """A first batch looks nothing up: what is missing is known to be empty before anything runs."""
+    path, group = str(tmp_path / "none"), f"none-{tmp_path.name}"
+    spark.sparkContext.setJobGroup(group, "")
+    try:
+        assert seen.layout(spark, path) == (0, 0) and read_dataset(spark, path, run.ENTRIES).collect() == []
+        assert not spark.sparkContext.statusTracker().getJobIdsForGroup(group)
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert read_dataset(spark, path, run.ENTRIES).schema == run.ENTRIES
+    new = seen.unseen(keys(spark, "a", "a", "b"), path, ["k"], "0")
+    assert "Join" not in plan(new) and {r["k"] for r in new.collect()} == {"a", "b"}
+
+
+def test_keys_spread_over_all_buckets_are_not_asked_for_them(spark, tmp_path, monkeypatch):
+    """A batch of many keys reads the whole table at once, and gets the same."""
+    monkeypatch.setattr(seen, "FOLD", 1)
+    monkeypatch.setattr(seen, "PER_BUCKET", 4)
+    path, names = str(tmp_path / "seen"), [f"k{i}" for i in range(12)]
+    seen.add(keys(spark, *names), path, ["k"], "0")
+    now = seen.layout(spark, path)
+    assert now["buckets"] == 3
+    fresh, group = keys(spark, *names, "new"), f"spread-{tmp_path.name}"
+    spark.sparkContext.setJobGroup(group, "")
+    try:
+        found = seen.unseen(fresh, path, ["k"], "1", now, 13)
+        assert not spark.sparkContext.statusTracker().getJobIdsForGroup(group)
+        seen.unseen(fresh, path, ["k"], "1", now, 2)
+        assert spark.sparkContext.statusTracker().getJobIdsForGroup(group)
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert [r["k"] for r in found.collect()] == ["new"]
+
+
+def test_small_files_of_a_batch_are_dealt_out(spark, tmp_path):
+    """Each small file is a split of its own, as work on pages costs far more than opening a file; the session's settings come back."""
+    source, root, files = str(tmp_path / "in"), str(tmp_path / "out"), ingest.SPLITS_PER_CORE * spark.sparkContext.defaultParallelism
+    spark.range(0, files, 1, files).selectExpr("cast(id AS STRING) AS college_id", "'a' AS slug", "'hostel' AS page_type", "'u' AS url", "'<p>gym</p>' AS html").write.parquet(source)
+    held = ["spark.sql.files.minPartitionNum", "spark.sql.files.openCostInBytes", "spark.sql.maxConcurrentOutputFileWriters"]
+    before = [spark.conf.get(key, None) for key in held]
+    assert ingest.stream_pages(spark, source, root, str(tmp_path / "offsets"), files_per_batch=files, buckets=4) == 1
+    assert [spark.conf.get(key, None) for key in held] == before
+    assert sum(name.startswith("part-") for name in os.listdir(f"{root}/_arrived/batch=0")) == files
+    assert run.load_datasets(spark, root)["hostel"].count() == files
+
+
+def test_batches_of_any_name_and_of_nothing_new(spark, tmp_path):
+    """The folders of a batch are known by its name, whatever is in it; pages that are all known give nothing."""
+    root = str(tmp_path / "out")
+    for name, pages in (("7 a", [PAGES[2]]), ("c=d", [PAGES[0], PAGES[0]]), ("e", [PAGES[0], PAGES[2]])):
+        run.parse_batch(spark.createDataFrame(pages, P.PAGES), root, name, buckets=4)
+    assert rows(run.load_datasets(spark, root)["rankings"], "college_id", "ranking_body", "rank") == [("1", "NIRF", "#3")]
+    assert rows(run.load_progress(spark, root), "rows_in", "new") == [(1, 1), (2, 0), (2, 2)]
